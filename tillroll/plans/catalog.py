@@ -33,6 +33,7 @@ from tillroll.operators.marts import (
 )
 from tillroll.operators.profiles import clean_customer_profiles, dedupe_customer_profiles
 from tillroll.operators.staging import stage_customer_profiles, stage_sales_events
+from tillroll.plans.daily import run_daily
 from tillroll.plans.gold import GOLD_TABLES, Seeds, build_gold
 from tillroll.plans.silver import clean_events_job, clean_profiles_job, without_unknown_references
 from tillroll.scratch import fresh_path, pin
@@ -134,27 +135,23 @@ def _daily(spark: SparkSession, sf_dir: str, events_unique: bool) -> DataFrame:
     return mart_daily_store_sales(fact, shops, _dates(spark, sf_dir), events_unique)
 
 
-def _gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All tables; those that several checks read are written once."""
-    seeds = Seeds(
+def _seeds(spark: SparkSession, sf_dir: str) -> Seeds:
+    return Seeds(
         retail.products(spark, sf_dir),
         retail.stores(spark, sf_dir),
         retail.customer_ids(spark, sf_dir),
     )
+
+
+def _gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """All tables; those that several checks read are written once."""
+    seeds = _seeds(spark, sf_dir)
     clean = pin(_clean(spark, sf_dir).clean, "clean_events")
     profiles = pin(_profiles(spark, sf_dir), "clean_profiles")
     dates = _dates(spark, sf_dir)
     return build_gold(clean, profiles, seeds, dates, store=lambda name, df: pin(df, name))
 
 
-def _lake(spark: SparkSession) -> Lake:
-    return Lake(fresh_path(spark, "lake"))
-
-
-def _event_schema(spark: SparkSession, sf_dir: str):
-    return retail.delivered_events(spark, sf_dir).schema
-
-
 # --- clean layer ---
 
 
@@ -375,14 +372,17 @@ def quarantine_count(spark, sf_dir):
 
 
 def _landed(spark: SparkSession, sf_dir: str) -> Lake:
-    lake = _lake(spark)
-    events = with_ingest_date(retail.delivered_events(spark, sf_dir))
-    land_batch(events.hint("rebalance", "ingest_date"), lake.raw_events)
+    lake = Lake(fresh_path(spark, "lake"))
+    for raw, path in (
+        (retail.delivered_events(spark, sf_dir), lake.raw_events),
+        (retail.delivered_profiles(spark, sf_dir), lake.raw_profiles),
+    ):
+        land_batch(with_ingest_date(raw).hint("rebalance", "ingest_date"), path)
     return lake
 
 
-def _landing_summary(spark: SparkSession, sf_dir: str, lake: Lake) -> DataFrame:
-    landed = read_raw_events(spark, lake.raw_events, _event_schema(spark, sf_dir))
+def _landing_summary(spark: SparkSession, lake: Lake) -> DataFrame:
+    landed = read_raw_events(spark, lake.raw_events)
     return landed.groupBy("ingest_date").agg(
         F.count(F.lit(1)).alias("n_events"), F.count_distinct("event_id").alias("n_ids")
     )
@@ -390,27 +390,47 @@ def _landing_summary(spark: SparkSession, sf_dir: str, lake: Lake) -> DataFrame:
 
 @query
 def bronze_landing(spark, sf_dir):
-    return _landing_summary(spark, sf_dir, _landed(spark, sf_dir))
+    return _landing_summary(spark, _landed(spark, sf_dir))
 
 
 @query
 def silver_events_job(spark, sf_dir):
     lake = _landed(spark, sf_dir)
-    clean_events_job(
-        spark, lake, retail.EVENT_TIE_BREAKERS, schema=_event_schema(spark, sf_dir)
-    )
+    clean_events_job(spark, lake)
     return _unstamped(read_clean_events(spark, lake.clean_events))
 
 
 @query
 def silver_profiles_job(spark, sf_dir):
-    lake = _lake(spark)
-    snapshots = retail.customer_snapshots(spark, sf_dir)
-    land_batch(with_ingest_date(snapshots).hint("rebalance", "ingest_date"), lake.raw_profiles)
-    clean_profiles_job(spark, lake, retail.PROFILE_TIE_BREAKERS, schema=snapshots.schema)
+    lake = _landed(spark, sf_dir)
+    clean_profiles_job(spark, lake)
     return _unstamped(read_clean_profiles(spark, lake.clean_profiles))
 
 
+def _daily_run(spark: SparkSession, sf_dir: str, strategy: AsofStrategy = "auto") -> Lake:
+    lake = _landed(spark, sf_dir)
+    dates = date_dimension_covering(retail.table(spark, sf_dir, "events"), "ts")
+    run = run_daily(spark, lake, _seeds(spark, sf_dir), dates, strategy)
+    if run.error:
+        raise run.error
+    return lake
+
+
+@query
+def daily_run_store_sales(spark, sf_dir):
+    return spark.read.parquet(_daily_run(spark, sf_dir).gold("mart_daily_store_sales"))
+
+
+@query
+def daily_run_ltv(spark, sf_dir):
+    return spark.read.parquet(_daily_run(spark, sf_dir, "days").gold("mart_customer_ltv"))
+
+
+@query
+def daily_run_checks(spark, sf_dir):
+    return spark.read.parquet(_daily_run(spark, sf_dir).gold("check_results"))
+
+
 @query
 def seed_csv_roundtrip(spark, sf_dir):
     path = fresh_path(spark, "ref_products")
@@ -446,7 +466,7 @@ def json_status_histogram(spark, sf_dir):
 
 
 def _streamed(spark: SparkSession, sf_dir: str) -> Lake:
-    lake = _lake(spark)
+    lake = Lake(fresh_path(spark, "lake"))
     source = retail.delivered_events(spark, sf_dir, stream=True)
     _run(start_landing(source, lake.raw_events, fresh_path(spark, "landing-checkpoint")))
     return lake
@@ -454,21 +474,13 @@ def _streamed(spark: SparkSession, sf_dir: str) -> Lake:
 
 def _upserted(spark: SparkSession, sf_dir: str) -> Lake:
     lake = _streamed(spark, sf_dir)
-    _run(
-        start_incremental_clean(
-            spark,
-            lake,
-            fresh_path(spark, "clean-checkpoint"),
-            _event_schema(spark, sf_dir),
-            retail.EVENT_TIE_BREAKERS,
-        )
-    )
+    _run(start_incremental_clean(spark, lake, fresh_path(spark, "clean-checkpoint")))
     return lake
 
 
 def _live(spark: SparkSession, sf_dir: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
     source = retail.delivered_events(spark, sf_dir, stream=True)
-    result = build(live_split(source, retail.EVENT_TIE_BREAKERS).clean)
+    result = build(live_split(source).clean)
     path = fresh_path(spark, "live")
     _run(
         result.writeStream.format("parquet")
@@ -483,7 +495,7 @@ def _live(spark: SparkSession, sf_dir: str, build: Callable[[DataFrame], DataFra
 
 @query
 def stream_landing(spark, sf_dir):
-    return _landing_summary(spark, sf_dir, _streamed(spark, sf_dir))
+    return _landing_summary(spark, _streamed(spark, sf_dir))
 
 
 @query
@@ -494,7 +506,7 @@ def stream_clean_events(spark, sf_dir):
 @query
 def stream_quarantine(spark, sf_dir):
     rejected = read_quarantine(spark, _upserted(spark, sf_dir).quarantine)
-    return rejected.drop("ingest_date", *retail.EVENT_TIE_BREAKERS)
+    return rejected.drop("ingest_date", "source_partition", "schema_version")
 
 
 @query

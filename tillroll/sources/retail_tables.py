@@ -1,8 +1,9 @@
 """Retail domain tables derived from an order-management star schema in Parquet.
 
 ``lineitem`` and ``orders`` become point-of-sale events and customer snapshots, ``part`` and
-``supplier`` become products and stores. Broken, late and repeated events follow from the keys, so
-the same tables always give the same events.
+``supplier`` become products and stores. The activity log ``events`` becomes broker deliveries for
+the storage and streaming jobs. Broken, late and repeated events follow from the keys, so the same
+tables always give the same events.
 """
 
 from __future__ import annotations
@@ -10,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.operators.profiles import VALID_LOYALTY_TIERS
+
 # Total order among the copies of an event that arrived at the same moment.
 EVENT_TIE_BREAKERS = ["src_part", "src_supplier"]
 PROFILE_TIE_BREAKERS = ["src_order"]
@@ -27,16 +30,17 @@ def _every(key: str, n: int) -> Column:
     return F.col(key) % n == 0
 
 
-def _minutes_later(ts: Column, minutes: Column) -> Column:
-    return F.timestamp_add("MINUTE", minutes.cast("int"), ts)
+def _later(ts: str, unit: str, amount: Column) -> Column:
+    return F.timestamp_add(unit, amount.cast("int"), F.col(ts))
 
 
-def events_from(
-    lines: DataFrame, orders: DataFrame, event_ts: Column, minutes_per_step: int
-) -> DataFrame:
-    """Raw events of order lines; ``lines`` may be a stream. ``src_*`` columns order the copies."""
-    owners = orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    joined = lines.join(owners, F.col("l_orderkey") == F.col("o_orderkey"))
+def sales_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw events of shipped order lines; ``src_*`` columns order copies that arrive together."""
+    owners = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    lines = table(spark, sf_dir, "lineitem")
+    shipped = lines.join(owners, F.col("l_orderkey") == F.col("o_orderkey")).withColumn(
+        "event_ts", F.col("l_shipdate").cast("timestamp")
+    )
     event_type = (
         F.when(F.col("l_returnflag") == "R", "refund")
         .when((F.col("l_returnflag") == "N") & _every("l_suppkey", 5), "void")
@@ -45,8 +49,7 @@ def events_from(
     )
     signed = F.when(F.col("l_returnflag") == "R", -F.col("l_quantity")).otherwise(F.col("l_quantity"))
     price = F.col("l_extendedprice")
-    timed = joined.withColumn("event_ts", event_ts)
-    return timed.select(
+    return shipped.select(
         F.concat_ws("-", F.col("l_orderkey"), F.col("l_linenumber")).alias("event_id"),
         event_type.alias("event_type"),
         F.when(~_every("l_orderkey", 12), _prefixed("CUST-", "o_custkey")).alias("customer_id"),
@@ -56,31 +59,79 @@ def events_from(
         F.when(_every("l_partkey", 101), -price).otherwise(price).alias("unit_price"),
         F.when(F.col("l_discount") != 0, F.round(F.col("l_discount") * 100)).alias("discount_amount"),
         "event_ts",
-        _minutes_later(F.col("event_ts"), (F.col("l_partkey") % 7) * minutes_per_step).alias("ingest_ts"),
+        _later("event_ts", "MINUTE", F.col("l_partkey") % 7 * 20).alias("ingest_ts"),
         F.col("l_partkey").alias("src_part"),
         F.col("l_suppkey").alias("src_supplier"),
     )
 
 
-def sales_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events timed by shipping; copies of one event may differ in time."""
-    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
-    return events_from(lines, orders, F.col("l_shipdate").cast("timestamp"), 20)
+def _iso(ts: Column) -> Column:
+    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
 
 
-def order_time() -> Column:
-    """Order day and an hour of day; equal for all copies of an event, as a broker would deliver."""
-    return _minutes_later(F.col("o_orderdate").cast("timestamp"), (F.col("l_orderkey") % 24) * 60)
+def _activity(spark: SparkSession, sf_dir: str, stream: bool) -> DataFrame:
+    log = table(spark, sf_dir, "events")
+    if stream:
+        # The glob finds the table whether it is one file or a directory of files.
+        log = spark.readStream.schema(log.schema).parquet(f"{sf_dir}/events.parquet*")
+    return log.withColumn("happened", F.col("ts").cast("timestamp"))
 
 
 def delivered_events(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
-    """Events timed by ordering, up to six hours late, as batch or as file stream."""
-    orders = table(spark, sf_dir, "orders")
-    lines = table(spark, sf_dir, "lineitem")
-    if stream:
-        # The glob finds the table whether it is one file or a directory of files.
-        lines = spark.readStream.schema(lines.schema).parquet(f"{sf_dir}/lineitem.parquet*")
-    return events_from(lines, orders, order_time(), 60)
+    """The activity log as a broker would deliver it: some events twice, late or malformed.
+
+    Exactly the raw schema, timestamps as text. Copies of an event share its event time.
+    """
+    delivered = _activity(spark, sf_dir, stream).withColumn(
+        "copy", F.explode(F.sequence(F.lit(0), F.when(_every("event_id", 67), 1).otherwise(0)))
+    )
+    n = F.col("event_id")
+    event_type = (
+        F.when(n % 199 == 0, "unknown")
+        .when(F.col("event_type") == "error", "refund")
+        .when(F.col("event_type") == "signup", "void")
+        .otherwise("sale")
+    )
+    units = n % 5 + 1 + F.col("copy")
+    signed = F.when(F.col("event_type") == "error", -units).otherwise(units)
+    delay = F.when(n % 50 == 0, (n % 6 + 1) * 3600).otherwise(2) + F.col("copy") * 5
+    return delivered.select(
+        _prefixed("EVT-", "event_id").alias("event_id"),
+        event_type.alias("event_type"),
+        F.when(n % 12 != 0, _prefixed("CUST-", "user_id")).alias("customer_id"),
+        F.when(n % 200 == 0, "")
+        .otherwise(F.concat(F.lit("PROD-"), (n % 120).cast("string")))
+        .alias("product_id"),
+        F.concat(F.lit("STORE-"), (F.col("user_id") % 10).cast("string")).alias("store_id"),
+        F.when(n % 400 == 1, 0).otherwise(signed).cast("long").alias("quantity"),
+        F.when(n % 401 == 0, -F.col("value")).otherwise(F.col("value")).alias("unit_price"),
+        F.when(n % 3 != 0, (n % 4).cast("double")).alias("discount_amount"),
+        _iso(F.col("happened")).alias("event_ts"),
+        _iso(_later("happened", "SECOND", delay)).alias("ingest_ts"),
+        F.concat(F.lit("shard-"), (n % 4).cast("string")).alias("source_partition"),
+        F.lit("v1").alias("schema_version"),
+    )
+
+
+def delivered_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer snapshots from the sign-ups of the activity log, in the raw schema."""
+    tiers = F.array(*map(F.lit, [*VALID_LOYALTY_TIERS, "not_a_real_tier"]))
+    user = F.col("user_id").cast("string")
+    n = F.col("event_id")
+    return (
+        _activity(spark, sf_dir, stream=False)
+        .where("event_type = 'signup'")
+        .select(
+            F.concat(F.lit("CUST-"), user).alias("customer_id"),
+            F.concat(F.lit("  Name "), user, F.lit(" ")).alias("full_name"),
+            F.concat(F.lit(" User"), user, F.lit("@Example.COM ")).alias("email"),
+            tiers[n % 5].alias("loyalty_tier"),
+            F.when(n % 7 != 0, F.concat(F.lit("STORE-"), (n % 3).cast("string"))).alias("home_store_id"),
+            _iso(F.col("happened")).alias("snapshot_ts"),
+            _iso(_later("happened", "MINUTE", F.lit(5))).alias("ingest_ts"),
+            F.lit("v1").alias("schema_version"),
+        )
+    )
 
 
 def customer_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tillroll import schemas
 from tillroll.functions.scalars import parse_ts
 from tillroll.operators.events import NullPolicy
 from tillroll.plans.silver import judged_events, split_judged
@@ -83,7 +84,7 @@ def start_incremental_clean(
     spark: SparkSession,
     lake: Lake,
     checkpoint: str,
-    schema: T.StructType,
+    schema: T.StructType = schemas.SALES_EVENTS_RAW,
     tie_breakers: Iterable[str] | None = None,
     null_policy: NullPolicy = "quarantine",
     copies_share_day: bool = True,
@@ -100,7 +101,7 @@ def start_incremental_clean(
         null_policy,
         copies_share_day,
     )
-    reader = spark.readStream.schema(T.StructType([*schema.fields, T.StructField("ingest_date", T.DateType())]))
+    reader = spark.readStream.schema(schemas.with_partition(schema, "ingest_date"))
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     return (
