@@ -8,8 +8,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.keys import date_key, surrogate_key
-from tillroll.operators.sizes import broadcast_if_small, fits
-from tillroll.operators.sizes import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS
+from tillroll.operators.sizes import (
+    BROADCAST_MAX_BYTES,
+    BROADCAST_MAX_ROWS,
+    broadcast_if_small,
+    fits,
+)
 
 AsofStrategy = Literal["auto", "range", "days"]
 
@@ -82,7 +86,8 @@ def customer_version_by_day(sales: DataFrame, history: DataFrame) -> DataFrame:
 def asof_by_day(sales: DataFrame, history: DataFrame) -> DataFrame:
     """The same result by plain equality on (customer, day).
 
-    The day in the key spreads a busy customer, and the anonymous sales, over many tasks.
+    The day in the key spreads a busy customer, and the anonymous sales, over many tasks. ``sales``
+    is read twice, once for two columns only; hand in a stored table.
     """
     by_day = customer_version_by_day(sales, history).withColumnRenamed("customer_id", "_owner")
     condition = (F.col("customer_id") == F.col("_owner")) & (_sale_day() == F.col("_day"))

@@ -114,8 +114,10 @@ def _fact(
     history: DataFrame | None = None,
     shops: DataFrame | None = None,
 ) -> DataFrame:
+    sales = _staged_sales(spark, sf_dir)
     return fct_sales(
-        _staged_sales(spark, sf_dir),
+        # This strategy reads the sales twice, so they are stored first, as between layers.
+        pin(sales, "staged_sales") if strategy == "days" else sales,
         _history(spark, sf_dir) if history is None else history,
         dim_product(retail.products(spark, sf_dir)),
         dim_store(retail.stores(spark, sf_dir)) if shops is None else shops,

@@ -12,6 +12,7 @@ from tillroll.operators.facts import AsofStrategy, fct_sales
 from tillroll.operators.history import dim_customer_scd2
 from tillroll.operators.marts import mart_customer_ltv, mart_daily_store_sales
 from tillroll.operators.staging import stage_customer_profiles, stage_sales_events
+from tillroll.scratch import scratch_scope
 from tillroll.sources.lake import Lake, read_clean_events, read_clean_profiles
 from tillroll.sources.sinks import save_table
 
@@ -84,11 +85,12 @@ def gold_job(
     strategy: AsofStrategy = "auto",
 ) -> dict[str, DataFrame]:
     """Build and store the layer from the stored clean layer."""
-    return build_gold(
-        read_clean_events(spark, lake.clean_events),
-        read_clean_profiles(spark, lake.clean_profiles),
-        seeds,
-        dates,
-        strategy,
-        store=lambda name, df: save_table(df, lake.gold(name)),
-    )
+    with scratch_scope(spark):
+        return build_gold(
+            read_clean_events(spark, lake.clean_events),
+            read_clean_profiles(spark, lake.clean_profiles),
+            seeds,
+            dates,
+            strategy,
+            store=lambda name, df: save_table(df, lake.gold(name)),
+        )

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from tillroll import schemas
 from tillroll.operators.events import NullPolicy, Split, clean_side, dedupe_sales_events, verdict
 from tillroll.operators.profiles import clean_customer_profiles
-from tillroll.operators.sizes import broadcast_if_small
+from tillroll.operators.sizes import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, fits
 from tillroll.sources.lake import Lake, read_raw_events, read_raw_profiles
 from tillroll.sources.sinks import overwrite_flat, overwrite_partitions
 
@@ -39,21 +39,28 @@ def split_judged(judged: DataFrame) -> Split:
     return Split(dated, rejected.drop("_ok"))
 
 
-def without_unknown_references(
-    events: DataFrame, parents: dict[str, DataFrame]
-) -> Split:
+def without_unknown_references(events: DataFrame, parents: dict[str, DataFrame]) -> Split:
     """Optional reference check: rows whose id in a column has no parent go to the quarantine.
 
-    ``parents`` maps a column of the events to a frame with a column of that name. A null id passes.
+    ``parents`` maps a column of the events to a frame with a column of that name. A null id passes,
+    and stays out of a join that shuffles: null ids would all meet in one task.
     """
     marked = events
-    for column in parents:
-        known = parents[column].select(F.col(column).alias("_id")).distinct().withColumn("_known", F.lit(True))
-        marked = (
-            marked.join(broadcast_if_small(known), F.col(column) == F.col("_id"), "left")
-            .withColumn(f"_ok_{column}", F.col(column).isNull() | F.coalesce("_known", F.lit(False)))
+    for column, parent in parents.items():
+        known = parent.select(F.col(column).alias("_id")).where("_id is not null").distinct()
+        small = fits(known, BROADCAST_MAX_ROWS, BROADCAST_MAX_BYTES)
+        side = (F.broadcast(known) if small else known).withColumn("_known", F.lit(True))
+        asked = marked if small else marked.where(F.col(column).isNotNull())
+        found = F.col(column).isNull() | F.coalesce("_known", F.lit(False))
+        flagged = (
+            asked.join(side, F.col(column) == F.col("_id"), "left")
+            .withColumn(f"_ok_{column}", found)
             .drop("_id", "_known")
         )
+        if not small:
+            without_id = marked.where(F.col(column).isNull())
+            flagged = flagged.unionByName(without_id.withColumn(f"_ok_{column}", F.lit(True)))
+        marked = flagged
     flags = [f"_ok_{column}" for column in parents]
     all_known = " and ".join(flags) or "true"
     return Split(

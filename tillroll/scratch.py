@@ -4,12 +4,19 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillroll.sources.files import delete
+
 _SETTING = "spark.checkpoint.dir"
 
+# Paths handed out inside ``scratch_scope``, innermost scope last.
+_scopes: list[list[str]] = []
+
 
 @cache
 def _local_dir(application_id: str) -> str:
@@ -30,7 +37,21 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete on exit what was pinned inside. For jobs that store their results before they leave."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            delete(spark, path)
 
 
 def pin(df: DataFrame, label: str) -> DataFrame:

@@ -17,6 +17,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _open(spark, path)
+    fs.delete(hadoop_path, True)
+
+
 def partition_dirs(spark: SparkSession, path: str, column: str) -> set[str]:
     """Names ``column=value`` of the partition directories directly below ``path``."""
     fs, hadoop_path = _open(spark, path)
@@ -28,5 +33,4 @@ def partition_dirs(spark: SparkSession, path: str, column: str) -> set[str]:
 
 def drop_partition_dirs(spark: SparkSession, path: str, names: Iterable[str]) -> None:
     for name in names:
-        fs, hadoop_path = _open(spark, f"{path}/{name}")
-        fs.delete(hadoop_path, True)
+        delete(spark, f"{path}/{name}")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -29,9 +29,10 @@ class DayRebuild:
     """How a set of event days is computed anew from the stored raw events.
 
     ``copies_share_day``: all copies of an event carry the same event time, and ``ingest_date`` is
-    the date of an arrival that is not earlier than the event. Reading can then skip all landing
-    dates before the first touched day. Without it every raw event is read and deduplicated, and the
-    touched days are those of all copies of the events in the batch.
+    the date of an arrival that is not earlier than the event, up to the slack between clocks.
+    Reading can then skip all landing dates before the first touched day. Without it every raw event
+    is read and deduplicated, and the touched days are those of all copies of the events in the
+    batch.
     """
 
     lake: Lake
@@ -39,6 +40,7 @@ class DayRebuild:
     tie_breakers: tuple[str, ...] | None = None
     null_policy: NullPolicy = "quarantine"
     copies_share_day: bool = True
+    clock_slack_days: int = 1
 
     def touched_days(self, raw: DataFrame, batch: DataFrame) -> list[date | None]:
         """At most one value per calendar day; None stands for unreadable event times."""
@@ -54,7 +56,11 @@ class DayRebuild:
             return raw
         known = [d for d in days if d is not None]
         on_day = _event_day().isin(known) if known else F.lit(False)
-        late_enough = F.col("ingest_date") >= F.lit(min(known)) if known else F.lit(False)
+        # Rows without a readable arrival time lie under a null date and may belong to any day.
+        late_enough = F.col("ingest_date").isNull()
+        if known:
+            first = min(known) - timedelta(days=self.clock_slack_days)
+            late_enough = late_enough | (F.col("ingest_date") >= F.lit(first))
         rows = late_enough & on_day
         if None in days:
             rows = rows | _event_day().isNull()
