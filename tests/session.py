@@ -13,6 +13,7 @@ def local_session(cores: int | None = None) -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]")
         .appName("tillroll")
         .config("spark.ui.enabled", "false")
+        .config("spark.driver.extraJavaOptions", "-XX:+UseParallelGC")
         .config("spark.driver.memory", "8g")
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.sql.session.timeZone", "UTC")

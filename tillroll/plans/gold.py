@@ -46,12 +46,15 @@ def build_gold(
     dates: DataFrame | None = None,
     strategy: AsofStrategy = "auto",
     store: Store = _as_is,
+    events_unique: bool = True,
 ) -> dict[str, DataFrame]:
     """All tables of the layer, with staging and seeds, by name.
 
     ``store`` is called on each table in dependency order; what it returns is what later tables
     read. The clean layer holds each event once and each customer at most once a day, so the marts
-    need no distinct count and the history no distinct.
+    need no distinct count and the history no distinct. ``events_unique=False`` restores the distinct
+    count for a fact that may repeat events, say because a product id occurs twice in its seed; the
+    uniqueness checks report such cases.
     """
     sales, profiles = stage_sales_events(clean_events), stage_customer_profiles(clean_profiles)
     history = store("dim_customer_scd2", dim_customer_scd2(profiles, already_distinct=True))
@@ -59,8 +62,8 @@ def build_gold(
     shop = store("dim_store", dim_store(seeds.stores))
     calendar = store("dim_date", date_dimension(sales.sparkSession) if dates is None else dates)
     fact = store("fct_sales", fct_sales(sales, history, product, shop, strategy))
-    daily = mart_daily_store_sales(fact, shop, calendar, events_unique=True)
-    ltv = mart_customer_ltv(fact, history, events_unique=True)
+    daily = mart_daily_store_sales(fact, shop, calendar, events_unique)
+    ltv = mart_customer_ltv(fact, history, events_unique=events_unique)
     return {
         "stg_sales_events": sales,
         "stg_customer_profiles": profiles,
@@ -83,6 +86,7 @@ def gold_job(
     seeds: Seeds,
     dates: DataFrame | None = None,
     strategy: AsofStrategy = "auto",
+    events_unique: bool = True,
 ) -> dict[str, DataFrame]:
     """Build and store the layer from the stored clean layer."""
     with scratch_scope(spark):
@@ -93,4 +97,5 @@ def gold_job(
             dates,
             strategy,
             store=lambda name, df: save_table(df, lake.gold(name)),
+            events_unique=events_unique,
         )
