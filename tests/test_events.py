@@ -94,6 +94,11 @@ def test_unreadable_timestamp(spark):
     assert kept.event_ts is None and kept.is_late_arrival is None
 
 
+def test_price_that_is_no_number_passes(spark):
+    clean = clean_sales_events(events(spark, event(unit_price=float("nan")))).clean
+    assert clean.where("isnan(line_amount)").count() == 1
+
+
 def test_unknown_policy(spark):
     with pytest.raises(ValueError):
         quarantine_malformed_sales_events(events(spark, event()), "other")

@@ -1,4 +1,5 @@
 import hashlib
+import math
 from datetime import date, datetime, timedelta
 from random import Random
 
@@ -6,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillroll.functions.keys import NULL_PART, date_key, surrogate_key
+from tillroll.functions.scalars import exact_sum, to_cents
 from tillroll.operators.dimensions import date_dimension, dim_product, dim_store
 from tillroll.operators.facts import asof_by_day, asof_by_range, fct_sales, with_customer_version
 from tillroll.operators.marts import mart_customer_ltv, mart_daily_store_sales, top_customers
@@ -225,8 +227,33 @@ def test_top_customers(star):
     assert [r.customer_id for r in top_customers(mart_customer_ltv(fact, history), 2).collect()] == ["a", "b"]
 
 
-def test_sums_do_not_drift(spark):
-    from tillroll.functions.scalars import exact_sum
+@pytest.mark.parametrize("unique", [True, False])
+def test_amount_that_is_no_number_stays_in_its_own_group(spark, star, unique):
+    fact, history, stores = star
+    broken = fact.withColumn(
+        "line_amount", F.when(F.col("event_id") == "e1", F.lit(float("nan"))).otherwise(F.col("line_amount"))
+    )
+    daily = mart_daily_store_sales(broken, stores, date_dimension(spark), unique).orderBy("calendar_date").collect()
+    assert math.isnan(daily[0].total_revenue) and math.isnan(daily[0].avg_line_amount)
+    assert daily[1].total_revenue == 26.8
+    ltv = {r.customer_id: r for r in mart_customer_ltv(broken, history, "customer", unique).collect()}
+    assert math.isnan(ltv["a"].estimated_ltv) and ltv["b"].total_revenue == 5.3
+
+
+def test_sums_of_any_double(spark):
+    df = spark.createDataFrame(
+        [("inf", float("inf")), ("inf", 1.0), ("huge", 1e30), ("huge", 2.5), ("null", None), ("one", 1.25)],
+        "k string, x double",
+    )
+    got = {r.k: r.s for r in df.groupBy("k").agg(exact_sum(F.col("x")).alias("s")).collect()}
+    assert got == {"inf": float("inf"), "huge": 1e30, "null": None, "one": 1.25}
+
+
+def test_cents(spark):
+    df = spark.createDataFrame([(1.005,), (-1.005,), (2.675,), (None,), (1e40,)], "x double")
+    assert [r[0] for r in df.select(to_cents(F.col("x"))).collect()] == [1.01, -1.01, 2.68, None, 1e40]
 
+
+def test_sums_do_not_drift(spark):
     df = spark.range(1000).select(F.lit(0.1).alias("x"))
     assert df.agg(exact_sum(F.col("x"))).first()[0] == 100.0

@@ -66,6 +66,40 @@ def test_sales_by_day_join_on_customer_and_day(spark):
     assert "Exchange SinglePartition" not in plan
 
 
+def test_hot_customer_day_is_split_at_run_time(spark):
+    """A third of all sales on one customer and day: the join splits that partition."""
+    i = F.col("id")
+    hot = i % 3 == 0
+    sales = spark.range(0, 300_000, 1, 8).select(
+        i.cast("string").alias("event_id"),
+        F.when(hot, "c0").otherwise(F.concat(F.lit("c"), i % 500)).alias("customer_id"),
+        F.timestamp_seconds(F.when(hot, 0).otherwise(i * 60)).alias("event_ts"),
+    )
+    history = spark.range(500).select(
+        i.alias("customer_sk"),
+        F.concat(F.lit("c"), i).alias("customer_id"),
+        F.to_date(F.lit("1970-01-01")).alias("effective_start_date"),
+        F.lit(None).cast("date").alias("effective_end_date"),
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200KB",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        joined = asof_by_day(sales, history)
+        rows = joined.collect()
+        assert "skew=true" in plan_of(joined)
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert len(rows) == 300_000
+    assert all(r.customer_id == f"c{r.customer_sk}" for r in rows)
+
+
 def test_daily_mart_reads_four_fact_columns_and_reduces_first(spark, tmp_path):
     columns = "event_id string, store_sk long, date_sk int, quantity int, unit_price double, line_amount double"
     spark.createDataFrame([("e", 1, 20240101, 1, 1.0, 1.0)], columns).write.parquet(str(tmp_path / "f"))

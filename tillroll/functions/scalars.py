@@ -49,19 +49,29 @@ def ltv_multiplier(tier: Column) -> Column:
     return expr.otherwise(F.lit(LTV_MULTIPLIER_OTHERWISE))
 
 
-def exact_sum(amount: Column) -> Column:
-    """Order-independent sum of two-decimal amounts, as double."""
-    return F.sum(amount.cast(_AMOUNT)).cast("double")
+def exact_sum_parts(amount: Column) -> tuple[Column, Column]:
+    """Two sums that add up to the total and can be summed again: exact, and the rest.
+
+    The first is order-independent, in decimal. The second takes what no decimal can hold (NaN,
+    infinities, absurd sizes), so that one such row shows in its own total and fails no job.
+    """
+    exact = amount.try_cast(_AMOUNT)
+    return F.sum(exact), F.sum(F.when(exact.isNull(), amount))
+
 
+def sum_of_parts(exact: Column, rest: Column) -> Column:
+    """The total as double; null if both parts are."""
+    return F.coalesce(exact.cast("double") + rest, exact.cast("double"), rest)
 
-def exact_sum_decimal(amount: Column) -> Column:
-    """The same sum left as decimal, for aggregates that are merged again later."""
-    return F.sum(amount.cast(_AMOUNT))
+
+def exact_sum(amount: Column) -> Column:
+    """Order-independent sum of two-decimal amounts, as double."""
+    return sum_of_parts(*exact_sum_parts(amount))
 
 
 def to_cents(value: Column) -> Column:
-    """Half-up rounding to two decimals on the decimal digits."""
-    return F.round(value.cast(_ROUNDING), 2).cast("double")
+    """Half-up rounding to two decimals on the decimal digits, where there are such."""
+    return F.coalesce(F.round(value.try_cast(_ROUNDING), 2).cast("double"), F.round(value, 2))
 
 
 def per_unit(total: Column, count: Column) -> Column:

@@ -8,21 +8,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.scalars import (
-    exact_sum_decimal,
+    exact_sum_parts,
     ltv_multiplier,
     per_unit,
+    sum_of_parts,
     to_cents,
 )
 from tillroll.operators.sizes import broadcast_if_small
 
 LtvScope = Literal["current_version", "customer"]
 
+_PARTS = ("_exact", "_rest")
+
 
 def _event_count(events_unique: bool) -> Column:
     """Distinct events. Where each event is one fact row, counting them needs no shuffle of rows."""
     return F.count("event_id") if events_unique else F.count_distinct("event_id")
 
 
+def _revenue_parts(amount: str = "line_amount") -> dict[str, Column]:
+    return dict(zip(_PARTS, exact_sum_parts(F.col(amount)), strict=True))
+
+
+def _revenue() -> Column:
+    return sum_of_parts(*map(F.col, _PARTS))
+
+
+def _named(aggregates: dict[str, Column]) -> list[Column]:
+    return [aggregate.alias(name) for name, aggregate in aggregates.items()]
+
+
 def mart_daily_store_sales(
     fact: DataFrame, stores: DataFrame, dates: DataFrame, events_unique: bool = False
 ) -> DataFrame:
@@ -41,47 +56,42 @@ def mart_daily_store_sales(
             broadcast_if_small(day), "date_sk"
         )
 
-    amount = F.col("line_amount")
     totals = {
         "n_transactions": _event_count(events_unique),
         "total_units_sold": F.sum(F.col("quantity").cast("long")),
-        "_revenue": exact_sum_decimal(amount),
-        "_priced": F.count(amount),
+        "_priced": F.count("line_amount"),
+        **_revenue_parts(),
     }
     if events_unique:
-        per_key = fact.groupBy("store_sk", "date_sk").agg(
-            *(agg.alias(name) for name, agg in totals.items())
-        )
+        per_key = fact.groupBy("store_sk", "date_sk").agg(*_named(totals))
         # Merges keys that share all five labels; normally each group is one row.
-        result = with_dimensions(per_key).groupBy(*grain).agg(
-            *(F.sum(name).alias(name) for name in totals)
-        )
+        merged = {name: F.sum(name) for name in totals}
+        result = with_dimensions(per_key).groupBy(*grain).agg(*_named(merged))
     else:
-        result = with_dimensions(fact).groupBy(*grain).agg(
-            *(agg.alias(name) for name, agg in totals.items())
-        )
+        result = with_dimensions(fact).groupBy(*grain).agg(*_named(totals))
     return result.select(
         *grain,
         "n_transactions",
         "total_units_sold",
-        F.col("_revenue").cast("double").alias("total_revenue"),
-        per_unit(F.col("_revenue"), F.col("_priced")).alias("avg_line_amount"),
+        _revenue().alias("total_revenue"),
+        per_unit(_revenue(), F.col("_priced")).alias("avg_line_amount"),
     )
 
 
-def customer_orders(fact: DataFrame, events_unique: bool = False) -> DataFrame:
-    """Order figures per customer version; revenue stays decimal for further merging."""
+def _order_figures(events_unique: bool) -> dict[str, Column]:
     day = F.to_date("event_ts")
-    return (
-        fact.where("customer_sk is not null")
-        .groupBy("customer_sk")
-        .agg(
-            _event_count(events_unique).alias("total_orders"),
-            exact_sum_decimal(F.col("line_amount")).alias("_revenue"),
-            F.min(day).alias("first_purchase_date"),
-            F.max(day).alias("last_purchase_date"),
-        )
-    )
+    return {
+        "total_orders": _event_count(events_unique),
+        "first_purchase_date": F.min(day),
+        "last_purchase_date": F.max(day),
+        **_revenue_parts(),
+    }
+
+
+def customer_orders(fact: DataFrame, events_unique: bool = False) -> DataFrame:
+    """Order figures per customer version; revenue stays in parts for further merging."""
+    known = fact.where("customer_sk is not null")
+    return known.groupBy("customer_sk").agg(*_named(_order_figures(events_unique)))
 
 
 def _orders_of_whole_customer(
@@ -89,25 +99,16 @@ def _orders_of_whole_customer(
 ) -> DataFrame:
     owners = history.select("customer_sk", "customer_id")
     if not events_unique:
-        per_sale = fact.where("customer_sk is not null").join(owners, "customer_sk")
-        day = F.to_date("event_ts")
-        return per_sale.groupBy("customer_id").agg(
-            F.count_distinct("event_id").alias("total_orders"),
-            exact_sum_decimal(F.col("line_amount")).alias("_revenue"),
-            F.min(day).alias("first_purchase_date"),
-            F.max(day).alias("last_purchase_date"),
-        )
-    return (
-        customer_orders(fact, events_unique)
-        .join(owners, "customer_sk")
-        .groupBy("customer_id")
-        .agg(
-            F.sum("total_orders").alias("total_orders"),
-            F.sum("_revenue").alias("_revenue"),
-            F.min("first_purchase_date").alias("first_purchase_date"),
-            F.max("last_purchase_date").alias("last_purchase_date"),
-        )
-    )
+        known = fact.where("customer_sk is not null").join(owners, "customer_sk")
+        return known.groupBy("customer_id").agg(*_named(_order_figures(events_unique)))
+    merged = {
+        "total_orders": F.sum("total_orders"),
+        "first_purchase_date": F.min("first_purchase_date"),
+        "last_purchase_date": F.max("last_purchase_date"),
+        **{part: F.sum(part) for part in _PARTS},
+    }
+    per_version = customer_orders(fact, events_unique).join(owners, "customer_sk")
+    return per_version.groupBy("customer_id").agg(*_named(merged))
 
 
 def mart_customer_ltv(
@@ -128,7 +129,7 @@ def mart_customer_ltv(
         orders, on = _orders_of_whole_customer(fact, history, events_unique), "customer_id"
     else:
         raise ValueError(f"unknown scope: {scope}")
-    revenue = F.coalesce(F.col("_revenue").cast("double"), F.lit(0.0))
+    revenue = F.coalesce(_revenue(), F.lit(0.0))
     count = F.coalesce(F.col("total_orders"), F.lit(0))
     return current.join(orders, on, "left").select(
         "customer_sk",
