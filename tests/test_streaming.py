@@ -2,15 +2,15 @@ from datetime import date
 
 import pytest
 
-from tests.rows import event, events
+from tests.rows import event, events, profile, profiles
 from tillroll import schemas
 from tillroll.operators.events import clean_sales_events
 from tillroll.sources import sinks
 from tillroll.sources.files import partition_dirs
-from tillroll.sources.lake import Lake, read_clean_events, read_raw_events
+from tillroll.sources.lake import Lake, read_clean_events, read_clean_profiles, read_raw_events
 from tillroll.streaming.landing import start_landing, with_ingest_date
 from tillroll.streaming.live import daily_revenue, latest_copies, live_split
-from tillroll.streaming.upsert import DayRebuild, start_incremental_clean
+from tillroll.streaming.upsert import EventDays, start_incremental_clean, start_incremental_profiles
 
 
 @pytest.fixture
@@ -126,12 +126,34 @@ def test_incremental_equals_full_run_in_any_batching(spark, place):
 
 def test_rebuild_skips_older_landing_dates(spark, place):
     land(spark, place, event())
-    rebuild = DayRebuild(place.lake, schemas.SALES_EVENTS_RAW)
-    rows = rebuild.candidates(read_raw_events(spark, place.lake.raw_events), [date(2026, 7, 20)])
+    rows = EventDays(place.lake).candidates(read_raw_events(spark, place.lake.raw_events), [date(2026, 7, 20)])
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [(isnull(ingest_date" in plan and "2026-07-19" in plan
 
 
+def test_incremental_profiles(spark, place):
+    def land_profiles(*rows):
+        sinks.land_batch(with_ingest_date(profiles(spark, *rows)), place.lake.raw_profiles)
+
+    def run():
+        start_incremental_profiles(spark, place.lake, place.path("profiles-cp")).awaitTermination()
+        rows = read_clean_profiles(spark, place.lake.clean_profiles).collect()
+        return sorted((r.customer_id, r.loyalty_tier, str(r.snapshot_date)) for r in rows)
+
+    land_profiles(profile(), profile(customer_id="CUST-2"), profile(customer_id="CUST-3", snapshot_ts="?"))
+    assert run() == [
+        ("CUST-1", "gold", "2026-07-20"), ("CUST-2", "gold", "2026-07-20"), ("CUST-3", "gold", "None"),
+    ]
+    land_profiles(
+        profile(snapshot_ts="2026-07-20T08:00:00", loyalty_tier="silver", ingest_ts="2026-07-22T00:00:00"),
+        profile(customer_id="CUST-2", snapshot_ts="2026-07-21T00:00:00", ingest_ts="2026-07-22T00:00:00"),
+        profile(customer_id="CUST-2", snapshot_ts="2026-07-20T09:00:00", loyalty_tier="?"),
+    )
+    assert run() == [
+        ("CUST-1", "silver", "2026-07-20"), ("CUST-2", "gold", "2026-07-21"), ("CUST-3", "gold", "None"),
+    ]
+
+
 def run_live(spark, place, result):
     query = (
         result.writeStream.format("parquet")

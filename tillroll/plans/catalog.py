@@ -51,7 +51,7 @@ from tillroll.sources.lake import (
 from tillroll.sources.sinks import export_csv, land_batch
 from tillroll.streaming.landing import start_landing, with_ingest_date
 from tillroll.streaming.live import daily_revenue, live_split
-from tillroll.streaming.upsert import start_incremental_clean
+from tillroll.streaming.upsert import start_incremental_clean, start_incremental_profiles
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -511,6 +511,15 @@ def stream_quarantine(spark, sf_dir):
     return rejected.drop("ingest_date", "source_partition", "schema_version")
 
 
+@query
+def stream_clean_profiles(spark, sf_dir):
+    lake = Lake(fresh_path(spark, "lake"))
+    source = retail.delivered_profiles(spark, sf_dir, stream=True)
+    _run(start_landing(source, lake.raw_profiles, fresh_path(spark, "landing-checkpoint")))
+    _run(start_incremental_profiles(spark, lake, fresh_path(spark, "clean-checkpoint")))
+    return _unstamped(read_clean_profiles(spark, lake.clean_profiles))
+
+
 @query
 def stream_latest_events(spark, sf_dir):
     return _unstamped(_live(spark, sf_dir, lambda clean: clean))

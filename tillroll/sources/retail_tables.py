@@ -113,13 +113,13 @@ def delivered_events(spark: SparkSession, sf_dir: str, stream: bool = False) ->
     )
 
 
-def delivered_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+def delivered_profiles(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     """Customer snapshots from the sign-ups of the activity log, in the raw schema."""
     tiers = F.array(*map(F.lit, [*VALID_LOYALTY_TIERS, "not_a_real_tier"]))
     user = F.col("user_id").cast("string")
     n = F.col("event_id")
     return (
-        _activity(spark, sf_dir, stream=False)
+        _activity(spark, sf_dir, stream)
         .where("event_type = 'signup'")
         .select(
             F.concat(F.lit("CUST-"), user).alias("customer_id"),

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import date, timedelta
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -15,75 +15,129 @@ from pyspark.sql.streaming import StreamingQuery
 from tillroll import schemas
 from tillroll.functions.scalars import parse_ts
 from tillroll.operators.events import NullPolicy
+from tillroll.operators.profiles import clean_customer_profiles
 from tillroll.plans.silver import judged_events, split_judged
-from tillroll.sources.lake import Lake, read_raw_events
+from tillroll.sources.lake import Lake, read_raw_events, read_raw_profiles
 from tillroll.sources.sinks import overwrite_partitions
 
+Days = list[date | None]
 
-def _event_day():
-    return F.to_date(parse_ts(F.col("event_ts")))
+# How far the clock that stamps events may run ahead of the one that stamps arrivals.
+CLOCK_SLACK_DAYS = 1
+
+
+def day_of(ts: str) -> Column:
+    return F.to_date(parse_ts(F.col(ts)))
+
+
+def days_in(df: DataFrame, day: Column) -> Days:
+    """At most one value per calendar day; None stands for unreadable times."""
+    return [r.day for r in df.select(day.alias("day")).distinct().collect()]
+
+
+def is_one_of(day: Column, days: Days) -> Column:
+    found = day.isin([d for d in days if d is not None])
+    return F.coalesce(found, F.lit(None in days))
+
+
+def landed_for(raw: DataFrame, day: Column, days: Days) -> DataFrame:
+    """Raw rows of ``days``, read from the landing dates that can hold them.
+
+    Nothing lands before it happens, up to the slack between clocks. Rows without a readable arrival
+    lie under a null date and may belong to any day; without a readable day they may lie anywhere.
+    """
+    rows = raw.where(is_one_of(day, days))
+    if not days or None in days:
+        return rows
+    first = min(days) - timedelta(days=CLOCK_SLACK_DAYS)
+    return rows.where(F.col("ingest_date").isNull() | (F.col("ingest_date") >= F.lit(first)))
 
 
 @dataclass(frozen=True)
-class DayRebuild:
+class EventDays:
     """How a set of event days is computed anew from the stored raw events.
 
     ``copies_share_day``: all copies of an event carry the same event time, and ``ingest_date`` is
-    the date of an arrival that is not earlier than the event, up to the slack between clocks.
-    Reading can then skip all landing dates before the first touched day. Without it every raw event
-    is read and deduplicated, and the touched days are those of all copies of the events in the
-    batch.
+    the date of arrival. Then the touched days decide alone, and reading skips all landing dates
+    before them. Without it every raw event is read and deduplicated, and the touched days are those
+    of all copies of the events in the batch.
     """
 
     lake: Lake
-    schema: T.StructType
+    schema: T.StructType = schemas.SALES_EVENTS_RAW
     tie_breakers: tuple[str, ...] | None = None
     null_policy: NullPolicy = "quarantine"
     copies_share_day: bool = True
-    clock_slack_days: int = 1
 
-    def touched_days(self, raw: DataFrame, batch: DataFrame) -> list[date | None]:
-        """At most one value per calendar day; None stands for unreadable event times."""
-        rows = batch
-        if not self.copies_share_day:
-            ids = batch.select("event_id").distinct()
-            rows = raw.join(ids, raw.event_id.eqNullSafe(ids.event_id), "left_semi")
-        return [r.day for r in rows.select(_event_day().alias("day")).distinct().collect()]
+    def touched(self, raw: DataFrame, batch: DataFrame) -> Days:
+        if self.copies_share_day:
+            return days_in(batch, day_of("event_ts"))
+        ids = batch.select("event_id").distinct()
+        copies = raw.join(ids, raw.event_id.eqNullSafe(ids.event_id), "left_semi")
+        return days_in(copies, day_of("event_ts"))
 
-    def candidates(self, raw: DataFrame, days: list[date | None]) -> DataFrame:
+    def candidates(self, raw: DataFrame, days: Days) -> DataFrame:
         """Raw events that decide the content of ``days``."""
-        if not self.copies_share_day:
-            return raw
-        known = [d for d in days if d is not None]
-        on_day = _event_day().isin(known) if known else F.lit(False)
-        # Rows without a readable arrival time lie under a null date and may belong to any day.
-        late_enough = F.col("ingest_date").isNull()
-        if known:
-            first = min(known) - timedelta(days=self.clock_slack_days)
-            late_enough = late_enough | (F.col("ingest_date") >= F.lit(first))
-        rows = late_enough & on_day
-        if None in days:
-            rows = rows | _event_day().isNull()
-        return raw.where(rows)
-
-    def run(self, spark: SparkSession, batch: DataFrame) -> None:
+        return landed_for(raw, day_of("event_ts"), days) if self.copies_share_day else raw
+
+    def rebuild(self, spark: SparkSession, batch: DataFrame) -> None:
         """Idempotent: depends only on the days touched and on what is stored."""
         raw = read_raw_events(spark, self.lake.raw_events, self.schema)
-        days = self.touched_days(raw, batch)
+        days = self.touched(raw, batch)
         if not days:
             return
         judged = judged_events(self.candidates(raw, days), self.tie_breakers, self.null_policy)
-        judged = judged.withColumn("event_date", _event_day())
-        in_days = F.col("event_date").isin([d for d in days if d is not None])
-        if None in days:
-            in_days = F.coalesce(in_days, F.lit(False)) | F.col("event_date").isNull()
-        judged = judged.where(in_days).persist(StorageLevel.DISK_ONLY)
+        dated = judged.withColumn("event_date", day_of("event_ts"))
+        kept = dated.where(is_one_of(F.col("event_date"), days)).persist(StorageLevel.DISK_ONLY)
         try:
-            split = split_judged(judged)
+            split = split_judged(kept)
             overwrite_partitions(split.clean, self.lake.clean_events, "event_date", days)
             overwrite_partitions(split.quarantine, self.lake.quarantine, "event_date", days)
         finally:
-            judged.unpersist()
+            kept.unpersist()
+
+
+@dataclass(frozen=True)
+class ProfileDays:
+    """How a set of snapshot days is computed anew; a snapshot belongs to its day alone."""
+
+    lake: Lake
+    schema: T.StructType = schemas.PROFILES_RAW
+    tie_breakers: tuple[str, ...] | None = None
+
+    def rebuild(self, spark: SparkSession, batch: DataFrame) -> None:
+        days = days_in(batch, day_of("snapshot_ts"))
+        if not days:
+            return
+        raw = read_raw_profiles(spark, self.lake.raw_profiles, self.schema)
+        rows = landed_for(raw, day_of("snapshot_ts"), days)
+        clean = clean_customer_profiles(rows, self.tie_breakers)
+        dated = clean.withColumn("snapshot_date", F.to_date("snapshot_ts"))
+        overwrite_partitions(dated, self.lake.clean_profiles, "snapshot_date", days)
+
+
+def _follow(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    rebuild: Callable[[SparkSession, DataFrame], None],
+    checkpoint: str,
+    max_files_per_batch: int | None,
+) -> StreamingQuery:
+    reader = spark.readStream.schema(schemas.with_partition(schema, "ingest_date"))
+    if max_files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
+    return (
+        reader.parquet(path)
+        .writeStream.foreachBatch(lambda batch, _: rebuild(batch.sparkSession, batch))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def _tuple(names: Iterable[str] | None) -> tuple[str, ...] | None:
+    return None if names is None else tuple(names)
 
 
 def start_incremental_clean(
@@ -100,20 +154,18 @@ def start_incremental_clean(
 
     A later good copy clears an earlier reject, since both sides of a day are written anew.
     """
-    rebuild = DayRebuild(
-        lake,
-        schema,
-        None if tie_breakers is None else tuple(tie_breakers),
-        null_policy,
-        copies_share_day,
-    )
-    reader = spark.readStream.schema(schemas.with_partition(schema, "ingest_date"))
-    if max_files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
-    return (
-        reader.parquet(lake.raw_events)
-        .writeStream.foreachBatch(lambda batch, _: rebuild.run(batch.sparkSession, batch))
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    days = EventDays(lake, schema, _tuple(tie_breakers), null_policy, copies_share_day)
+    return _follow(spark, lake.raw_events, schema, days.rebuild, checkpoint, max_files_per_batch)
+
+
+def start_incremental_profiles(
+    spark: SparkSession,
+    lake: Lake,
+    checkpoint: str,
+    schema: T.StructType = schemas.PROFILES_RAW,
+    tie_breakers: Iterable[str] | None = None,
+    max_files_per_batch: int | None = None,
+) -> StreamingQuery:
+    """The same for customer snapshots."""
+    days = ProfileDays(lake, schema, _tuple(tie_breakers))
+    return _follow(spark, lake.raw_profiles, schema, days.rebuild, checkpoint, max_files_per_batch)
