@@ -6,10 +6,17 @@ from random import Random
 import pytest
 from pyspark.sql import functions as F
 
+from tillroll import schemas
 from tillroll.functions.keys import NULL_PART, date_key, surrogate_key
 from tillroll.functions.scalars import exact_sum, to_cents
 from tillroll.operators.dimensions import date_dimension, dim_product, dim_store
-from tillroll.operators.facts import asof_by_day, asof_by_range, fct_sales, with_customer_version
+from tillroll.operators.facts import (
+    asof_by_day,
+    asof_by_range,
+    choose_strategy,
+    fct_sales,
+    with_customer_version,
+)
 from tillroll.operators.marts import mart_customer_ltv, mart_daily_store_sales, top_customers
 
 HISTORY = "customer_sk long, customer_id string, effective_start_date date, effective_end_date date"
@@ -51,16 +58,11 @@ def test_asof_equals_brute_force(spark, world, strategy, monkeypatch):
     versions, sales = world
     history = spark.createDataFrame(versions, HISTORY)
     frame = spark.createDataFrame(sales, SALES)
-    if strategy == "broadcast":
-        joined = asof_by_range(frame, history, broadcast=True)
-    elif strategy == "range":
-        joined = asof_by_range(frame, history)
-    elif strategy == "days":
-        joined = asof_by_day(frame, history)
-    else:
-        if strategy == "auto large":
-            monkeypatch.setattr("tillroll.operators.facts.BROADCAST_MAX_ROWS", 3)
-        joined = with_customer_version(frame, history)
+    if strategy == "auto large":
+        monkeypatch.setattr("tillroll.operators.facts.BROADCAST_MAX_ROWS", 3)
+        assert choose_strategy(history) == "days"
+        strategy = "auto"
+    joined = with_customer_version(frame, history, strategy)
     assert joined.columns == [*frame.columns, "customer_sk"]
     got = joined.collect()
     assert len(got) == len(sales)
@@ -122,13 +124,13 @@ def star(spark):
     products = dim_product(
         spark.createDataFrame(
             [("p2", "b", "c", "s", 1.0, 2.0), ("p1", "a", "c", "s", 1.0, 2.0)],
-            "product_id string, product_name string, category string, subcategory string, unit_cost double, list_price double",
+            schemas.PRODUCTS,
         )
     )
     stores = dim_store(
         spark.createDataFrame(
             [("s2", "two", "N", "x"), ("s1", "one", "S", "x")],
-            "store_id string, store_name string, region string, store_type string",
+            schemas.STORES,
         )
     )
     history = spark.createDataFrame(
@@ -138,7 +140,8 @@ def star(spark):
             (3, "b", "platinum", date(2026, 1, 1), None, True),
             (4, "c", "bronze", date(2026, 1, 1), None, True),
         ],
-        "customer_sk long, customer_id string, loyalty_tier string, effective_start_date date, effective_end_date date, is_current boolean",
+        "customer_sk long, customer_id string, loyalty_tier string, effective_start_date date,"
+        " effective_end_date date, is_current boolean",
     )
     now = datetime(2026, 2, 1)
     sales = spark.createDataFrame(
@@ -191,7 +194,8 @@ def test_repeated_events_count_once_without_the_uniqueness_claim(spark, star):
 def test_stores_sharing_all_labels_form_one_group(spark, star):
     fact, _, _ = star
     twins = spark.createDataFrame(
-        [(1, "s", "same", "N"), (2, "s", "same", "N")], "store_sk long, store_id string, store_name string, region string"
+        [(1, "s", "same", "N"), (2, "s", "same", "N")],
+        "store_sk long, store_id string, store_name string, region string",
     )
     both = fact.withColumn("date_sk", F.lit(20260110))
     results = [

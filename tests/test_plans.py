@@ -26,7 +26,7 @@ def plan_of(df):
 @pytest.mark.parametrize("name", BUILT_WITHOUT_STORING)
 def test_no_python_and_no_cross_join(spark, name):
     plan = plan_of(entry.queries()[name](spark, SF))
-    for node in ("PythonUDF", "ArrowEvalPython", "BatchEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
+    for node in ("PythonUDF", "EvalPython", "InPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in plan
 
 
@@ -104,7 +104,9 @@ def test_daily_mart_reads_four_fact_columns_and_reduces_first(spark, tmp_path):
     columns = "event_id string, store_sk long, date_sk int, quantity int, unit_price double, line_amount double"
     spark.createDataFrame([("e", 1, 20240101, 1, 1.0, 1.0)], columns).write.parquet(str(tmp_path / "f"))
     fact = spark.read.parquet(str(tmp_path / "f"))
-    stores = spark.createDataFrame([(1, "s", "n", "r")], "store_sk long, store_id string, store_name string, region string")
+    stores = spark.createDataFrame(
+        [(1, "s", "n", "r")], "store_sk long, store_id string, store_name string, region string"
+    )
     dates = spark.createDataFrame([(20240101, None, True)], "date_sk int, calendar_date date, is_weekend boolean")
     plan = plan_of(mart_daily_store_sales(fact, stores, dates, events_unique=True))
     scan = next(line for line in plan.splitlines() if "FileScan parquet" in line)

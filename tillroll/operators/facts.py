@@ -15,7 +15,7 @@ from tillroll.operators.sizes import (
     fits,
 )
 
-AsofStrategy = Literal["auto", "range", "days"]
+AsofStrategy = Literal["auto", "broadcast", "range", "days"]
 
 _VERSION = ["customer_id", "customer_sk", "effective_start_date", "effective_end_date"]
 
@@ -94,19 +94,25 @@ def asof_by_day(sales: DataFrame, history: DataFrame) -> DataFrame:
     return sales.join(by_day, condition, "left").select(*sales.columns, "customer_sk")
 
 
+def choose_strategy(history: DataFrame) -> AsofStrategy:
+    """``broadcast`` for a history that is measured small, ``days`` beyond that."""
+    small = fits(history.select(*_VERSION), BROADCAST_MAX_ROWS, BROADCAST_MAX_BYTES)
+    return "broadcast" if small else "days"
+
+
 def with_customer_version(
     sales: DataFrame, history: DataFrame, strategy: AsofStrategy = "auto"
 ) -> DataFrame:
     """Adds ``customer_sk`` of the version valid on the sale's day; null if there is none.
 
-    ``auto`` broadcasts a history that is measured small and goes by day otherwise.
+    All strategies give the same rows. ``broadcast`` is for a history that ``choose_strategy``
+    measured; ``auto`` measures it here.
     """
+    if strategy == "auto":
+        strategy = choose_strategy(history)
     if strategy == "days":
         return asof_by_day(sales, history)
-    small = fits(history.select(*_VERSION), BROADCAST_MAX_ROWS, BROADCAST_MAX_BYTES)
-    if strategy == "auto" and not small:
-        return asof_by_day(sales, history)
-    return asof_by_range(sales, history, broadcast=small)
+    return asof_by_range(sales, history, broadcast=strategy == "broadcast")
 
 
 def with_lookup(df: DataFrame, dim: DataFrame, key: str, surrogate: str) -> DataFrame:

@@ -18,7 +18,7 @@ from tillroll.operators.events import (
     enrich_sales_events,
     quarantine_malformed_sales_events,
 )
-from tillroll.operators.facts import AsofStrategy, fct_sales
+from tillroll.operators.facts import AsofStrategy, choose_strategy, fct_sales
 from tillroll.operators.history import (
     CUSTOMER_CARRIED,
     CUSTOMER_TRACKED,
@@ -115,10 +115,12 @@ def _fact(
     shops: DataFrame | None = None,
 ) -> DataFrame:
     sales = _staged_sales(spark, sf_dir)
+    history = _history(spark, sf_dir) if history is None else history
+    strategy = choose_strategy(history) if strategy == "auto" else strategy
     return fct_sales(
-        # This strategy reads the sales twice, so they are stored first, as between layers.
+        # By day, the sales are read twice; they are stored first, as they are between layers.
         pin(sales, "staged_sales") if strategy == "days" else sales,
-        _history(spark, sf_dir) if history is None else history,
+        history,
         dim_product(retail.products(spark, sf_dir)),
         dim_store(retail.stores(spark, sf_dir)) if shops is None else shops,
         strategy,

@@ -56,4 +56,10 @@ def daily_revenue(clean: DataFrame) -> DataFrame:
         F.count("event_id").alias("n_transactions"),
         F.sum(F.col("quantity")).alias("total_units_sold"),
         exact_sum(F.col("line_amount")).alias("total_revenue"),
-    ).select("store_id", F.to_date("_day.start").alias("sales_date"), "n_transactions", "total_units_sold", "total_revenue")
+    ).select(
+        "store_id",
+        F.to_date("_day.start").alias("sales_date"),
+        "n_transactions",
+        "total_units_sold",
+        "total_revenue",
+    )
