@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -16,6 +17,7 @@ def local_session(cores: int | None = None) -> SparkSession:
         .config("spark.driver.extraJavaOptions", "-XX:+UseParallelGC")
         .config("spark.driver.memory", "8g")
         .config("spark.driver.host", "127.0.0.1")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tillroll-shared-"))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
-from functools import cache
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,43 +13,39 @@ from tillroll.sources.files import delete
 
 _SETTING = "spark.checkpoint.dir"
 
-# Paths handed out inside ``scratch_scope``, innermost scope last.
-_scopes: list[list[str]] = []
-
-
-@cache
-def _local_dir(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix="tillroll-")
+# Paths handed out inside the innermost ``scratch_scope`` of this thread or task.
+_scope: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors reach, as named by the cluster.
-
-    Only a local master may do without the setting: there every task runs on this machine.
-    """
+    """The folder all executors reach: as the cluster names it, else below the session's warehouse."""
     folder = spark.conf.get(_SETTING, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {_SETTING} to a folder that every executor can reach")
-    return _local_dir(spark.sparkContext.applicationId)
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    return folder.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    if _scopes:
-        _scopes[-1].append(path)
+    scope = _scope.get()
+    if scope is not None:
+        scope.append(path)
     return path
 
 
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
-    """Delete on exit what was pinned inside. For jobs that store their results before they leave."""
-    _scopes.append([])
+    """Delete on exit what was pinned inside. For jobs that store their results before they leave.
+
+    Each thread has its own scope, so jobs that run side by side never delete each other's pins.
+    """
+    paths: list[str] = []
+    token = _scope.set(paths)
     try:
         yield
     finally:
-        for path in _scopes.pop():
+        _scope.reset(token)
+        for path in paths:
             delete(spark, path)
 
 
