@@ -254,7 +254,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` that link. First the suffix filter, on the counts by hash range alone; then the
     whole overlap of what is left."""
     needed = _overlap_needed(F.col("na"), F.col("nb"), percent)
-    at_most = F.aggregate(F.zip_with("ba", "bb", F.least), F.lit(0), lambda total, x: total + x)
+    at_most = F.aggregate(F.zip_with("ba", "bb", lambda x, y: F.least(x, y)), F.lit(0), lambda total, x: total + x)
     counted = pairs
     for side in "ab":
         counted = counted.join(
