@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillroll.llm.fingerprints import op9_document_fingerprints
+from tillroll.llm.lm_scoring import op4_lm_scoring
 from tillroll.llm.mixing import op1_mixing
 from tillroll.llm.ngram_join import op2_ngram_jaccard_join
 from tillroll.llm.packing import op6_best_fit_packing
@@ -13,6 +15,7 @@ from tillroll.llm.quality_rules import op8_quality_rules
 from tillroll.llm.secret_scans import op5_secret_scans
 from tillroll.llm.sharding import op10_sharding
 from tillroll.llm.statements import STATEMENTS
+from tillroll.llm.token_counts import op3_token_counts
 from tillroll.llm.url_filters import op7_url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -20,10 +23,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_mixing,
         op2_ngram_jaccard_join,
+        op3_token_counts,
+        op4_lm_scoring,
         op5_secret_scans,
         op6_best_fit_packing,
         op7_url_filters,
         op8_quality_rules,
+        op9_document_fingerprints,
         op10_sharding,
     )
 }

@@ -25,9 +25,9 @@ class WordTokenizer:
 
     def _forget(self) -> None:
         self._number: dict[str, int] = {}
-        self._ids = _Growing(np.uint32)
-        self._start = _Growing(np.int64)
-        self._count = _Growing(np.int64)
+        self._ids = Growing(np.uint32)
+        self._start = Growing(np.int64)
+        self._count = Growing(np.int64)
         self._learn([".", ","])
 
     def _encode(self, words: list[str]) -> list[np.ndarray]:
@@ -106,7 +106,7 @@ def _runs(words: list[str], rare: set[str]) -> Iterator[tuple[bool, list[str]]]:
         yield is_rare, list(run)
 
 
-class _Growing:
+class Growing:
     """An array that doubles its room when full."""
 
     def __init__(self, dtype):
