@@ -31,6 +31,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,7 +45,7 @@ from tillroll.scratch import pin
 
 WORDS = 4
 PERCENT = 85
-_RANGES = 16
+_RANGES = 128  # a power of two
 _SLICE = 64
 
 
@@ -205,19 +206,24 @@ def _ordered_sets(docs: DataFrame, text: str, left: DataFrame, words: int, perce
     lists = (
         postings.join(counts, "h")
         .groupBy("set_key")
-        .agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("hs"), F.avg("df").alias("weight"))
+        .agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("hs"), F.sum("df").alias("total"))
         .join(left.select("set_key", "n"), "set_key")
         .where(F.size("hs") >= F.expr(f"({percent} * n + 99) div 100"))
     )
     hashes = F.transform("hs", lambda x: x["h"])
+    # How common a set's shingles are, those without other owner included: a set that many others are edits
+    # of has few of them.
+    weight = (F.col("total") + F.col("n") - F.size("hs")) / F.col("n")
     ordered = lists.select(
-        "set_key", "n", (F.col("n") - F.size("hs")).alias("alone"), hashes.alias("hs"), "weight"
+        "set_key", "n", (F.col("n") - F.size("hs")).alias("alone"), hashes.alias("hs"), weight.alias("weight")
     )
-    bins = F.transform(
-        F.sequence(F.lit(0), F.lit(_RANGES - 1)),
-        lambda r: F.size(F.filter("hs", lambda h: F.pmod(h, F.lit(_RANGES)) == r)),
-    )
-    return pin(ordered.withColumn("bins", bins), "sets")
+    return pin(ordered.withColumn("bins", _by_range("hs")), "sets")
+
+
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
+def _by_range(sets: pd.Series) -> pd.Series:
+    """How many of a set's hashes fall into each range."""
+    return sets.map(lambda h: np.bincount(np.asarray(h) & (_RANGES - 1), minlength=_RANGES))
 
 
 def _overlap_needed(n: Column, m: Column, percent: int) -> Column:
@@ -250,11 +256,15 @@ def _may_link(percent: int) -> Column:
     return lengths & (behind >= _overlap_needed(n, m, percent))
 
 
+def _ranges_allow(a: str, b: str, needed: Column) -> Column:
+    """Suffix filter: sets share at most the smaller count of each hash range."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.least(x, y)), F.lit(0), lambda n, x: n + x) >= needed
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` that link. First the suffix filter, on the counts by hash range alone; then the
     whole overlap of what is left."""
     needed = _overlap_needed(F.col("na"), F.col("nb"), percent)
-    at_most = F.aggregate(F.zip_with("ba", "bb", lambda x, y: F.least(x, y)), F.lit(0), lambda total, x: total + x)
     counted = pairs
     for side in "ab":
         counted = counted.join(
@@ -264,7 +274,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             side,
         )
     overlap = F.size(F.array_intersect("ha", "hb"))
-    whole_sets = counted.where(at_most >= needed).select("a", "b", "na", "nb")
+    whole_sets = counted.where(_ranges_allow("ba", "bb", needed)).select("a", "b", "na", "nb")
     for side in "ab":
         whole_sets = whole_sets.join(
             sets.select(F.col("set_key").alias(side), F.col("hs").alias("h" + side)), side
@@ -305,13 +315,15 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
         .where(F.col("lo") != F.col("hi"))
         .select("h")
     )
-    rows = classed.join(mixed, "h")
+    # The ranges go along here, so that the join itself gives out few pairs that do not link.
+    rows = classed.join(mixed, "h").join(sets.select("set_key", "bins"), "set_key")
     other = rows.select(
         "h",
         F.col("set_key").alias("other"),
         F.col("n").alias("m"),
         F.col("pos").alias("mpos"),
         F.col("label").alias("olabel"),
+        F.col("bins").alias("obins"),
     )
     across = (
         rows.join(other, "h")
@@ -319,6 +331,7 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
             (F.col("set_key") < F.col("other"))
             & (F.col("label") != F.col("olabel"))
             & _may_link(percent)
+            & _ranges_allow("bins", "obins", _overlap_needed(F.col("n"), F.col("m"), percent))
         )
         .select(F.col("set_key").alias("a"), F.col("other").alias("b"))
         .distinct()
