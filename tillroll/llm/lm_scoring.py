@@ -44,19 +44,18 @@ from tillroll.scratch import pin
 
 ROUNDS = ((0, 1, 0.01), (1, 4, 0.005), (4, 16, 0.003))  # slices of 16 from, to; step size
 SLICES = 16
-BATCH_TOKENS = 400_000
+BATCH_TOKENS = 1_500_000
 
 
-def _batches(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[list[tuple[tuple, list[bytes]]]]:
-    """Tokens of some texts at a time, with the other columns of their rows."""
+def _batches(batches: Iterator[pa.RecordBatch], prepare) -> Iterator[list]:
+    """``(class sequence, what else prepare returns)`` of many texts at a time. One long text then keeps its
+    lane busy while the others have theirs."""
     held, size = [], 0
     for batch in batches:
         for low in range(0, batch.num_rows, 128):
-            rows = zip(*(c.to_pylist() for c in batch.slice(low, 128).columns))
-            for row in rows:
-                found = tokens(row[column])
-                held.append((row[:column] + row[column + 1 :], found))
-                size += len(found)
+            for row in zip(*(c.to_pylist() for c in batch.slice(low, 128).columns)):
+                held.append(prepare(*row))
+                size += len(held[-1][0])
             if size >= BATCH_TOKENS:
                 yield held
                 held, size = [], 0
@@ -77,8 +76,8 @@ def train_model(docs: DataFrame, text: str, words: Vocabulary) -> np.ndarray:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             params = network.unflatten(start, classes)
             memory, lookup, seen = network.new_memory(params), Lookup(shared.value), 0
-            for rows in _batches(batches, 0):
-                seen += network.train(params, memory, [lookup(found)[0] for _, found in rows], rate)
+            for rows in _batches(batches, lambda value: lookup(tokens(value))[:1]):
+                seen += network.train(params, memory, [classed for classed, in rows], rate)
             moved = (network.flatten(params) - start) * seen
             yield pa.RecordBatch.from_arrays(
                 [pa.array([moved], pa.list_(pa.float64())), pa.array([seen], pa.int64())],
@@ -115,26 +114,23 @@ def _scored(docs: DataFrame, text: str, id_column: str, words: Vocabulary, flat:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         params, lookup = network.unflatten(flat, classes), Lookup(shared.value)
         task, number = TaskContext.get().partitionId(), 0
-        for held in _batches(batches, 2):
-            found = [(r, t, *lookup(t)) for r, t in held]
-            logs = network.score(params, [c for *_, c, _ in found]) / math.log(10)
+
+        def prepare(ident, is_out, value):
+            found = tokens(value)
+            classed, counts = lookup(found)
+            known = counts >= 0
+            rest = Counter(found[k] for k in np.flatnonzero(~known))
+            head_log = float(np.log10(counts[known] + SMOOTHING).sum())
+            n_known = int((counts > 0).sum())
+            return classed, (ident, is_out, len(found), n_known, head_log), rest
+
+        for held in _batches(batches, prepare):
+            logs = network.score(params, [classed for classed, *_ in held]) / math.log(10)
             out: list[list] = [[] for _ in range(9)]
-            for (row, toks, classed, counts), log in zip(found, logs):
-                known = counts >= 0
-                rest = Counter(toks[k] for k in np.flatnonzero(~known))
-                for column, value in zip(
-                    out,
-                    (
-                        f"{task}-{number}",
-                        *row,
-                        len(toks),
-                        int((counts > 0).sum()),
-                        float(np.log10(counts[known] + SMOOTHING).sum()),
-                        float(log - log_mass[classed].sum()),
-                        list(rest.keys()),
-                        list(rest.values()),
-                    ),
-                ):
+            for (classed, figures, rest), log in zip(held, logs):
+                class_log = float(log - log_mass[classed].sum())
+                row = (f"{task}-{number}", *figures, class_log, list(rest.keys()), list(rest.values()))
+                for column, value in zip(out, row):
                     column.append(value)
                 number += 1
             yield pa.RecordBatch.from_arrays(

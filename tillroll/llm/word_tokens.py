@@ -20,6 +20,7 @@ _MAX_WORDS, _MAX_CHARS = 1_000_000, 48  # bounds of the memory that is kept
 class WordTokenizer:
     def __init__(self, path: str):
         self._tokenizer = Tokenizer.from_file(path)
+        self._model = self._tokenizer.model
         self._end = self._tokenizer.token_to_id(_END)
         self._forget()
 
@@ -31,8 +32,20 @@ class WordTokenizer:
         self._learn([".", ","])
 
     def _encode(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of each word; many words go through the tokenizer as one text, split at the end token,
-        which no word may then contain."""
+        """Ids of each word. Words of small ASCII letters are one piece that nothing normalises, so they go
+        to the tokenizer's model directly; others go through the whole tokenizer."""
+        plain = [w.isascii() and w.isalpha() and w.islower() for w in words]
+        others = iter(self._encode_others([w for w, p in zip(words, plain) if not p]))
+        model = self._model
+        return [
+            np.array([t.id for t in model.tokenize(w)], dtype=np.uint32) if p else next(others)
+            for w, p in zip(words, plain)
+        ]
+
+    def _encode_others(self, words: list[str]) -> list[np.ndarray]:
+        """Many words as one text, split at the end token, which no word may then contain."""
+        if not words:
+            return []
         if self._end is None or any("<|" in w for w in words):
             got = (self._tokenizer.encode(w, add_special_tokens=False).ids for w in words)
             return [np.array(ids, dtype=np.uint32) for ids in got]
