@@ -8,7 +8,7 @@ space only; anything else, other kinds of space included, stays inside a word an
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from itertools import groupby, pairwise
+from itertools import chain, groupby, pairwise
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -31,28 +31,25 @@ class WordTokenizer:
         self._count = Growing(np.int64)
         self._learn([".", ","])
 
-    def _encode(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of each word. Words of small ASCII letters are one piece that nothing normalises, so they go
+    def _encode(self, words: list[str]) -> list[list[int]]:
+        """Ids of each word. Words of small Latin-1 letters are one piece that nothing normalises, so they go
         to the tokenizer's model directly; others go through the whole tokenizer."""
-        plain = [w.isascii() and w.isalpha() and w.islower() for w in words]
+        plain = [w.isalpha() and w.islower() and max(w) <= "\xff" for w in words]
         others = iter(self._encode_others([w for w, p in zip(words, plain) if not p]))
         model = self._model
         return [
-            np.array([t.id for t in model.tokenize(w)], dtype=np.uint32) if p else next(others)
+            [t.id for t in model.tokenize(w if w.isascii() else _byte_letters(w))] if p else next(others)
             for w, p in zip(words, plain)
         ]
 
-    def _encode_others(self, words: list[str]) -> list[np.ndarray]:
+    def _encode_others(self, words: list[str]) -> list[list[int]]:
         """Many words as one text, split at the end token, which no word may then contain."""
         if not words:
             return []
         if self._end is None or any("<|" in w for w in words):
-            got = (self._tokenizer.encode(w, add_special_tokens=False).ids for w in words)
-            return [np.array(ids, dtype=np.uint32) for ids in got]
-        ids = np.array(
-            self._tokenizer.encode(_END.join(words), add_special_tokens=False).ids, dtype=np.uint32
-        )
-        cuts = [-1, *np.flatnonzero(ids == self._end).tolist(), len(ids)]
+            return [self._tokenizer.encode(w, add_special_tokens=False).ids for w in words]
+        ids = self._tokenizer.encode(_END.join(words), add_special_tokens=False).ids
+        cuts = [-1, *(k for k, i in enumerate(ids) if i == self._end), len(ids)]
         return [ids[a + 1 : b] for a, b in pairwise(cuts)]
 
     def _learn(self, words: Iterable[str]) -> None:
@@ -63,7 +60,9 @@ class WordTokenizer:
         whole = {w for w in words if w not in stems}.union(stems.values()).difference(known)
         if whole:
             got = self._encode(list(whole))
-            self._append(whole, np.array([len(g) for g in got], dtype=np.int64), np.concatenate(got))
+            counts = np.fromiter(map(len, got), dtype=np.int64, count=len(got))
+            ids = np.fromiter(chain.from_iterable(got), dtype=np.uint32, count=int(counts.sum()))
+            self._append(whole, counts, ids)
         if stems:
             at = [known[part] for word, stem in stems.items() for part in (stem, word[-1])]
             counts = self._count.values[at]
@@ -109,11 +108,21 @@ class WordTokenizer:
     def _apart(self, run: tuple[bool, list[str]]) -> np.ndarray:
         rare, words = run
         if rare:
-            return np.concatenate(self._encode(words))
+            return np.array(list(chain.from_iterable(self._encode(words))), dtype=np.uint32)
         self._learn(set(words).difference(self._number))
         return self._known(words)
 
 
+# Byte-level vocabularies write each byte as a letter: printable ones as themselves, the others, in order, as
+# the letters from U+0100 on.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_OTHER_BYTES = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+
+
+def _byte_letters(word: str) -> str:
+    return word.encode().decode("latin-1").translate(_OTHER_BYTES)
+
+
 def _runs(words: list[str], rare: set[str]) -> Iterator[tuple[bool, list[str]]]:
     for is_rare, run in groupby(words, rare.__contains__):
         yield is_rare, list(run)
