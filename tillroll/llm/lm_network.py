@@ -172,11 +172,14 @@ def lanes_of(texts: list[np.ndarray], lanes: int = LANES) -> Iterator[tuple]:
 def train(p: dict, memory: dict, texts: list[np.ndarray], rate: float) -> int:
     """All windows of the texts once; the number of tokens learned from."""
     state, n = None, 0
-    for inputs, targets, fresh, real, _ in lanes_of(texts):
+    # Few tokens: fewer lanes and so more steps. A window that only some lanes are left in steps less far.
+    lanes = min(LANES, max(16, sum(map(len, texts)) // (64 * WINDOW)))
+    for inputs, targets, fresh, real, _ in lanes_of(texts, lanes):
         if state is None:
             state = np.zeros((inputs.shape[1], HIDDEN), dtype=np.float32)
         state = state[: inputs.shape[1]]
-        state = train_window(p, memory, (inputs, targets, fresh, real), state, rate)
+        share = float(real.sum()) / (lanes * WINDOW)
+        state = train_window(p, memory, (inputs, targets, fresh, real), state, rate * min(share, 1.0))
         n += int(real.sum())
     return n
 

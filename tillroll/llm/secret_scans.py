@@ -165,7 +165,7 @@ def with_secrets(
     """The documents with their reported spans; empty where there are none."""
     key = own("key")
     found = find_secrets(docs, text, reach).select(F.col("key").alias(key), F.col("spans").alias(name))
-    found = broadcast_if_small_nested(pin(found, "secrets"), key)
+    found = _broadcast_if_few(pin(found, "secrets"), name)
     kept = [c for c in docs.columns if c != name]
     none = F.array().cast("array<struct<s:int,k:int,e:int>>")
     return (
@@ -175,9 +175,9 @@ def with_secrets(
     )
 
 
-def broadcast_if_small_nested(found: DataFrame, key: str) -> DataFrame:
+def _broadcast_if_few(found: DataFrame, name: str) -> DataFrame:
     """Spans are arrays, which the size check does not see: judged by their number."""
-    rows, spans = found.agg(F.count(F.lit(1)), F.sum(F.size("spans"))).first()
+    rows, spans = found.agg(F.count(F.lit(1)), F.sum(F.size(name))).first()
     small = rows <= 100_000 and (spans or 0) <= 1_000_000
     return F.broadcast(found) if small else found
 

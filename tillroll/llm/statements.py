@@ -1,5 +1,53 @@
-"""DuckDB statements for the queries that SQL can express."""
+"""DuckDB statements for the queries that SQL can express.
+
+The others are not there on purpose: connected classes, dependent rounding, packing, token ids, model scores,
+fingerprints, linked spans, the host prior and orders by Spark's hash have no equal in SQL. ``tests/llm`` compares
+them with plain Python.
+"""
 
 from __future__ import annotations
 
-STATEMENTS: dict[str, str] = {}
+from collections.abc import Sequence
+
+from tillroll.llm.url_filters import MIN_SOFT, RULES, SOFT, STRICT
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _hits(terms: Sequence[str]) -> str:
+    found = (
+        f"(regexp_matches(low, '(^|[^a-z0-9]){t}([^a-z0-9]|$)'))::integer" for t in terms
+    )
+    return f"case when rest is null then 0 else {' + '.join(found)} end"
+
+
+def _rule(value: str) -> str:
+    rules = sorted(RULES, key=lambda r: -len(r.text))
+    whens = (
+        f"when (host = '{r.host}' or ends_with(host, '.{r.host}')) and starts_with(path, '{r.path}')"
+        f" then '{getattr(r, value)}'"
+        for r in rules
+    )
+    return f"case {' '.join(whens)} end"
+
+
+URL_FILTERS = f"""
+with cut as (
+    select page_id, translate(url, '{_UPPER}', '{_LOWER}') as low,
+           case when position('://' in url) > 0 then substr(url, position('://' in url) + 3) end as rest
+    from pages
+), split as (
+    select *, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), '{_UPPER}', '{_LOWER}'), '') as host,
+           coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') as path
+    from cut
+), judged as (
+    select page_id, host, path, {_rule("text")} as rule, {_rule("action")} as action,
+           {_hits(STRICT)} as n_strict, {_hits(SOFT)} as n_soft
+    from split
+)
+select page_id, host, path, rule, n_strict::integer as n_strict, n_soft::integer as n_soft,
+       coalesce(action, case when n_strict >= 1 or n_soft >= {MIN_SOFT} then 'block' else 'allow' end) as verdict
+from judged
+"""
+
+STATEMENTS: dict[str, str] = {"op7_url_filters": URL_FILTERS}

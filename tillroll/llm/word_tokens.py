@@ -53,10 +53,12 @@ class WordTokenizer:
         return [ids[a + 1 : b] for a, b in pairwise(cuts)]
 
     def _learn(self, words: Iterable[str]) -> None:
-        """Keep the ids of new words. A final stop or comma after letters alone is a token of its own,
+        """Keep the ids of new words. A final stop or comma after Latin-1 letters alone is a token of its own,
         so ``word,`` costs no second call where ``word`` is known."""
         known = self._number
-        stems = {w: w[:-1] for w in words if w[-1:] in (".", ",") and w[:-1].isalpha()}
+        stems = {
+            w: w[:-1] for w in words if w[-1:] in (".", ",") and w[:-1].isalpha() and max(w) <= "\xff"
+        }
         whole = {w for w in words if w not in stems}.union(stems.values()).difference(known)
         if whole:
             got = self._encode(list(whole))
