@@ -3,16 +3,20 @@
 import pytest
 
 import __spark_entry__ as entry
+from oracle import ORACLE
 from tests.compare import difference
+from tillroll.plans.catalog import all_queries
 
 SF = "/root/testdata/sf0.001"
 
 
 def test_every_query_has_a_statement():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(all_queries()) == set(ORACLE)
+    assert set(all_queries()) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query(spark, name):
     df = entry.queries()[name](spark, SF)
     assert difference(df, SF, entry.oracle_sql()[name]) is None
