@@ -49,6 +49,22 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
             delete(spark, path)
 
 
+@contextmanager
+def noting_pins(paths: list[str]) -> Iterator[None]:
+    """Note in ``paths`` what is pinned inside, for the caller to delete once it is no longer read."""
+    token = _scope.set(paths)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Delete noted pins and forget them."""
+    while paths:
+        delete(spark, paths.pop())
+
+
 def pin(df: DataFrame, label: str) -> DataFrame:
     """Write a frame once and go on from the stored copy.
 
