@@ -14,7 +14,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 _END = "<|endoftext|>"
-_MAX_WORDS, _MAX_CHARS = 1_000_000, 48  # bounds of the memory that is kept
+_MAX_WORDS, _MAX_CHARS = 700_000, 48  # bounds of the memory that is kept
 
 
 class WordTokenizer:
