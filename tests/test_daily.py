@@ -1,9 +1,12 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from tillroll.operators.dimensions import date_dimension_covering
 from tillroll.plans.daily import read_seeds, run_daily
 from tillroll.plans.gold import GOLD_TABLES
+from tillroll.plans.report import health_metrics
 from tillroll.sources import retail_tables as retail
 from tillroll.sources.files import partition_dirs
 from tillroll.sources.lake import Lake
@@ -39,8 +42,9 @@ def test_daily_run(spark, landed):
     raw, clean, quarantined = first.events
     assert clean + quarantined == 1000 and raw > 1000
     assert first.checks.count() == 51
-    assert f"Quarantined (failed-validation) raw sales events: **{quarantined}**" in first.report
-    assert "| `dim_date` | 366 |" in first.report
+    figures = dict(line.rsplit(maxsplit=1) for line in first.report.splitlines() if line.startswith("  "))
+    assert figures["  sales events"] == f"{quarantined:,}"
+    assert figures["  dim_date"] == "366"
     before = contents(spark, lake)
     assert before["fct_sales"]
 
@@ -70,5 +74,16 @@ def test_partitions_follow_the_event_days(spark, landed):
 def test_failed_run_still_reports(spark, tmp_path):
     run = run_daily(spark, Lake(str(tmp_path / "empty")), seeds=None)
     assert run.error is not None and run.checks is None
-    assert "| `fct_sales` | error: " in run.report
-    assert "**0**" in run.report and "no check results" in run.report
+    assert "fct_sales                       error: " in run.report
+    assert "sales events                    0" in run.report and "none were run" in run.report
+
+
+def test_report_with_a_quarantine_that_holds_nothing_or_cannot_be_read(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"))
+    folder = Path(lake.quarantine)
+    folder.mkdir(parents=True)
+    (found,) = health_metrics(spark, lake, [], None).collect()
+    assert (found.area, found.n, found.problem) == ("rejected", 0, None)
+    (folder / "part-0.parquet").write_bytes(b"no parquet")
+    (found,) = health_metrics(spark, lake, [], None).collect()
+    assert found.n is None and found.problem

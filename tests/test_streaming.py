@@ -10,7 +10,7 @@ from tillroll.sources.files import partition_dirs
 from tillroll.sources.lake import Lake, read_clean_events, read_clean_profiles, read_raw_events
 from tillroll.streaming.landing import start_landing, with_ingest_date
 from tillroll.streaming.live import daily_revenue, latest_copies, live_split
-from tillroll.streaming.upsert import EventDays, start_incremental_clean, start_incremental_profiles
+from tillroll.streaming.upsert import start_incremental_clean, start_incremental_profiles
 
 
 @pytest.fixture
@@ -124,11 +124,21 @@ def test_incremental_equals_full_run_in_any_batching(spark, place):
     assert rejected(spark, place) == sorted(r.event_id for r in expected.quarantine.collect())
 
 
-def test_rebuild_skips_older_landing_dates(spark, place):
-    land(spark, place, event())
-    rows = EventDays(place.lake).candidates(read_raw_events(spark, place.lake.raw_events), [date(2026, 7, 20)])
-    plan = rows._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [(isnull(ingest_date" in plan and "2026-07-19" in plan
+def test_backfill_that_lands_before_its_day(spark, place):
+    early = event(event_id="early", event_ts="2026-07-25T08:00:00", ingest_ts="2026-07-20T09:00:00")
+    land(spark, place, event(event_id="a"), early)
+    follow(spark, place)
+    land(spark, place, event(event_id="late", event_ts="2026-07-25T09:00:00", ingest_ts="2026-07-26T09:00:00"))
+    follow(spark, place)
+    assert clean(spark, place) == [("a", 2, 20), ("early", 2, 25), ("late", 2, 25)]
+
+
+def test_copies_on_both_sides_of_midnight(spark, place):
+    land(spark, place, event(event_id="a", event_ts="2026-07-20T23:59:59", ingest_ts="2026-07-21T00:00:05"))
+    follow(spark, place)
+    land(spark, place, event(event_id="a", event_ts="2026-07-21T00:00:01", ingest_ts="2026-07-21T00:00:09"))
+    follow(spark, place)
+    assert clean(spark, place) == [("a", 2, 21)]
 
 
 def test_incremental_profiles(spark, place):

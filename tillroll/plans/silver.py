@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll import schemas
+from tillroll.functions.scalars import parse_ts
 from tillroll.operators.events import NullPolicy, Split, clean_side, dedupe_sales_events, verdict
 from tillroll.operators.profiles import clean_customer_profiles
 from tillroll.operators.sizes import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, fits
 from tillroll.sources.lake import Lake, read_raw_events, read_raw_profiles
-from tillroll.sources.sinks import overwrite_flat, overwrite_partitions
+from tillroll.sources.sinks import overwrite_partitions
 
 
 class SilverCounts(NamedTuple):
@@ -78,14 +79,16 @@ def clean_events_job(
     """All raw events to clean events by ``event_date`` and quarantine.
 
     Both outputs come from one deduplication, kept on the executors' disks while they are written.
-    The quarantine is written even when empty, and dates without rows any more are removed.
+    Both are laid out by ``event_date``, as the incremental job writes them, and dates without rows any
+    more are removed from both.
     """
     raw = read_raw_events(spark, lake.raw_events, schema)
     judged = judged_events(raw, tie_breakers, null_policy).persist(StorageLevel.DISK_ONLY)
     try:
         split = split_judged(judged)
         clean = overwrite_partitions(split.clean, lake.clean_events, "event_date")
-        quarantined = overwrite_flat(split.quarantine, lake.quarantine)
+        by_day = split.quarantine.withColumn("event_date", F.to_date(parse_ts(F.col("event_ts"))))
+        quarantined = overwrite_partitions(by_day, lake.quarantine, "event_date")
     finally:
         judged.unpersist()
     return SilverCounts(raw.count(), clean, quarantined)

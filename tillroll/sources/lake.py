@@ -101,6 +101,11 @@ def read_test_statuses(spark: SparkSession, path: str, multi_line: bool = True)
     return result.select(F.coalesce("result.status", F.lit("unknown")).alias("status"))
 
 
-def read_quarantine(spark: SparkSession, path: str) -> DataFrame | None:
-    """The rejected rows, or None where nothing was ever written."""
-    return spark.read.parquet(path) if exists(spark, path) else None
+def read_quarantine(
+    spark: SparkSession, path: str, schema: T.StructType = schemas.SALES_EVENTS_RAW
+) -> DataFrame | None:
+    """The rejected rows, or None where nothing was ever written. A folder without files has no rows."""
+    if not exists(spark, path):
+        return None
+    by_day = T.StructType([*schema.fields, T.StructField("event_date", T.DateType())])
+    return spark.read.schema(by_day).parquet(path)

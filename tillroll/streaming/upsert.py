@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,10 +22,6 @@ from tillroll.sources.sinks import overwrite_partitions
 
 Days = list[date | None]
 
-# How far the clock that stamps events may run ahead of the one that stamps arrivals.
-CLOCK_SLACK_DAYS = 1
-
-
 def day_of(ts: str) -> Column:
     return F.to_date(parse_ts(F.col(ts)))
 
@@ -41,33 +37,25 @@ def is_one_of(day: Column, days: Days) -> Column:
 
 
 def landed_for(raw: DataFrame, day: Column, days: Days) -> DataFrame:
-    """Raw rows of ``days``, read from the landing dates that can hold them.
-
-    Nothing lands before it happens, up to the slack between clocks. Rows without a readable arrival
-    lie under a null date and may belong to any day; without a readable day they may lie anywhere.
-    """
-    rows = raw.where(is_one_of(day, days))
-    if not days or None in days:
-        return rows
-    first = min(days) - timedelta(days=CLOCK_SLACK_DAYS)
-    return rows.where(F.col("ingest_date").isNull() | (F.col("ingest_date") >= F.lit(first)))
+    """Raw rows of ``days``, wherever they landed: a backfill may land under any date, also before its day."""
+    return raw.where(is_one_of(day, days))
 
 
 @dataclass(frozen=True)
 class EventDays:
     """How a set of event days is computed anew from the stored raw events.
 
-    ``copies_share_day``: all copies of an event carry the same event time, and ``ingest_date`` is
-    the date of arrival. Then the touched days decide alone, and reading skips all landing dates
-    before them. Without it every raw event is read and deduplicated, and the touched days are those
-    of all copies of the events in the batch.
+    By default every raw event is read and deduplicated, and the touched days are those of all copies
+    of the events in the batch, so the result is that of the batch job whatever landed when.
+    ``copies_share_day`` promises that all copies of an event carry the same event time. Then only the
+    rows of the days in the batch are deduplicated.
     """
 
     lake: Lake
     schema: T.StructType = schemas.SALES_EVENTS_RAW
     tie_breakers: tuple[str, ...] | None = None
     null_policy: NullPolicy = "quarantine"
-    copies_share_day: bool = True
+    copies_share_day: bool = False
 
     def touched(self, raw: DataFrame, batch: DataFrame) -> Days:
         if self.copies_share_day:
@@ -147,7 +135,7 @@ def start_incremental_clean(
     schema: T.StructType = schemas.SALES_EVENTS_RAW,
     tie_breakers: Iterable[str] | None = None,
     null_policy: NullPolicy = "quarantine",
-    copies_share_day: bool = True,
+    copies_share_day: bool = False,
     max_files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Follow the raw landing; after each batch the touched days hold what a full run would give.
