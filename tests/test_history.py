@@ -26,21 +26,21 @@ def history(spark, *rows):
 def test_profiles_are_cleaned(spark):
     df = profiles(
         spark,
-        profile(snapshot_ts="2026-07-20T08:00:00", home_store_id="STORE-2"),
-        profile(snapshot_ts="2026-07-20T09:00:00"),
-        profile(customer_id="CUST-2", loyalty_tier="not_a_real_tier"),
-        profile(customer_id="CUST-3", loyalty_tier=None),
-        profile(customer_id="CUST-4", email="no-domain"),
+        profile(snapshot_ts="2024-05-20T08:00:00", home_store_id="shop-2"),
+        profile(snapshot_ts="2024-05-20T09:00:00"),
+        profile(customer_id="buyer-2", loyalty_tier="not_a_real_tier"),
+        profile(customer_id="buyer-3", loyalty_tier=None),
+        profile(customer_id="buyer-4", email="no-domain"),
     )
     rows = stage_customer_profiles(clean_customer_profiles(df)).orderBy("customer_id").collect()
-    assert [r.customer_id for r in rows] == ["CUST-1", "CUST-4"]
+    assert [r.customer_id for r in rows] == ["buyer-1", "buyer-4"]
     first, second = rows
-    assert (first.email, first.full_name, first.home_store_id) == ("ann@example.com", "Ann Example", "STORE-1")
+    assert (first.email, first.full_name, first.home_store_id) == ("uma.quist@shop.test", "Uma Quist", "shop-1")
     assert (first.email_domain, second.email_domain) == ("example.com", "")
 
 
 def test_latest_profile_with_unknown_tier_hides_the_day(spark):
-    df = profiles(spark, profile(), profile(snapshot_ts="2026-07-20T09:00:00", loyalty_tier="?"))
+    df = profiles(spark, profile(), profile(snapshot_ts="2024-05-20T09:00:00", loyalty_tier="?"))
     assert clean_customer_profiles(df).count() == 0
 
 

@@ -48,7 +48,7 @@ def test_each_root_moves_on_its_own():
 
 def test_landing_appends_and_replays(spark, lake):
     land(spark, lake, event(event_id="a"))
-    land(spark, lake, event(event_id="b"), event(event_id="c", ingest_ts="2026-07-21T00:00:00"))
+    land(spark, lake, event(event_id="b"), event(event_id="c", ingest_ts="2024-05-21T00:00:00"))
     raw = read_raw_events(spark, lake.raw_events)
     assert raw.count() == 3 and dict(raw.dtypes)["ingest_date"] == "date"
     again = with_ingest_date(events(spark, event(event_id="d")))
@@ -62,35 +62,35 @@ def test_events_job(spark, lake):
         spark,
         lake,
         event(event_id="a"),
-        event(event_id="a", ingest_ts="2026-07-20T11:30:00", quantity=5),
-        event(event_id="b", event_ts="2026-07-19T23:00:00"),
+        event(event_id="a", ingest_ts="2024-05-20T11:30:00", quantity=5),
+        event(event_id="b", event_ts="2024-05-19T23:00:00"),
         event(event_id="c", product_id=""),
     )
     assert clean_events_job(spark, lake) == (4, 2, 1)
-    assert clean_ids(spark, lake) == [("a", "2026-07-20"), ("b", "2026-07-19")]
+    assert clean_ids(spark, lake) == [("a", "2024-05-20"), ("b", "2024-05-19")]
     row = read_clean_events(spark, lake.clean_events).where("event_id = 'a'").first()
     assert (row.quantity, row.line_amount, row.is_late_arrival) == (5, 500.0, True)
     assert [r.event_id for r in read_quarantine(spark, lake.quarantine).collect()] == ["c"]
     # A second run changes nothing.
     assert clean_events_job(spark, lake) == (4, 2, 1)
-    assert clean_ids(spark, lake) == [("a", "2026-07-20"), ("b", "2026-07-19")]
+    assert clean_ids(spark, lake) == [("a", "2024-05-20"), ("b", "2024-05-19")]
 
 
 def test_rerun_clears_old_rejects_and_emptied_days(spark, lake):
-    land(spark, lake, event(event_id="bad", quantity=0), event(event_id="b", event_ts="2026-07-19T23:00:00"))
+    land(spark, lake, event(event_id="bad", quantity=0), event(event_id="b", event_ts="2024-05-19T23:00:00"))
     clean_events_job(spark, lake)
     assert quarantine_count(read_quarantine(spark, lake.quarantine)) == 1
     # Better copies arrive: the reject is repaired, the other event is moved to another day.
     land(
         spark,
         lake,
-        event(event_id="bad", ingest_ts="2026-07-20T12:00:00"),
-        event(event_id="b", event_ts="2026-07-20T01:00:00", ingest_ts="2026-07-20T12:00:00"),
+        event(event_id="bad", ingest_ts="2024-05-20T12:00:00"),
+        event(event_id="b", event_ts="2024-05-20T01:00:00", ingest_ts="2024-05-20T12:00:00"),
     )
     clean_events_job(spark, lake)
     assert quarantine_count(read_quarantine(spark, lake.quarantine)) == 0
-    assert clean_ids(spark, lake) == [("b", "2026-07-20"), ("bad", "2026-07-20")]
-    assert partition_dirs(spark, lake.clean_events, "event_date") == {"event_date=2026-07-20"}
+    assert clean_ids(spark, lake) == [("b", "2024-05-20"), ("bad", "2024-05-20")]
+    assert partition_dirs(spark, lake.clean_events, "event_date") == {"event_date=2024-05-20"}
 
 
 def test_only_the_scope_is_replaced(spark, tmp_path):
@@ -125,8 +125,8 @@ def test_hot_day_is_split_among_tasks(spark, tmp_path):
 def test_profiles_job(spark, lake):
     rows = [
         profile(),
-        profile(snapshot_ts="2026-07-20T05:00:00", loyalty_tier="silver"),
-        profile(snapshot_ts="2026-07-21T00:00:00"),
+        profile(snapshot_ts="2024-05-20T05:00:00", loyalty_tier="silver"),
+        profile(snapshot_ts="2024-05-21T00:00:00"),
         profile(customer_id="x", loyalty_tier="?"),
     ]
     sinks.land_batch(with_ingest_date(profiles(spark, *rows)), lake.raw_profiles)

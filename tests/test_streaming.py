@@ -9,7 +9,7 @@ from tillroll.sources import sinks
 from tillroll.sources.files import partition_dirs
 from tillroll.sources.lake import Lake, read_clean_events, read_clean_profiles, read_raw_events
 from tillroll.streaming.landing import start_landing, with_ingest_date
-from tillroll.streaming.live import daily_revenue, latest_copies, live_split
+from tillroll.streaming.live import LiveTables, daily_revenue, latest_copies, live_split, start_live
 from tillroll.streaming.upsert import start_incremental_clean, start_incremental_profiles
 
 
@@ -51,24 +51,24 @@ def land(spark, place, *rows):
 
 
 def test_landing_is_exactly_once_over_restarts(spark, place):
-    deliver(spark, place, event(event_id="a"), event(event_id="b", ingest_ts="2026-07-21T00:00:00"))
+    deliver(spark, place, event(event_id="a"), event(event_id="b", ingest_ts="2024-05-21T00:00:00"))
     for more in ([], [], [event(event_id="c")]):
         if more:
             deliver(spark, place, *more)
         start_landing(inbox(spark, place), place.lake.raw_events, place.path("cp")).awaitTermination()
     landed = read_raw_events(spark, place.lake.raw_events).collect()
     assert sorted((r.event_id, r.ingest_date) for r in landed) == [
-        ("a", date(2026, 7, 20)), ("b", date(2026, 7, 21)), ("c", date(2026, 7, 20)),
+        ("a", date(2024, 5, 20)), ("b", date(2024, 5, 21)), ("c", date(2024, 5, 20)),
     ]
 
 
 def test_late_row_does_not_wipe_its_day(spark, place):
-    land(spark, place, event(event_id="a"), event(event_id="b", event_ts="2026-07-19T23:30:00"))
+    land(spark, place, event(event_id="a"), event(event_id="b", event_ts="2024-05-19T23:30:00"))
     follow(spark, place)
     # Only one row arrives the next day, and it belongs to the day before.
-    land(spark, place, event(event_id="late", ingest_ts="2026-07-21T02:00:00", event_ts="2026-07-20T22:00:00"))
+    land(spark, place, event(event_id="late", ingest_ts="2024-05-21T02:00:00", event_ts="2024-05-20T22:00:00"))
     follow(spark, place)
-    assert clean(spark, place) == [("a", 2, 20), ("b", 2, 19), ("late", 2, 20)]
+    assert clean(spark, place) == [("a", 4, 20), ("b", 4, 19), ("late", 4, 20)]
 
 
 def test_later_copies_win_and_clear_rejects(spark, place):
@@ -77,8 +77,8 @@ def test_later_copies_win_and_clear_rejects(spark, place):
     assert rejected(spark, place) == ["bad"]
     land(
         spark, place,
-        event(event_id="a", quantity=7, ingest_ts="2026-07-20T10:30:00"),
-        event(event_id="bad", quantity=3, ingest_ts="2026-07-20T10:30:00"),
+        event(event_id="a", quantity=7, ingest_ts="2024-05-20T10:30:00"),
+        event(event_id="bad", quantity=3, ingest_ts="2024-05-20T10:30:00"),
     )
     follow(spark, place)
     assert clean(spark, place) == [("a", 7, 20), ("bad", 3, 20)]
@@ -89,9 +89,9 @@ def test_unreadable_times_reach_the_quarantine(spark, place):
     land(spark, place, event(event_id="a"), event(event_id="no time", event_ts="?"))
     land(spark, place, event(event_id="no arrival", ingest_ts="?"))
     follow(spark, place)
-    land(spark, place, event(event_id="b", ingest_ts="2026-07-20T12:00:00"))
+    land(spark, place, event(event_id="b", ingest_ts="2024-05-20T12:00:00"))
     follow(spark, place)
-    assert clean(spark, place) == [("a", 2, 20), ("b", 2, 20)]
+    assert clean(spark, place) == [("a", 4, 20), ("b", 4, 20)]
     assert rejected(spark, place) == ["no arrival", "no time"]
 
 
@@ -99,9 +99,9 @@ def test_event_that_moves_to_another_day(spark, place):
     options = dict(copies_share_day=False)
     land(spark, place, event(event_id="a"), event(event_id="stays"))
     follow(spark, place, **options)
-    land(spark, place, event(event_id="a", event_ts="2026-07-19T10:00:00", ingest_ts="2026-07-20T12:00:00"))
+    land(spark, place, event(event_id="a", event_ts="2024-05-19T10:00:00", ingest_ts="2024-05-20T12:00:00"))
     follow(spark, place, **options)
-    assert clean(spark, place) == [("a", 2, 19), ("stays", 2, 20)]
+    assert clean(spark, place) == [("a", 4, 19), ("stays", 4, 20)]
 
 
 def test_incremental_equals_full_run_in_any_batching(spark, place):
@@ -109,8 +109,8 @@ def test_incremental_equals_full_run_in_any_batching(spark, place):
         event(
             event_id=f"e{n % 40}",
             quantity=n % 5,
-            event_ts=f"2026-07-{10 + n % 40 % 4:02d}T{n % 40 % 24:02d}:00:00",
-            ingest_ts=f"2026-07-{10 + n % 40 % 4 + n % 2:02d}T23:{n % 60:02d}:00",
+            event_ts=f"2024-05-{10 + n % 40 % 4:02d}T{n % 40 % 24:02d}:00:00",
+            ingest_ts=f"2024-05-{10 + n % 40 % 4 + n % 2:02d}T23:{n % 60:02d}:00",
         )
         for n in range(120)
     ]
@@ -125,20 +125,20 @@ def test_incremental_equals_full_run_in_any_batching(spark, place):
 
 
 def test_backfill_that_lands_before_its_day(spark, place):
-    early = event(event_id="early", event_ts="2026-07-25T08:00:00", ingest_ts="2026-07-20T09:00:00")
+    early = event(event_id="early", event_ts="2024-05-25T08:00:00", ingest_ts="2024-05-20T09:00:00")
     land(spark, place, event(event_id="a"), early)
     follow(spark, place)
-    land(spark, place, event(event_id="late", event_ts="2026-07-25T09:00:00", ingest_ts="2026-07-26T09:00:00"))
+    land(spark, place, event(event_id="late", event_ts="2024-05-25T09:00:00", ingest_ts="2024-05-26T09:00:00"))
     follow(spark, place)
-    assert clean(spark, place) == [("a", 2, 20), ("early", 2, 25), ("late", 2, 25)]
+    assert clean(spark, place) == [("a", 4, 20), ("early", 4, 25), ("late", 4, 25)]
 
 
 def test_copies_on_both_sides_of_midnight(spark, place):
-    land(spark, place, event(event_id="a", event_ts="2026-07-20T23:59:59", ingest_ts="2026-07-21T00:00:05"))
+    land(spark, place, event(event_id="a", event_ts="2024-05-20T23:59:59", ingest_ts="2024-05-21T00:00:05"))
     follow(spark, place)
-    land(spark, place, event(event_id="a", event_ts="2026-07-21T00:00:01", ingest_ts="2026-07-21T00:00:09"))
+    land(spark, place, event(event_id="a", event_ts="2024-05-21T00:00:01", ingest_ts="2024-05-21T00:00:09"))
     follow(spark, place)
-    assert clean(spark, place) == [("a", 2, 21)]
+    assert clean(spark, place) == [("a", 4, 21)]
 
 
 def test_incremental_profiles(spark, place):
@@ -150,17 +150,17 @@ def test_incremental_profiles(spark, place):
         rows = read_clean_profiles(spark, place.lake.clean_profiles).collect()
         return sorted((r.customer_id, r.loyalty_tier, str(r.snapshot_date)) for r in rows)
 
-    land_profiles(profile(), profile(customer_id="CUST-2"), profile(customer_id="CUST-3", snapshot_ts="?"))
+    land_profiles(profile(), profile(customer_id="buyer-2"), profile(customer_id="buyer-3", snapshot_ts="?"))
     assert run() == [
-        ("CUST-1", "gold", "2026-07-20"), ("CUST-2", "gold", "2026-07-20"), ("CUST-3", "gold", "None"),
+        ("buyer-1", "gold", "2024-05-20"), ("buyer-2", "gold", "2024-05-20"), ("buyer-3", "gold", "None"),
     ]
     land_profiles(
-        profile(snapshot_ts="2026-07-20T08:00:00", loyalty_tier="silver", ingest_ts="2026-07-22T00:00:00"),
-        profile(customer_id="CUST-2", snapshot_ts="2026-07-21T00:00:00", ingest_ts="2026-07-22T00:00:00"),
-        profile(customer_id="CUST-2", snapshot_ts="2026-07-20T09:00:00", loyalty_tier="?"),
+        profile(snapshot_ts="2024-05-20T08:00:00", loyalty_tier="silver", ingest_ts="2024-05-22T00:00:00"),
+        profile(customer_id="buyer-2", snapshot_ts="2024-05-21T00:00:00", ingest_ts="2024-05-22T00:00:00"),
+        profile(customer_id="buyer-2", snapshot_ts="2024-05-20T09:00:00", loyalty_tier="?"),
     )
     assert run() == [
-        ("CUST-1", "silver", "2026-07-20"), ("CUST-2", "gold", "2026-07-21"), ("CUST-3", "gold", "None"),
+        ("buyer-1", "silver", "2024-05-20"), ("buyer-2", "gold", "2024-05-21"), ("buyer-3", "gold", "None"),
     ]
 
 
@@ -180,23 +180,23 @@ def run_live(spark, place, result):
 
 def test_stream_keeps_the_last_copy_once_the_day_is_closed(spark, place):
     rows = [
-        event(event_id="a", quantity=5, ingest_ts="2026-07-20T12:00:00"),
-        event(event_id="a", quantity=1, ingest_ts="2026-07-20T10:00:01"),
-        event(event_id="b", event_ts="2026-07-20T11:00:00", ingest_ts="2026-07-20T11:00:01"),
+        event(event_id="a", quantity=5, ingest_ts="2024-05-20T12:00:00"),
+        event(event_id="a", quantity=1, ingest_ts="2024-05-20T10:00:01"),
+        event(event_id="b", event_ts="2024-05-20T11:00:00", ingest_ts="2024-05-20T11:00:01"),
         event(event_id="no time", event_ts="?"),
-        event(event_id="recent", event_ts="2026-07-20T20:00:00", ingest_ts="2026-07-20T20:00:01"),
+        event(event_id="recent", event_ts="2024-05-20T20:00:00", ingest_ts="2024-05-20T20:00:01"),
     ]
     deliver(spark, place, *rows)
     got, _ = run_live(spark, place, live_split(inbox(spark, place)).clean)
-    batch = clean_sales_events(events(spark, *rows)).clean.where("event_ts <= '2026-07-20 14:00:00'").collect()
+    batch = clean_sales_events(events(spark, *rows)).clean.where("event_ts <= '2024-05-20 14:00:00'").collect()
     key = lambda r: (r.event_id, r.quantity, r.line_amount, r.is_late_arrival)
     assert sorted(map(key, got)) == sorted(map(key, batch)) and len(got) == 2
 
 
 def test_copies_beyond_the_bound_are_counted(spark, place):
-    deliver(spark, place, event(event_id="a"), event(event_id="z", event_ts="2026-07-21T10:00:00"))
+    deliver(spark, place, event(event_id="a"), event(event_id="z", event_ts="2024-05-21T10:00:00"))
     run_live(spark, place, latest_copies(inbox(spark, place)))
-    deliver(spark, place, event(event_id="too late", event_ts="2026-07-20T11:00:00"))
+    deliver(spark, place, event(event_id="too late", event_ts="2024-05-20T11:00:00"))
     got, dropped = run_live(spark, place, latest_copies(inbox(spark, place)))
     assert [r.event_id for r in got] == ["a"]
     assert dropped == 1
@@ -206,10 +206,44 @@ def test_stream_daily_revenue(spark, place):
     deliver(
         spark, place,
         event(event_id="a"),
-        event(event_id="a", quantity=3, ingest_ts="2026-07-20T12:00:00"),
-        event(event_id="b", event_ts="2026-07-20T20:00:00"),
+        event(event_id="a", quantity=3, ingest_ts="2024-05-20T12:00:00"),
+        event(event_id="b", event_ts="2024-05-20T20:00:00"),
         event(event_id="refund", event_type="refund", quantity=-1),
-        event(event_id="next", event_ts="2026-07-22T10:00:00"),
+        event(event_id="next", event_ts="2024-05-22T10:00:00"),
     )
     got, _ = run_live(spark, place, daily_revenue(live_split(inbox(spark, place)).clean))
-    assert [tuple(r) for r in got] == [("STORE-1", date(2026, 7, 20), 2, 5, 500.0)]
+    assert [tuple(r) for r in got] == [("shop-1", date(2024, 5, 20), 2, 7, 280.0)]
+
+
+def test_live_tables_hold_all_after_each_batch(spark, place):
+    """Late by days, moved to another day, mended, without a readable time: as a batch over all would say."""
+    tables = LiveTables(place.path("live-tables"))
+    batches = [
+        [event(event_id="a"), event(event_id="bad", quantity=0), event(event_id="moved"), event(event_id="odd", event_ts="?")],
+        [event(event_id="new", event_ts="2024-05-28T08:00:00", ingest_ts="2024-05-28T08:00:01")],
+        [
+            event(event_id="a", quantity=9, ingest_ts="2024-05-29T00:00:00"),
+            event(event_id="moved", event_ts="2024-05-19T23:00:00", ingest_ts="2024-05-29T00:00:00"),
+            event(event_id="bad", quantity=1, ingest_ts="2024-05-29T00:00:00"),
+            event(event_id="new", event_ts="2024-05-30T08:00:00", ingest_ts="2024-05-30T08:00:01"),
+        ],
+    ]
+    seen = []
+    for rows in batches:
+        seen += rows
+        deliver(spark, place, *rows)
+        start_live(inbox(spark, place), tables, place.path("live-tables-cp")).awaitTermination()
+        clean, rejected = tables.split(tables.read_latest(spark))
+        expected = clean_sales_events(events(spark, *seen))
+        key = lambda r: (r.event_id, r.quantity, str(r.event_ts))
+        assert sorted(map(key, clean.collect())) == sorted(map(key, expected.clean.collect()))
+        assert sorted(map(key, rejected.collect())) == sorted(map(key, expected.quarantine.collect()))
+        revenue = sorted(map(tuple, tables.read_revenue(spark).select("sales_date", "total_revenue").collect()))
+        by_day = {}
+        for r in expected.clean.collect():
+            by_day[r.event_ts.date()] = by_day.get(r.event_ts.date(), 0) + r.line_amount
+        assert revenue == sorted(by_day.items())
+    assert partition_dirs(spark, tables.latest, "event_date") == {
+        "event_date=2024-05-19", "event_date=2024-05-20", "event_date=2024-05-30",
+        "event_date=__HIVE_DEFAULT_PARTITION__",
+    }

@@ -50,7 +50,7 @@ from tillroll.sources.lake import (
 )
 from tillroll.sources.sinks import export_csv, land_batch
 from tillroll.streaming.landing import start_landing, with_ingest_date
-from tillroll.streaming.live import daily_revenue, live_split
+from tillroll.streaming.live import LiveTables, start_live
 from tillroll.streaming.upsert import start_incremental_clean, start_incremental_profiles
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -482,19 +482,11 @@ def _upserted(spark: SparkSession, sf_dir: str) -> Lake:
     return lake
 
 
-def _live(spark: SparkSession, sf_dir: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def _live(spark: SparkSession, sf_dir: str) -> LiveTables:
+    tables = LiveTables(fresh_path(spark, "live"))
     source = retail.delivered_events(spark, sf_dir, stream=True)
-    result = build(live_split(source).clean)
-    path = fresh_path(spark, "live")
-    _run(
-        result.writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", fresh_path(spark, "live-checkpoint"))
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
-    return spark.read.schema(result.schema).parquet(path)
+    _run(start_live(source, tables, fresh_path(spark, "live-checkpoint")))
+    return tables
 
 
 @query
@@ -524,9 +516,16 @@ def stream_clean_profiles(spark, sf_dir):
 
 @query
 def stream_latest_events(spark, sf_dir):
-    return _unstamped(_live(spark, sf_dir, lambda clean: clean))
+    tables = _live(spark, sf_dir)
+    return _unstamped(tables.split(tables.read_latest(spark)).clean).drop("event_date")
+
+
+@query
+def stream_live_quarantine(spark, sf_dir):
+    tables = _live(spark, sf_dir)
+    return tables.split(tables.read_latest(spark)).quarantine.drop("source_partition", "schema_version")
 
 
 @query
 def stream_daily_revenue(spark, sf_dir):
-    return _live(spark, sf_dir, daily_revenue)
+    return _live(spark, sf_dir).read_revenue(spark)

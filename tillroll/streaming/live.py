@@ -1,14 +1,37 @@
-"""Low-latency path: deduplicate and aggregate in the stream itself."""
+"""Low-latency path: the latest copy of each event in a store by day, and aggregates inside the stream.
+
+``start_live`` keeps everything: whatever comes late, moves to another day or has no readable time finds its
+place in the store, and clean and rejected events add up to the distinct events after each batch.
+``latest_copies`` keeps state in the stream instead, for consumers that can do without what comes later than
+the bound.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
+from tillroll import schemas
 from tillroll.functions.scalars import exact_sum, parse_ts
-from tillroll.operators.events import Split, clean_side, quarantine_malformed_sales_events
+from tillroll.operators.events import (
+    NullPolicy,
+    Split,
+    clean_side,
+    dedupe_sales_events,
+    quarantine_malformed_sales_events,
+    verdict,
+)
+from tillroll.plans.silver import split_judged
+from tillroll.scratch import pin, scratch_scope
+from tillroll.sources.files import exists
+from tillroll.sources.lake import read_partitioned
+from tillroll.sources.sinks import overwrite_partitions
+from tillroll.streaming.upsert import day_of, days_in, is_one_of
 
 # Fixed value: events arrive up to six hours late.
 LATENESS_BOUND = "6 hours"
@@ -63,3 +86,73 @@ def daily_revenue(clean: DataFrame) -> DataFrame:
         "total_units_sold",
         "total_revenue",
     )
+
+
+REVENUE = T.StructType(
+    [
+        T.StructField("store_id", T.StringType()),
+        T.StructField("n_transactions", T.LongType()),
+        T.StructField("total_units_sold", T.LongType()),
+        T.StructField("total_revenue", T.DoubleType()),
+    ]
+)
+
+
+@dataclass(frozen=True)
+class LiveTables:
+    """The latest copy of each event by ``event_date``, and the daily revenue that follows from it."""
+
+    root: str
+    schema: T.StructType = schemas.SALES_EVENTS_RAW
+    tie_breakers: tuple[str, ...] | None = None
+    null_policy: NullPolicy = "quarantine"
+
+    @property
+    def latest(self) -> str:
+        return f"{self.root}/latest"
+
+    @property
+    def revenue(self) -> str:
+        return f"{self.root}/daily_revenue"
+
+    def read_latest(self, spark: SparkSession) -> DataFrame:
+        if not exists(spark, self.latest):
+            return spark.createDataFrame([], schemas.with_partition(self.schema, "event_date"))
+        return read_partitioned(spark, self.latest, self.schema, "event_date")
+
+    def split(self, latest: DataFrame) -> Split:
+        """Both sides, by ``event_date``. A row decides for itself: the store holds each event once."""
+        return split_judged(latest.withColumn("_ok", verdict(self.null_policy)))
+
+    def read_revenue(self, spark: SparkSession) -> DataFrame:
+        return read_partitioned(spark, self.revenue, REVENUE, "sales_date")
+
+    def merge(self, batch: DataFrame) -> None:
+        """Bring a batch into the tables. Days that a copy of its events lies in are written anew, no others.
+
+        The store comes last: a batch that is repeated after a failure then finds the same days again.
+        """
+        spark = batch.sparkSession
+        with scratch_scope(spark):
+            arrived = pin(batch.withColumn("event_date", day_of("event_ts")), "arrived")
+            stored = self.read_latest(spark)
+            ids = arrived.select(F.col("event_id").alias("_id")).distinct()
+            known = stored.join(ids, F.col("event_id").eqNullSafe(F.col("_id")), "left_semi")
+            touched = arrived.select("event_date").unionByName(known.select("event_date"))
+            days = days_in(touched, F.col("event_date"))
+            if not days:
+                return
+            rows = stored.where(is_one_of(F.col("event_date"), days)).unionByName(arrived)
+            latest = pin(dedupe_sales_events(rows, self.tie_breakers), "latest")
+            revenue = daily_revenue(self.split(latest).clean)
+            overwrite_partitions(revenue, self.revenue, "sales_date", days)
+            overwrite_partitions(latest, self.latest, "event_date", days)
+
+
+def start_live(events: DataFrame, tables: LiveTables, checkpoint: str) -> StreamingQuery:
+    return (
+        events.writeStream.foreachBatch(lambda batch, _: tables.merge(batch))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
