@@ -36,7 +36,7 @@ def test_profiles_are_cleaned(spark):
     assert [r.customer_id for r in rows] == ["buyer-1", "buyer-4"]
     first, second = rows
     assert (first.email, first.full_name, first.home_store_id) == ("uma.quist@shop.test", "Uma Quist", "shop-1")
-    assert (first.email_domain, second.email_domain) == ("example.com", "")
+    assert (first.email_domain, second.email_domain) == ("shop.test", "")
 
 
 def test_latest_profile_with_unknown_tier_hides_the_day(spark):

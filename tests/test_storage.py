@@ -69,7 +69,7 @@ def test_events_job(spark, lake):
     assert clean_events_job(spark, lake) == (4, 2, 1)
     assert clean_ids(spark, lake) == [("a", "2024-05-20"), ("b", "2024-05-19")]
     row = read_clean_events(spark, lake.clean_events).where("event_id = 'a'").first()
-    assert (row.quantity, row.line_amount, row.is_late_arrival) == (5, 500.0, True)
+    assert (row.quantity, row.line_amount, row.is_late_arrival) == (5, 200.0, True)
     assert [r.event_id for r in read_quarantine(spark, lake.quarantine).collect()] == ["c"]
     # A second run changes nothing.
     assert clean_events_job(spark, lake) == (4, 2, 1)
