@@ -1,24 +0,0 @@
-from tillroll.functions.keys import date_key, surrogate_key
-from tillroll.functions.scalars import (
-    email_domain,
-    exact_sum,
-    is_late,
-    line_amount,
-    ltv_multiplier,
-    parse_ts,
-    per_unit,
-    to_cents,
-)
-
-__all__ = [
-    "date_key",
-    "email_domain",
-    "exact_sum",
-    "is_late",
-    "line_amount",
-    "ltv_multiplier",
-    "parse_ts",
-    "per_unit",
-    "surrogate_key",
-    "to_cents",
-]

@@ -7,7 +7,7 @@ def _struct(**columns: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, dtype, True) for name, dtype in columns.items()])
 
 
-_S, _L, _I, _D, _B = T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType(), T.BooleanType()
+_S, _L, _D, _B = T.StringType(), T.LongType(), T.DoubleType(), T.BooleanType()
 _TS, _DATE = T.TimestampType(), T.DateType()
 
 # Raw layer. Timestamps land as ISO-8601 text.
@@ -68,33 +68,6 @@ PRODUCTS = _struct(
 STORES = _struct(store_id=_S, store_name=_S, region=_S, store_type=_S)
 CUSTOMER_IDS = _struct(customer_id=_S)
 
-# Business layer.
-DIM_CUSTOMER = _struct(
-    customer_sk=_L,
-    customer_id=_S,
-    loyalty_tier=_S,
-    home_store_id=_S,
-    email_domain=_S,
-    effective_start_date=_DATE,
-    effective_end_date=_DATE,
-    is_current=_B,
-    dbt_loaded_at=_TS,
-)
-FCT_SALES = _struct(
-    sale_line_sk=_S,
-    event_id=_S,
-    customer_sk=_L,
-    product_sk=_L,
-    store_sk=_L,
-    date_sk=_I,
-    quantity=_I,
-    unit_price=_D,
-    discount_amount=_D,
-    line_amount=_D,
-    event_ts=_TS,
-    silver_loaded_at=_TS,
-)
-
 # Test-run document: {"results": [{"status": "pass"}, ...]}
 RUN_RESULTS = T.StructType(
     [T.StructField("results", T.ArrayType(T.StructType([T.StructField("status", _S, True)])), True)]
