@@ -36,12 +36,13 @@ ASSIGN_MIN = 8
 # least length at once finds the same spans.
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
-ID = r"(?i:user(?:name)?|login|account|client_?id)[\x22']?\x20*[:=]\x20*[\x22']?[A-Za-z0-9@._-]{3,64}"
+ID = r"(?i:user(?:name)?|login|account|client_?id)[\x22']?\x20*[:=]\x20*[\x22']?[A-Za-z0-9@._-]{3,}"
+# Also directly after '=', and whole with its padding, however long it is.
 KEY = (
-    r"(?<![A-Za-z0-9+/_.=-])(?=[A-Za-z0-9+/]*[0-9])(?=[A-Za-z0-9+/]*[A-Z])(?=[A-Za-z0-9+/]*[a-z])"
-    r"[A-Za-z0-9+/]{32,64}(?![A-Za-z0-9+/_.-])"
+    r"(?<![A-Za-z0-9+/_.-])(?=[A-Za-z0-9+/]*[0-9])(?=[A-Za-z0-9+/]*[A-Z])(?=[A-Za-z0-9+/]*[a-z])"
+    r"[A-Za-z0-9+/]{32,}+={0,2}(?![A-Za-z0-9+/_.-])"
 )
-ENDPOINT = r"(?i:https?|postgres|mysql|mongodb|redis|amqps?|jdbc:[a-z]+)://[^\s\x22'<>]{4,200}"
+ENDPOINT = r"(?i:https?|postgres|mysql|mongodb|redis|amqps?|jdbc:[a-z]+)://[^\s\x22'<>]{4,}"
 
 KINDS = ("assign", "access", "hex", "id", "key", "endpoint")
 STRONG = 3  # the first kinds
