@@ -5,7 +5,8 @@ written as Parquet and read again as the next one's documents. All but the last
 documents.
 
 1. quality rules: documents that a rule or their host's verdict rejects go
-2. near duplicates: one document of each class of the n-gram Jaccard join stays
+2. near duplicates: one document of each class of the n-gram Jaccard join stays; here a link is a Jaccard of
+   0.8 or more over shingles of five words (``op2_ngram_jaccard_join`` has its own values)
 3. secrets: every reported span is masked
 4. mixture: documents are left out or repeated, so that sources reach their target weights
 5. packing: all documents as token sequences of fixed length, with their ids
@@ -26,6 +27,9 @@ from tillroll.llm import mixing, ngram_join, packing, quality_rules, secret_scan
 from tillroll.llm.text import read
 from tillroll.scratch import noting_pins, pin, release
 
+NEAR_WORDS = 5
+NEAR_PERCENT = 80
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 # Pins of the last stage called in this thread.
@@ -51,7 +55,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @tidy
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return ngram_join.one_of_each(docs)
+    return ngram_join.one_of_each(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 @tidy

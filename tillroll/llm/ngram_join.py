@@ -371,13 +371,20 @@ def link_classes(
     )
 
 
-def one_of_each(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
-    """The documents with one left of each class: the one with the least id.
+def one_of_each(
+    docs: DataFrame,
+    text: str = "text",
+    id_column: str = "doc_id",
+    words: int = WORDS,
+    percent: int = PERCENT,
+) -> DataFrame:
+    """The documents with one left of each class: the one with the least id. Classes are those of
+    ``link_classes`` with the same ``words`` and ``percent``.
 
     Texts without words are in no class; all of them stay, and so do rows without id. Repeated rows of the
     one that stays are one row.
     """
-    classes = link_classes(docs, text, id_column)
+    classes = link_classes(docs, text, id_column, words, percent)
     gone = (
         classes.where(F.col(id_column).isNotNull() & (F.col(id_column) != F.col("component_id")))
         .select(F.col(id_column).alias("_gone"))
