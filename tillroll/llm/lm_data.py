@@ -1,12 +1,15 @@
-"""Words, classes and counts behind the language model.
+"""Words, symbols and counts behind the language model.
 
-Output is class-factored: ``P(word | state) = P(class | state) * P(word | class)``. A word's class comes from its
-spelling, except that the most frequent words are classes of their own; so classes are known without a
-lookup in the vocabulary, which grows with the corpus. ``P(word | class)`` are smoothed corpus counts. Then
+The network reads and predicts *symbols*. Each word of the head that was seen twice or more is a symbol of its own;
+all other words share a symbol by their spelling, so that it is known without a lookup in the vocabulary, which
+grows with the corpus. (A word seen once has nothing to repeat; such words stand for those never seen.) Output is
+``P(symbol | state) * P(word | symbol)``, where ``P(symbol | state)`` is class-factored on the state, see
+``lm_network``, and ``P(word | symbol)`` is 1 for own symbols and a share of smoothed corpus counts for the others. Then
 
-    log P(text) = sum of log P(class | state) + sum of log (count + 0.1) - sum of log (mass of the class)
+    log P(text) = sum of log P(symbol | state) + sum of log (count + 0.1) - sum of log (mass of the symbol)
 
-and only the middle sum needs the counts, which is a join on words and no broadcast of them.
+with the word's own count + 0.1 as the mass of an own symbol. Only the middle sum needs the counts, which is a join on
+words and no broadcast of them.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from tillroll.scratch import pin
 SMOOTHING = 0.1
 END = b"\n"  # no word can hold it
 HELD_OUT_MODULUS = 10
-OWN_CLASSES = 16  # the most frequent words
+OWN_LEAST = 2  # how often a word of the head occurs that is a symbol of its own
 SPELLING_CLASSES = 32
 SPELLING_BYTES = 3
 HEAD_WORDS = 100_000  # whose counts every task holds; bounded at any size of the corpus
@@ -55,21 +58,25 @@ def spelling_class(word: bytes) -> int:
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """What every task needs of the corpus: bounded by ``HEAD_WORDS`` and the number of classes."""
+    """What every task needs of the corpus: bounded by ``HEAD_WORDS``."""
 
     total: int  # N, tokens
     distinct: int  # V
     head: dict[bytes, int]  # counts of the most frequent words
-    own: dict[bytes, int]  # their own classes
-    mass: np.ndarray  # smoothed counts of each class
+    own: dict[bytes, int]  # their own symbols, the end first, then most frequent first
+    mass: np.ndarray  # smoothed counts of each symbol
 
-    def class_of(self, word: bytes) -> int:
+    def symbol_of(self, word: bytes) -> int:
         own = self.own.get(word)
-        return OWN_CLASSES + spelling_class(word) if own is None else own
+        return len(self.own) + spelling_class(word) if own is None else own
+
+    def spelling(self) -> np.ndarray:
+        """For each own symbol, the symbol of its spelling."""
+        return np.array([len(self.own) + spelling_class(w) for w in self.own], dtype=np.int64)
 
 
 class Lookup:
-    """Classes and counts of a text's tokens, one dictionary access per token; memory is bounded."""
+    """Symbols and counts of a text's tokens, one dictionary access per token; memory is bounded."""
 
     _MAX_WORDS = 400_000
 
@@ -79,20 +86,20 @@ class Lookup:
 
     def _forget(self) -> None:
         self._number: dict[bytes, int] = {}
-        self._class, self._count = Growing(np.int32), Growing(np.int64)
+        self._symbol, self._count = Growing(np.int32), Growing(np.int64)
 
     def __call__(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Class and count of each token; the count is -1 for words outside the head."""
+        """Symbol and count of each token; the count is -1 for words outside the head."""
         if len(self._number) > self._MAX_WORDS:
             self._forget()
         new = list(set(found).difference(self._number))
         if new:
             self._number.update(zip(new, range(len(self._number), len(self._number) + len(new))))
-            head, class_of = self._vocabulary.head, self._vocabulary.class_of
-            self._class.extend(np.array([class_of(w) for w in new], dtype=np.int32))
+            head, symbol_of = self._vocabulary.head, self._vocabulary.symbol_of
+            self._symbol.extend(np.array([symbol_of(w) for w in new], dtype=np.int32))
             self._count.extend(np.array([head.get(w, -1) for w in new], dtype=np.int64))
         at = np.fromiter(map(self._number.__getitem__, found), dtype=np.int64, count=len(found))
-        return self._class.values[at], self._count.values[at]
+        return self._symbol.values[at], self._count.values[at]
 
 
 def count_words(docs: DataFrame, text: str) -> DataFrame:
@@ -125,17 +132,20 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     top = counts.orderBy(F.desc("c"), "word").limit(HEAD_WORDS).collect()
     head = {bytes(r.word): r.c for r in top}
     own = {END: 0}
-    for word in head:
-        if len(own) < OWN_CLASSES and word != END:
+    for word, c in head.items():
+        if c >= OWN_LEAST and word != END:
             own[word] = len(own)
-    mass = np.full(OWN_CLASSES + SPELLING_CLASSES, SMOOTHING)  # for words never seen
     crc = F.crc32(F.substring("word", -SPELLING_BYTES, SPELLING_BYTES))
-    others = counts.where(~F.col("word").isin(*map(bytearray, own)))
-    sums = others.groupBy((crc % SPELLING_CLASSES).cast("int").alias("k")).agg(
-        F.sum(F.col("c") + SMOOTHING).alias("m")
+    sums = counts.groupBy((crc % SPELLING_CLASSES).cast("int").alias("k")).agg(
+        F.sum("c").alias("c"), F.count(F.lit(1)).alias("n")
     )
+    seen, words = np.zeros((2, SPELLING_CLASSES), dtype=np.int64)
     for r in sums.collect():
-        mass[OWN_CLASSES + r.k] += r.m
-    for word, k in own.items():
-        mass[k] += head.get(word, 0)
+        seen[r.k], words[r.k] = r.c, r.n
+    for word in own:
+        if word in head:
+            seen[spelling_class(word)] -= head[word]
+            words[spelling_class(word)] -= 1
+    others = seen + SMOOTHING * (words + 1)  # one more for words never seen
+    mass = np.concatenate([[head.get(word, 0) + SMOOTHING for word in own], others])
     return Vocabulary(int(total or 0), int(distinct), head, own, mass)

@@ -1,4 +1,10 @@
-"""A gated recurrent network over classes, in numpy: truncated backpropagation, many texts side by side.
+"""A gated recurrent network over symbols, in numpy: truncated backpropagation, many texts side by side.
+
+Output is class-factored: ``P(symbol | state) = P(class | state) * P(symbol | class, state)``, both a softmax on the
+state. Own symbols come most frequent first, and class ``k`` holds those of rank ``k * k`` up to the next square: with
+``n`` of them there are about ``sqrt(n)`` classes of at most ``2 * sqrt(n)``, and frequent ones are in small
+classes. Each symbol after the own ones is a class of its own. An own symbol's input vector is its own one
+plus that of its spelling.
 
 Rows of a batch are *lanes*; a lane reads one text after the other. At the start of a text the state is zero,
 otherwise it is carried on, also from one window to the next; gradients end at the window.
@@ -6,60 +12,115 @@ otherwise it is carried on, also from one window to the next; gradients end at t
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 
 EMBED, HIDDEN = 8, 12
 WINDOW = 16
 LANES = 384
-_SHAPES = ("embed", "wx", "wh", "bias", "out", "out_bias")
+_SHAPES = ("embed", "wx", "wh", "bias", "out", "out_bias", "word_out", "word_bias")
+_NO_WORDS = np.empty(0, dtype=np.int64)
+
+
+@dataclass(frozen=True)
+class Layout:
+    """Which symbols there are, and the classes they are in."""
+
+    base: np.ndarray  # for each own symbol, the symbol of its spelling
+    starts: np.ndarray  # first symbol of each class, then the end
+    class_of: np.ndarray
+
+    @property
+    def symbols(self) -> int:
+        return len(self.class_of)
+
+    @property
+    def classes(self) -> int:
+        return len(self.starts) - 1
 
 
-def shapes(classes: int) -> dict[str, tuple[int, ...]]:
+def layout(symbols: int, spelling: np.ndarray = _NO_WORDS) -> Layout:
+    """The first ``len(spelling)`` symbols are own ones."""
+    own = len(spelling)
+    squares = np.arange(math.isqrt(own - 1) + 1 if own else 0, dtype=np.int64) ** 2
+    starts = np.concatenate([squares, np.arange(own, symbols + 1)])
+    return Layout(spelling, starts, np.repeat(np.arange(len(starts) - 1), np.diff(starts)))
+
+
+def shapes(of: Layout) -> dict[str, tuple[int, ...]]:
     return {
-        "embed": (classes, EMBED),
+        "embed": (of.symbols, EMBED),
         "wx": (EMBED, 3 * HIDDEN),
         "wh": (HIDDEN, 3 * HIDDEN),
         "bias": (3 * HIDDEN,),
-        "out": (HIDDEN, classes),
-        "out_bias": (classes,),
+        "out": (HIDDEN, of.classes),
+        "out_bias": (of.classes,),
+        "word_out": (of.symbols, HIDDEN),
+        "word_bias": (of.symbols,),
     }
 
 
-def initial(mass: np.ndarray, seed: int = 1) -> dict[str, np.ndarray]:
-    """Small weights; the output starts as the classes' share of the corpus."""
+def initial(mass: np.ndarray, seed: int = 1, spelling: np.ndarray = _NO_WORDS) -> dict:
+    """Small weights; the output starts as the symbols' share of the corpus. Frequent own symbols start with input
+    vectors of their own, the rarer the closer to their spelling."""
     rng = np.random.default_rng(seed)
-    made = {}
-    for name, shape in shapes(len(mass)).items():
+    of = layout(len(mass), spelling)
+    made: dict = {"layout": of}
+    for name, shape in shapes(of).items():
         scale = 1.0 if name == "embed" else (shape[0] ** -0.5 if len(shape) == 2 else 0.0)
         made[name] = (rng.standard_normal(shape) * scale).astype(np.float32)
     made["out"] *= 0.1
-    made["out_bias"] = np.log(mass / mass.sum()).astype(np.float32)
+    own = len(spelling)
+    made["embed"][:own] *= np.minimum(1.0, 4.0 / np.sqrt(1.0 + np.arange(own)))[:, None].astype(np.float32)
+    by_class = np.add.reduceat(mass, of.starts[:-1])
+    made["out_bias"] = np.log(by_class / mass.sum()).astype(np.float32)
+    made["word_out"][:] = 0
+    made["word_bias"] = np.log(mass / by_class[of.class_of]).astype(np.float32)
     return made
 
 
-def flatten(params: dict[str, np.ndarray]) -> np.ndarray:
-    return np.concatenate([params[n].ravel() for n in _SHAPES]).astype(np.float64)
+def flatten(params: dict) -> np.ndarray:
+    return np.concatenate([params[n].ravel() for n in _SHAPES])
 
 
-def unflatten(flat: np.ndarray, classes: int) -> dict[str, np.ndarray]:
-    out, at = {}, 0
-    for name, shape in shapes(classes).items():
+def unflatten(flat: np.ndarray, of: Layout) -> dict:
+    out, at = {"layout": of}, 0
+    for name, shape in shapes(of).items():
         size = int(np.prod(shape))
-        out[name] = np.asarray(flat[at : at + size], dtype=np.float32).reshape(shape)
+        out[name] = np.array(flat[at : at + size], dtype=np.float32).reshape(shape)
         at += size
     return out
 
 
+def spread(inputs: np.ndarray, classes: np.ndarray, seen: float, of: Layout) -> np.ndarray:
+    """Per parameter the tokens that are behind it: for a symbol's input vector and for what a class
+    predicts, those that touched it."""
+    behind = {"embed": inputs, "word_out": classes[of.class_of], "word_bias": classes[of.class_of]}
+    parts = []
+    for name, shape in shapes(of).items():
+        rows = behind.get(name, np.full(shape[0], seen))
+        parts.append(np.repeat(rows, int(np.prod(shape[1:]))))
+    return np.concatenate(parts)
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-x))
 
 
+def _vectors(p: dict, inputs: np.ndarray) -> np.ndarray:
+    found, base = p["embed"][inputs], p["layout"].base
+    own = inputs < len(base)
+    found[own] += p["embed"][base[inputs[own]]]
+    return found
+
+
 def forward(p: dict, inputs: np.ndarray, fresh: np.ndarray, state: np.ndarray):
     """Run a window ``[steps, lanes]``; returns all states, gates and the last state."""
     steps, lanes = inputs.shape
-    gx = (p["embed"] @ p["wx"] + p["bias"])[inputs]
+    gx = _vectors(p, inputs) @ p["wx"] + p["bias"]
     h = HIDDEN
     states = np.empty((steps + 1, lanes, h), dtype=np.float32)
     gates = np.empty((steps, lanes, 3 * h), dtype=np.float32)
@@ -79,12 +140,36 @@ def forward(p: dict, inputs: np.ndarray, fresh: np.ndarray, state: np.ndarray):
 
 
 def log_probabilities(p: dict, states: np.ndarray) -> np.ndarray:
+    """Of each class."""
     scores = states @ p["out"] + p["out_bias"]
     scores -= scores.max(axis=-1, keepdims=True)
     scores -= np.log(np.exp(scores).sum(axis=-1, keepdims=True))
     return scores
 
 
+def _within(of: Layout, targets: np.ndarray, real: np.ndarray) -> Iterator[tuple]:
+    """``rows, low, high`` for each class of several symbols ``low`` to ``high`` that real targets are in."""
+    classes = of.class_of[targets]
+    rows = np.flatnonzero((np.diff(of.starts)[classes] > 1) & (real > 0))
+    rows = rows[np.argsort(classes[rows], kind="stable")]
+    found, first = np.unique(classes[rows], return_index=True)
+    for k, low, high in zip(found, first, [*first[1:], len(rows)]):
+        yield rows[low:high], of.starts[k], of.starts[k + 1]
+
+
+def _softmax(scores: np.ndarray) -> np.ndarray:
+    scores -= scores.max(axis=-1, keepdims=True)
+    np.exp(scores, out=scores)
+    scores /= scores.sum(axis=-1, keepdims=True)
+    return scores
+
+
+def _adapt(p: dict, memory: dict, name: str, rows, grad: np.ndarray, rate: float) -> None:
+    """A step for the rows that it touches."""
+    memory[name][rows] += grad * grad
+    p[name][rows] -= rate * grad / (np.sqrt(memory[name][rows]) + 1e-4)
+
+
 def train_window(p: dict, memory: dict, window: tuple, state: np.ndarray, rate: float) -> np.ndarray:
     """One step of truncated backpropagation with normalised (RMS) steps; returns the carried state."""
     inputs, targets, fresh, real = window
@@ -92,11 +177,22 @@ def train_window(p: dict, memory: dict, window: tuple, state: np.ndarray, rate:
     h = HIDDEN
     states, gates, inner, starts = forward(p, inputs, fresh, state)
     after = states[1:].reshape(-1, h)
-    d = np.exp(log_probabilities(p, after))
-    d[np.arange(len(d)), targets.ravel()] -= 1.0
-    d *= (real.ravel() / max(real.sum(), 1.0))[:, None]
+    of, wanted, read = p["layout"], targets.ravel(), inputs.ravel()
+    share = np.float32(1.0 / max(real.sum(), 1.0))
+    d = _softmax(after @ p["out"] + p["out_bias"])
+    d[np.arange(len(d)), of.class_of[wanted]] -= 1.0
+    d *= real.ravel()[:, None] * share
     g = {"out": after.T @ d, "out_bias": d.sum(axis=0)}
-    d_states = (d @ p["out"].T).reshape(steps, lanes, h)
+    d_after = d @ p["out"].T
+    for rows, low, high in _within(of, wanted, real.ravel()):
+        cut, state_of = slice(low, high), after[rows]
+        e = _softmax(state_of @ p["word_out"][cut].T + p["word_bias"][cut])
+        e[np.arange(len(e)), wanted[rows] - low] -= 1.0
+        e *= share
+        d_after[rows] += e @ p["word_out"][cut]
+        _adapt(p, memory, "word_out", cut, e.T @ state_of, rate)
+        _adapt(p, memory, "word_bias", cut, e.sum(axis=0), rate)
+    d_states = d_after.reshape(steps, lanes, h)
     d_gates = np.empty_like(gates)
     d_inner = np.empty((steps, lanes, 3 * h), dtype=np.float32)
     carried = np.zeros((lanes, h), dtype=np.float32)
@@ -113,12 +209,15 @@ def train_window(p: dict, memory: dict, window: tuple, state: np.ndarray, rate:
     g["wh"] = starts.reshape(-1, h).T @ flat_inner
     flat = d_gates.reshape(-1, 3 * h)
     g["bias"] = flat.sum(axis=0)
-    by_class = np.zeros((len(p["embed"]), 3 * h), dtype=np.float32)
-    order = np.argsort(inputs.ravel(), kind="stable")
-    classes, first = np.unique(inputs.ravel()[order], return_index=True)
-    by_class[classes] = np.add.reduceat(flat[order], first, axis=0)
-    g["wx"] = p["embed"].T @ by_class
-    g["embed"] = by_class @ p["wx"].T
+    g["wx"] = _vectors(p, read).T @ flat
+    d_read = flat @ p["wx"].T
+    own = (read < len(of.base)) & (real.ravel() > 0)
+    # What an own symbol is moved by, its spelling is moved by as well.
+    touched = np.concatenate([read, of.base[read[own]]])
+    moved = np.concatenate([d_read, d_read[own]])
+    order = np.argsort(touched, kind="stable")
+    symbols, first = np.unique(touched[order], return_index=True)
+    _adapt(p, memory, "embed", symbols, np.add.reduceat(moved[order], first, axis=0), rate)
     for name, grad in g.items():
         memory[name] = 0.99 * memory[name] + 0.01 * grad * grad
         p[name] -= rate * grad / (np.sqrt(memory[name] / (1 - 0.99 ** memory["steps"])) + 1e-4)
@@ -127,15 +226,15 @@ def train_window(p: dict, memory: dict, window: tuple, state: np.ndarray, rate:
 
 
 def new_memory(p: dict) -> dict:
-    return {"steps": 1, **{n: np.zeros_like(v) for n, v in p.items()}}
+    return {"steps": 1, **{n: np.zeros_like(p[n]) for n in _SHAPES}}
 
 
 def lanes_of(texts: list[np.ndarray], lanes: int = LANES) -> Iterator[tuple]:
-    """Deal class sequences to lanes and cut them into windows.
+    """Deal symbol sequences to lanes and cut them into windows.
 
     Yields ``(inputs, targets, fresh, real, place)`` per window, each ``[steps, lanes]``: ``place`` is the number of
     the text. The longest texts are dealt first, each to the shortest lane. The input of a text's first token
-    is its end class, 0.
+    is the end, 0.
     """
     order = sorted(range(len(texts)), key=lambda k: -len(texts[k]))
     lanes = max(1, min(lanes, len(texts)))
@@ -184,8 +283,15 @@ def train(p: dict, memory: dict, texts: list[np.ndarray], rate: float) -> int:
     return n
 
 
+def _picked(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The log-probability of one place per row."""
+    scores -= scores.max(axis=-1, keepdims=True)
+    wanted = scores[np.arange(len(scores)), at]
+    return wanted - np.log(np.exp(scores, out=scores).sum(axis=-1))
+
+
 def score(p: dict, texts: list[np.ndarray]) -> np.ndarray:
-    """The natural log-likelihood of each whole class sequence."""
+    """The natural log-likelihood of each whole symbol sequence."""
     sums = np.zeros(len(texts), dtype=np.float64)
     state = None
     for inputs, targets, fresh, real, place in lanes_of(texts):
@@ -193,7 +299,10 @@ def score(p: dict, texts: list[np.ndarray]) -> np.ndarray:
             state = np.zeros((inputs.shape[1], HIDDEN), dtype=np.float32)
         states, *_ = forward(p, inputs, fresh, state[: inputs.shape[1]])
         state = states[-1]
-        logs = log_probabilities(p, states[1:].reshape(-1, HIDDEN))
-        picked = logs[np.arange(len(logs)), targets.ravel()] * real.ravel()
+        after, wanted = states[1:].reshape(-1, HIDDEN), targets.ravel()
+        picked = _picked(after @ p["out"] + p["out_bias"], p["layout"].class_of[wanted]) * real.ravel()
+        for rows, low, high in _within(p["layout"], wanted, real.ravel()):
+            scores = after[rows] @ p["word_out"][low:high].T + p["word_bias"][low:high]
+            picked[rows] += _picked(scores, wanted[rows] - low)
         sums += np.bincount(place.ravel(), weights=picked, minlength=len(texts))
     return sums

@@ -4,13 +4,14 @@
 2. The network is trained on all training documents, in rounds. In a round every task starts from the same
    parameters, learns from its texts by truncated backpropagation, and the parameters are averaged by the
    tokens behind them. The first rounds take small slices of the documents, so that tasks agree on a
-   direction before they go further on their own. Slices are cut by a hash and cover everything once.
+   direction before they go further on their own. Slices are cut by a hash and cover everything once. A
+   larger corpus has a larger model, by the words of the head, and more rounds.
 3. Each document is scored as a whole, the state carried from window to window. Counts of frequent words are
    known to every task; the others leave the scoring tasks as (document, word, times) and meet the counts in
    a join.
 
-Only parameters (a few thousand numbers per task, summed up by Spark) and the bounded vocabulary head reach
-the driver.
+Only parameters (at most 2.3 million numbers, summed up over the tasks by Spark) and the bounded vocabulary head
+reach the driver.
 
 Defined cases: a missing or empty text is the end token alone. Rows without id are learned from. Repeated rows
 are scored each on their own. Without training documents all counts are 0. An empty table gives an empty
@@ -42,13 +43,14 @@ from tillroll.llm.lm_data import (
 from tillroll.llm.text import read
 from tillroll.scratch import pin
 
-ROUNDS = ((0, 1, 0.01), (1, 4, 0.005), (4, 16, 0.003))  # slices of 16 from, to; step size
-SLICES = 16
+RATES = (0.01, 0.005, 0.003)  # step sizes of the first rounds, the last one also of all after them
+ROUND_TOKENS = 64_000_000  # one round more for each fourfold of it
+CHUNK = 4096
 BATCH_TOKENS = 1_500_000
 
 
 def _batches(batches: Iterator[pa.RecordBatch], prepare) -> Iterator[list]:
-    """``(class sequence, what else prepare returns)`` of many texts at a time. One long text then keeps its
+    """``(symbol sequence, what else prepare returns)`` of many texts at a time. One long text then keeps its
     lane busy while the others have theirs."""
     held, size = [], 0
     for batch in batches:
@@ -63,73 +65,102 @@ def _batches(batches: Iterator[pa.RecordBatch], prepare) -> Iterator[list]:
         yield held
 
 
+def rounds(tokens: int) -> list[tuple[int, int, float]]:
+    """Slices from, to and the step size of each round; the last number of slices is that of all."""
+    n = len(RATES)
+    while tokens > ROUND_TOKENS * 4 ** (n - len(RATES)):
+        n += 1
+    return [(4 ** (k - 1) if k else 0, 4**k, RATES[min(k, len(RATES) - 1)]) for k in range(n)]
+
+
+def _sum_of_parts(group: pa.Table) -> pa.Table:
+    total = np.sum([part.values.to_numpy() for part in group.column("part")], axis=0, dtype=np.float64)
+    return pa.table({"chunk": group.column("chunk")[:1], "part": pa.array([total], pa.list_(pa.float64()))})
+
+
 def train_model(docs: DataFrame, text: str, words: Vocabulary) -> np.ndarray:
     """The parameters, flat. ``docs`` are the training documents."""
-    spark = docs.sparkSession
-    classes = len(words.mass)
-    flat = network.flatten(network.initial(words.mass))
-    shared = spark.sparkContext.broadcast(words)  # bounded, see Vocabulary
-    sliced = docs.select(F.col(text).alias("text"), F.pmod(F.xxhash64(text), F.lit(SLICES)).alias("slice"))
-    for low, high, rate in ROUNDS:
-        start = flat
+    context = docs.sparkSession.sparkContext
+    spelling = words.spelling()
+    of = network.layout(len(words.mass), spelling)
+    flat = network.flatten(network.initial(words.mass, spelling=spelling))
+    shared = context.broadcast((words, of))  # bounded, see Vocabulary
+    plan = rounds(words.total)
+    slices = plan[-1][1]
+    sliced = docs.select(F.col(text).alias("text"), F.pmod(F.xxhash64(text), F.lit(slices)).alias("slice"))
+    for low, high, rate in plan:
+        before = context.broadcast(flat)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            params = network.unflatten(start, classes)
-            memory, lookup, seen = network.new_memory(params), Lookup(shared.value), 0
+            words, of = shared.value
+            params = network.unflatten(before.value, of)
+            memory, lookup, seen = network.new_memory(params), Lookup(words), 0
+            times = np.zeros(of.symbols)
             for rows in _batches(batches, lambda value: lookup(tokens(value))[:1]):
-                seen += network.train(params, memory, [classed for classed, in rows], rate)
-            moved = (network.flatten(params) - start) * seen
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([moved], pa.list_(pa.float64())), pa.array([seen], pa.int64())],
-                names=["moved", "seen"],
-            )
+                texts = [symbols for symbols, in rows]
+                seen += network.train(params, memory, texts, rate)
+                times += np.bincount(np.concatenate(texts), minlength=of.symbols)
+            if not seen:
+                return
+            # A spelling's vector is also behind the own symbols with it.
+            inputs = times + np.bincount(of.base, weights=times[: len(of.base)], minlength=of.symbols)
+            by_class = np.add.reduceat(times, of.starts[:-1])
+            moved = (network.flatten(params) - before.value) * network.spread(inputs, by_class, seen, of)
+            # The tokens behind the parameters go along as the last numbers.
+            out = np.concatenate([moved, inputs, by_class, [seen]]).astype(np.float32)
+            for k in range(0, len(out), CHUNK):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k // CHUNK], pa.int32()), pa.array([out[k : k + CHUNK]], pa.list_(pa.float32()))],
+                    names=["chunk", "part"],
+                )
 
         part = sliced.where((F.col("slice") >= low) & (F.col("slice") < high)).select("text")
-        moves = pin(part.mapInArrow(run, "moved array<double>, seen long"), "moves")
-        total = moves.agg(F.sum("seen")).first()[0]
-        if total:
-            sums = (
-                moves.select(F.posexplode("moved").alias("k", "v")).groupBy("k").agg(F.sum("v").alias("v"))
+        moves = part.mapInArrow(run, "chunk int, part array<float>")
+        summed = moves.groupBy("chunk").applyInArrow(_sum_of_parts, "chunk int, part array<double>").toArrow()
+        if summed.num_rows:
+            summed = summed.sort_by("chunk").column("part").combine_chunks()
+            total = summed.flatten().to_numpy()
+            moved, inputs, by_class, seen = np.split(
+                total, np.cumsum([len(flat), of.symbols, of.classes])
             )
-            step = np.zeros_like(flat)
-            for r in sums.collect():
-                step[r.k] = r.v
-            flat = flat + step / total
+            behind = network.spread(inputs, by_class, seen[0], of)
+            flat = (flat + moved / np.maximum(behind, 1.0)).astype(np.float32)
+        before.unpersist()
     return flat
 
 
 def _scored(docs: DataFrame, text: str, id_column: str, words: Vocabulary, flat: np.ndarray) -> DataFrame:
-    """Per document: its own number, tokens, log-likelihood of its classes, what the head knows of its words,
+    """Per document: its own number, tokens, log-likelihood of its symbols, what the head knows of its words,
     and the words that it does not know."""
-    shared = docs.sparkSession.sparkContext.broadcast(words)
-    log_mass = np.log10(words.mass)
-    classes = len(words.mass)
+    of = network.layout(len(words.mass), words.spelling())
+    shared = docs.sparkSession.sparkContext.broadcast((words, of, flat))
     rows = docs.select(F.col(id_column).alias("doc_id"), is_held_out(F.col(id_column)), F.col(text))
     id_type = rows.schema["doc_id"].dataType.simpleString()
     schema = (
         f"row string, doc_id {id_type}, held_out boolean, n_tokens long, n_known long, head_log double, "
-        "class_log double, words array<binary>, times array<int>"
+        "symbol_log double, words array<binary>, times array<int>"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        params, lookup = network.unflatten(flat, classes), Lookup(shared.value)
+        words, of, flat = shared.value
+        params, lookup, log_mass = network.unflatten(flat, of), Lookup(words), np.log10(words.mass)
         task, number = TaskContext.get().partitionId(), 0
 
         def prepare(ident, is_out, value):
             found = tokens(value)
-            classed, counts = lookup(found)
+            symbols, counts = lookup(found)
             known = counts >= 0
             rest = Counter(found[k] for k in np.flatnonzero(~known))
             head_log = float(np.log10(counts[known] + SMOOTHING).sum())
             n_known = int((counts > 0).sum())
-            return classed, (ident, is_out, len(found), n_known, head_log), rest
+            return symbols, (ident, is_out, len(found), n_known, head_log), rest
 
         for held in _batches(batches, prepare):
-            logs = network.score(params, [classed for classed, *_ in held]) / math.log(10)
+            logs = network.score(params, [symbols for symbols, *_ in held]) / math.log(10)
             out: list[list] = [[] for _ in range(9)]
-            for (classed, figures, rest), log in zip(held, logs):
-                class_log = float(log - log_mass[classed].sum())
-                row = (f"{task}-{number}", *figures, class_log, list(rest.keys()), list(rest.values()))
+            for (symbols, figures, rest), log in zip(held, logs):
+                symbol_log = float(log - log_mass[symbols].sum())
+                row = (f"{task}-{number}", *figures, symbol_log, list(rest.keys()), list(rest.values()))
                 for column, value in zip(out, row):
                     column.append(value)
                 number += 1
@@ -176,7 +207,7 @@ def score_documents(docs: DataFrame, text: str = "text", id_column: str = "doc_i
         (F.col("n_known") + F.coalesce("rest_known", F.lit(0))).cast("long").alias("n_known"),
         F.lit(words.total).cast("long").alias("train_tokens"),
         (word_log - F.col("n_tokens") * norm).alias("base_score"),
-        (word_log + F.col("class_log")).alias("score"),
+        (word_log + F.col("symbol_log")).alias("score"),
     )
 
 
