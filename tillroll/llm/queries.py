@@ -11,11 +11,14 @@ from tillroll.llm.lm_scoring import op4_lm_scoring
 from tillroll.llm.mixing import op1_mixing
 from tillroll.llm.ngram_join import op2_ngram_jaccard_join
 from tillroll.llm.packing import op6_best_fit_packing
+from tillroll.llm.phrases import op13_phrase_collocations
 from tillroll.llm.quality_rules import op8_quality_rules
 from tillroll.llm.secret_scans import op5_secret_scans
 from tillroll.llm.sharding import op10_sharding
+from tillroll.llm.spelling import op12_spelling_variants
 from tillroll.llm.statements import STATEMENTS
 from tillroll.llm.token_counts import op3_token_counts
+from tillroll.llm.top_k_search import op11_top_k_search
 from tillroll.llm.url_filters import op7_url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -31,6 +34,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_rules,
         op9_document_fingerprints,
         op10_sharding,
+        op11_top_k_search,
+        op12_spelling_variants,
+        op13_phrase_collocations,
     )
 }
 
