@@ -5,16 +5,16 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from tillroll.operators.facts import asof_by_day
 from tillroll.operators.marts import mart_daily_store_sales
+from tillroll.plans.catalog import all_queries
 from tillroll.sources import retail_tables as retail
 
 SF = "/root/testdata/sf0.001"
 
 BUILT_WITHOUT_STORING = [
     name
-    for name in entry.queries()
+    for name in all_queries()
     if not name.startswith(("stream_", "daily_run", "silver_", "bronze_", "table_counts", "dq_su"))
 ]
 
@@ -25,27 +25,27 @@ def plan_of(df):
 
 @pytest.mark.parametrize("name", BUILT_WITHOUT_STORING)
 def test_no_python_and_no_cross_join(spark, name):
-    plan = plan_of(entry.queries()[name](spark, SF))
+    plan = plan_of(all_queries()[name](spark, SF))
     for node in ("PythonUDF", "EvalPython", "InPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in plan
 
 
 def test_dedupe_cuts_copies_before_the_shuffle(spark):
-    plan = plan_of(entry.queries()["dedupe_events"](spark, SF))
+    plan = plan_of(all_queries()["dedupe_events"](spark, SF))
     partial, exchange = plan.index(", row_number(), 1, Partial"), plan.index("Exchange hashpartitioning(event_id")
     assert exchange < partial  # printed top-down: the exchange reads from the partial limit
     assert plan.count("Exchange hashpartitioning") == 1
 
 
 def test_fact_is_shuffled_by_the_deduplication_only(spark):
-    plan = plan_of(entry.queries()["fct_sales"](spark, SF))
+    plan = plan_of(all_queries()["fct_sales"](spark, SF))
     on_rows = [line for line in plan.splitlines() if "Exchange hashpartitioning(event_id" in line]
     assert len(on_rows) == 1 and "SortMergeJoin" not in plan
 
 
 def test_only_small_counts_meet_in_one_task(spark):
     """The history's numbers come from range partitions; one task sees one row per partition."""
-    plan = plan_of(entry.queries()["dim_customer_scd2"](spark, SF))
+    plan = plan_of(all_queries()["dim_customer_scd2"](spark, SF))
     single = [line for line in plan.splitlines() if "SinglePartition" in line]
     assert len(single) == 1
     below = plan.splitlines()[plan.splitlines().index(single[0]) + 1 :]

@@ -1,5 +1,5 @@
 from tillroll.operators import quality as q
-from tillroll.plans.report import render
+from tillroll.plans.report import METRICS, as_text
 
 
 def counts(df):
@@ -86,11 +86,15 @@ def test_counts_survive_a_broken_table(spark, tmp_path):
 
 
 def test_report(spark):
-    counts = spark.createDataFrame(
-        [("fct_sales", 7, None), ("dim_date", None, "error: gone")], "table_name string, n_rows long, error string"
-    )
-    statuses = spark.createDataFrame([("pass",), ("pass",), ("fail",)], "status string")
-    text = render(counts, 4, statuses)
-    for line in ("| `fct_sales` | 7 |", "| `dim_date` | error: gone |", "**4**", "- pass: 2", "- fail: 1"):
-        assert line in text
-    assert "no check results" in render(counts, 0, None)
+    rows = [
+        ("table", "fct_sales", 1007, None),
+        ("table", "dim_date", None, "error: gone"),
+        ("rejected", "sales events", 4, None),
+        ("check", "pass", 2, None),
+        ("check", "fail", 1, None),
+    ]
+    lines = [line.split() for line in as_text(spark.createDataFrame(rows, METRICS)).splitlines()]
+    for figure in (["fct_sales", "1,007"], ["dim_date", "error:", "gone"], ["pass", "2"], ["fail", "1"]):
+        assert figure in lines
+    assert ["sales", "events", "4"] in lines
+    assert "none were run" in as_text(spark.createDataFrame(rows[:3], METRICS))
