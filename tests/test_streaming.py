@@ -1,3 +1,4 @@
+import re
 from datetime import date
 
 import pytest
@@ -8,9 +9,11 @@ from tillroll.operators.events import clean_sales_events
 from tillroll.sources import sinks
 from tillroll.sources.files import partition_dirs
 from tillroll.sources.lake import Lake, read_clean_events, read_clean_profiles, read_raw_events
+from tillroll.plans.silver import clean_events_job
+from tillroll.streaming import live, upsert
 from tillroll.streaming.landing import start_landing, with_ingest_date
-from tillroll.streaming.live import LiveTables, daily_revenue, latest_copies, live_split, start_live
-from tillroll.streaming.upsert import start_incremental_clean, start_incremental_profiles
+from tillroll.streaming.live import LiveTables, start_live
+from tillroll.streaming.upsert import EventDays, start_incremental_clean, start_incremental_profiles
 
 
 @pytest.fixture
@@ -164,55 +167,117 @@ def test_incremental_profiles(spark, place):
     ]
 
 
-def run_live(spark, place, result):
-    query = (
-        result.writeStream.format("parquet")
-        .option("path", place.path("live"))
-        .option("checkpointLocation", place.path("live-cp"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    rows = spark.read.schema(result.schema).parquet(place.path("live")).collect()
-    dropped = sum(o.numRowsDroppedByWatermark for p in query.recentProgress for o in p.stateOperators)
-    return rows, dropped
-
-
-def test_stream_keeps_the_last_copy_once_the_day_is_closed(spark, place):
-    rows = [
-        event(event_id="a", quantity=5, ingest_ts="2024-05-20T12:00:00"),
-        event(event_id="a", quantity=1, ingest_ts="2024-05-20T10:00:01"),
-        event(event_id="b", event_ts="2024-05-20T11:00:00", ingest_ts="2024-05-20T11:00:01"),
-        event(event_id="no time", event_ts="?"),
-        event(event_id="recent", event_ts="2024-05-20T20:00:00", ingest_ts="2024-05-20T20:00:01"),
-    ]
-    deliver(spark, place, *rows)
-    got, _ = run_live(spark, place, live_split(inbox(spark, place)).clean)
-    batch = clean_sales_events(events(spark, *rows)).clean.where("event_ts <= '2024-05-20 14:00:00'").collect()
-    key = lambda r: (r.event_id, r.quantity, r.line_amount, r.is_late_arrival)
-    assert sorted(map(key, got)) == sorted(map(key, batch)) and len(got) == 2
+def test_a_batch_reads_its_buckets_and_landing_days_only(spark, place):
+    land(spark, place, event(event_id="a"), event(event_id="b", ingest_ts="2024-05-21T00:00:00"))
+    follow(spark, place)
+    days = EventDays(place.lake)
+    assert {r.event_id for r in days.index.read(spark).collect()} == {"a", "b"}
+    ids = days.index.ids(events(spark, event(event_id="b")))
+    known = days.index.copies_of(ids)
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*bucket", plan)
+    (row,) = known.collect()
+    assert (row.event_id, str(row.event_day), str(row.ingest_date)) == ("b", "2024-05-20", "2024-05-21")
+    plan = days.copies(spark, ids, [row.ingest_date])._jdf.queryExecution().executedPlan().toString()
+    raw = [line for line in plan.splitlines() if "FileScan parquet" in line and "sales_events" in line]
+    assert raw and all(re.search(r"PartitionFilters: \[[^\]]*ingest_date", line) for line in raw)
+
+
+def test_index_of_a_lake_without_one_and_its_compaction(spark, place):
+    land(spark, place, event(event_id="a"), event(event_id=None))
+    clean_events_job(spark, place.lake)
+    land(spark, place, event(event_id="a", quantity=7, ingest_ts="2024-05-22T00:00:00", event_ts="2024-05-18T00:00:00"))
+    follow(spark, place)
+    assert [r for r in clean(spark, place) if r[0]] == [("a", 7, 18)]
+    index = EventDays(place.lake).index
+    before = {tuple(r) for r in index.read(spark).collect()}
+    index.add(index.read(spark))
+    index.compact(spark)
+    after = [tuple(r) for r in index.read(spark).collect()]
+    assert set(after) == before and len(after) == len(before)
 
 
-def test_copies_beyond_the_bound_are_counted(spark, place):
-    deliver(spark, place, event(event_id="a"), event(event_id="z", event_ts="2024-05-21T10:00:00"))
-    run_live(spark, place, latest_copies(inbox(spark, place)))
-    deliver(spark, place, event(event_id="too late", event_ts="2024-05-20T11:00:00"))
-    got, dropped = run_live(spark, place, latest_copies(inbox(spark, place)))
-    assert [r.event_id for r in got] == ["a"]
-    assert dropped == 1
+def test_a_batch_that_breaks_off_is_made_good(spark, place, monkeypatch):
+    land(spark, place, event(event_id="a"), event(event_id="b"))
+    follow(spark, place)
+    land(spark, place, event(event_id="a", event_ts="2024-05-19T10:00:00", ingest_ts="2024-05-20T12:00:00"))
+    real, calls = upsert.overwrite_partitions, []
+
+    def breaks_at_the_second(*args, **options):
+        calls.append(args)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        return real(*args, **options)
+
+    monkeypatch.setattr(upsert, "overwrite_partitions", breaks_at_the_second)
+    with pytest.raises(Exception, match="lost"):
+        follow(spark, place)
+    monkeypatch.undo()
+    follow(spark, place)
+    assert clean(spark, place) == [("a", 4, 19), ("b", 4, 20)]
 
 
-def test_stream_daily_revenue(spark, place):
-    deliver(
-        spark, place,
-        event(event_id="a"),
-        event(event_id="a", quantity=3, ingest_ts="2024-05-20T12:00:00"),
-        event(event_id="b", event_ts="2024-05-20T20:00:00"),
-        event(event_id="refund", event_type="refund", quantity=-1),
-        event(event_id="next", event_ts="2024-05-22T10:00:00"),
-    )
-    got, _ = run_live(spark, place, daily_revenue(live_split(inbox(spark, place)).clean))
-    assert [tuple(r) for r in got] == [("shop-1", date(2024, 5, 20), 2, 7, 280.0)]
+def live_revenue(spark, tables):
+    return sorted(map(tuple, tables.read_revenue(spark).select("sales_date", "n_transactions", "total_revenue").collect()))
+
+
+def test_revenue_takes_old_lines_out(spark, place):
+    tables = LiveTables(place.path("live-tables"))
+    nan, day = float("nan"), date(2024, 5, 20)
+    later = {"ingest_ts": "2024-05-20T12:00:00"}
+    steps = [
+        ([event(event_id="a"), event(event_id="b", unit_price=nan)], 2, None),
+        ([event(event_id="b", unit_price=0.1, quantity=3, **later)], 2, 160.3),
+        ([event(event_id="c", unit_price=float("inf"))], 3, float("inf")),
+        ([event(event_id="c", unit_price=-1.0, **later)], 2, 160.3),
+        ([event(event_id="d", unit_price=1e30, quantity=1)], 3, 1e30),
+        ([event(event_id="d", event_type="void", **later)], 2, 160.3),
+    ]
+    for number, (rows, n, total) in enumerate(steps):
+        for _ in range(2):  # a repeated batch counts once
+            tables.merge(events(spark, *rows), number)
+        ((at, count, revenue),) = live_revenue(spark, tables)
+        assert (at, count) == (day, n)
+        assert revenue != revenue if total is None else revenue == total
+        if number == 2:
+            tables.fold(spark)
+            assert live_revenue(spark, tables) == [(day, n, total)]
+    tables.fold(spark)
+    assert live_revenue(spark, tables) == [(day, 2, 160.3)]
+
+
+def test_a_live_batch_that_breaks_off_counts_once(spark, place, monkeypatch):
+    tables = LiveTables(place.path("live-tables"))
+    tables.merge(events(spark, event(event_id="a"), event(event_id="b")), 0)
+    rows = events(spark, event(event_id="a", quantity=1, ingest_ts="2024-05-20T12:00:00"), event(event_id="c"))
+
+    def fails(*args, **options):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(live, "overwrite_partitions", fails)
+    with pytest.raises(RuntimeError):
+        tables.merge(rows, 1)
+    monkeypatch.undo()
+    tables.merge(rows, 1)
+    assert live_revenue(spark, tables) == [(date(2024, 5, 20), 3, 360.0)]
+    assert sorted(r.quantity for r in tables.read_latest(spark).collect()) == [1, 4, 4]
+
+
+def test_late_rows_and_the_store_are_all_events(spark, place):
+    tables = LiveTables(place.path("live-tables"), lateness="6 hours")
+    first = [event(event_id="a"), event(event_id="z", event_ts="2024-05-21T10:00:00"), event(event_id="odd", event_ts="?")]
+    second = [
+        event(event_id="too late", event_ts="2024-05-20T11:00:00"),
+        event(event_id="in time", event_ts="2024-05-21T05:00:00"),
+        event(event_id="z", quantity=9, event_ts="2024-05-21T10:00:00", ingest_ts="2024-05-22T00:00:00"),
+    ]
+    for number, rows in enumerate((first, second)):
+        for _ in range(2):
+            tables.merge(events(spark, *rows), number)
+    late = sorted(r.event_id for r in tables.read_late(spark).collect())
+    kept = sorted((r.event_id, r.quantity) for r in tables.read_latest(spark).collect())
+    assert late == ["odd", "too late"]
+    assert kept == [("a", 4), ("in time", 4), ("z", 9)]
 
 
 def test_live_tables_hold_all_after_each_batch(spark, place):

@@ -35,6 +35,7 @@ from tillroll.operators.profiles import clean_customer_profiles, dedupe_customer
 from tillroll.operators.staging import stage_customer_profiles, stage_sales_events
 from tillroll.plans.daily import run_daily
 from tillroll.plans.gold import GOLD_TABLES, Seeds, build_gold
+from tillroll.plans.report import health_metrics as stored_metrics
 from tillroll.plans.silver import clean_events_job, clean_profiles_job, without_unknown_references
 from tillroll.scratch import fresh_path, pin
 from tillroll.sources import retail_tables as retail
@@ -48,7 +49,7 @@ from tillroll.sources.lake import (
     read_seed_column,
     read_test_statuses,
 )
-from tillroll.sources.sinks import export_csv, land_batch
+from tillroll.sources.sinks import export_csv, land_batch, save_table
 from tillroll.streaming.landing import start_landing, with_ingest_date
 from tillroll.streaming.live import LiveTables, start_live
 from tillroll.streaming.upsert import start_incremental_clean, start_incremental_profiles
@@ -529,3 +530,73 @@ def stream_live_quarantine(spark, sf_dir):
 @query
 def stream_daily_revenue(spark, sf_dir):
     return _live(spark, sf_dir).read_revenue(spark)
+
+
+def _upserted_in_parts(spark: SparkSession, sf_dir: str, parts: list, moved: bool = False) -> Lake:
+    """The clean layer after the deliveries that meet each of ``parts`` landed and were followed, one by one."""
+    lake, checkpoint = Lake(fresh_path(spark, "lake")), fresh_path(spark, "clean-checkpoint")
+    delivered = retail.delivered_events(spark, sf_dir, second_copies_moved=moved)
+    for part in parts:
+        land_batch(with_ingest_date(delivered.where(part)).hint("rebalance", "ingest_date"), lake.raw_events)
+        _run(start_incremental_clean(spark, lake, checkpoint))
+    return lake
+
+
+@query
+def stream_clean_events_backfill(spark, sf_dir):
+    """One of four shards comes after all others: its days are filled up afterwards."""
+    last = F.col("source_partition") == "shard-3"
+    lake = _upserted_in_parts(spark, sf_dir, [~last, last])
+    return _unstamped(read_clean_events(spark, lake.clean_events))
+
+
+@query
+def stream_clean_events_moved(spark, sf_dir):
+    """Second copies come later and move their events to the next day; rows with an even quantity come first."""
+    even = F.col("quantity") % 2 == 0
+    lake = _upserted_in_parts(spark, sf_dir, [even, ~even], moved=True)
+    return _unstamped(read_clean_events(spark, lake.clean_events))
+
+
+@query
+def quarantine_after_mixed_runs(spark, sf_dir):
+    """The batch job over what landed first, then the incremental job over the rest: one layout, one result."""
+    lake = Lake(fresh_path(spark, "lake"))
+    delivered = retail.delivered_events(spark, sf_dir)
+    last = F.col("source_partition") == "shard-3"
+    land_batch(with_ingest_date(delivered.where(~last)).hint("rebalance", "ingest_date"), lake.raw_events)
+    clean_events_job(spark, lake)
+    land_batch(with_ingest_date(delivered.where(last)).hint("rebalance", "ingest_date"), lake.raw_events)
+    _run(start_incremental_clean(spark, lake, fresh_path(spark, "clean-checkpoint")))
+    return read_quarantine(spark, lake.quarantine).drop("source_partition", "schema_version")
+
+
+def _with_a_bound(spark: SparkSession, sf_dir: str) -> LiveTables:
+    """Live tables with an hour's bound, after the deliveries of three shards and then those of the fourth."""
+    tables = LiveTables(fresh_path(spark, "live"), lateness="1 hour")
+    delivered = retail.delivered_events(spark, sf_dir)
+    last = F.col("source_partition") == "shard-3"
+    for number, part in enumerate([~last, last]):
+        tables.merge(delivered.where(part), number)
+    return tables
+
+
+@query
+def stream_late_rows(spark, sf_dir):
+    """Deliveries for days that were closed before they came."""
+    return _with_a_bound(spark, sf_dir).read_late(spark).drop("source_partition", "schema_version")
+
+
+@query
+def health_metrics(spark, sf_dir):
+    """What a run left behind: rows per stored table, rejected events, statuses of its checks."""
+    lake = _landed(spark, sf_dir)
+    clean_events_job(spark, lake)
+    stored = {
+        "dim_product": dim_product(retail.products(spark, sf_dir)),
+        "dim_store": dim_store(retail.stores(spark, sf_dir)),
+    }
+    for name, table in stored.items():
+        save_table(table, lake.gold(name))
+    checks = [quality.unique("dim_store", "store_id"), quality.not_null("dim_product", "product_id")]
+    return stored_metrics(spark, lake, [*stored], quality.run_checks(checks, stored).select("status"))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterable
 from typing import NamedTuple
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +14,7 @@ from tillroll.functions.scalars import parse_ts
 from tillroll.operators.events import NullPolicy, Split, clean_side, dedupe_sales_events, verdict
 from tillroll.operators.profiles import clean_customer_profiles
 from tillroll.operators.sizes import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, fits
+from tillroll.scratch import pin, scratch_scope
 from tillroll.sources.lake import Lake, read_raw_events, read_raw_profiles
 from tillroll.sources.sinks import overwrite_partitions
 
@@ -78,19 +78,16 @@ def clean_events_job(
 ) -> SilverCounts:
     """All raw events to clean events by ``event_date`` and quarantine.
 
-    Both outputs come from one deduplication, kept on the executors' disks while they are written.
+    Both outputs come from one deduplication, stored once in the shared folder while they are written.
     Both are laid out by ``event_date``, as the incremental job writes them, and dates without rows any
     more are removed from both.
     """
     raw = read_raw_events(spark, lake.raw_events, schema)
-    judged = judged_events(raw, tie_breakers, null_policy).persist(StorageLevel.DISK_ONLY)
-    try:
-        split = split_judged(judged)
+    with scratch_scope(spark):
+        split = split_judged(pin(judged_events(raw, tie_breakers, null_policy), "judged"))
         clean = overwrite_partitions(split.clean, lake.clean_events, "event_date")
         by_day = split.quarantine.withColumn("event_date", F.to_date(parse_ts(F.col("event_ts"))))
         quarantined = overwrite_partitions(by_day, lake.quarantine, "event_date")
-    finally:
-        judged.unpersist()
     return SilverCounts(raw.count(), clean, quarantined)
 
 

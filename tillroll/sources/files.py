@@ -22,6 +22,14 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly below ``path``; none where it is not there."""
+    fs, hadoop_path = _open(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    return [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
+
+
 def partition_dirs(spark: SparkSession, path: str, column: str) -> set[str]:
     """Names ``column=value`` of the partition directories directly below ``path``."""
     fs, hadoop_path = _open(spark, path)

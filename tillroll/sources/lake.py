@@ -45,6 +45,11 @@ class Lake:
     def quarantine(self) -> str:
         return self._at(self.silver_root, "silver", "_quarantine", "sales_events")
 
+    @property
+    def event_index(self) -> str:
+        """Where the copies of each event lie; kept beside the clean layer by the incremental job."""
+        return self._at(self.silver_root, "silver", "_index", "sales_events")
+
     def gold(self, table: str) -> str:
         return self._at(self.gold_root, "gold", table)
 

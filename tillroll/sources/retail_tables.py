@@ -77,10 +77,13 @@ def _activity(spark: SparkSession, sf_dir: str, stream: bool) -> DataFrame:
     return log.withColumn("happened", F.col("ts").cast("timestamp"))
 
 
-def delivered_events(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
+def delivered_events(
+    spark: SparkSession, sf_dir: str, stream: bool = False, second_copies_moved: bool = False
+) -> DataFrame:
     """The activity log as a broker would deliver it: some events twice, late or malformed.
 
-    Exactly the raw schema, timestamps as text. Copies of an event share its event time.
+    Exactly the raw schema, timestamps as text. Copies of an event share its event time, unless the second ones
+    are ``moved``: to the day after.
     """
     delivered = _activity(spark, sf_dir, stream).withColumn(
         "copy", F.explode(F.sequence(F.lit(0), F.when(_every("event_id", 67), 1).otherwise(0)))
@@ -106,7 +109,7 @@ def delivered_events(spark: SparkSession, sf_dir: str, stream: bool = False) ->
         F.when(n % 400 == 1, 0).otherwise(signed).cast("long").alias("quantity"),
         F.when(n % 401 == 0, -F.col("value")).otherwise(F.col("value")).alias("unit_price"),
         F.when(n % 3 != 0, (n % 4).cast("double")).alias("discount_amount"),
-        _iso(F.col("happened")).alias("event_ts"),
+        _iso(_later("happened", "DAY", F.col("copy") * int(second_copies_moved))).alias("event_ts"),
         _iso(_later("happened", "SECOND", delay)).alias("ingest_ts"),
         F.concat(F.lit("shard-"), (n % 4).cast("string")).alias("source_partition"),
         F.lit("v1").alias("schema_version"),

@@ -1,119 +1,108 @@
-"""Low-latency path: the latest copy of each event in a store by day, and aggregates inside the stream.
+"""Low-latency path: the latest copy of each event in a store by day, and revenue that follows from each change.
 
-``start_live`` keeps everything: whatever comes late, moves to another day or has no readable time finds its
-place in the store, and clean and rejected events add up to the distinct events after each batch.
-``latest_copies`` keeps state in the stream instead, for consumers that can do without what comes later than
-the bound.
+A batch asks the day index where earlier copies of its events lie, reads those days alone, and replaces what changed.
+Revenue is maintained by signed differences: a replaced copy takes its old line out and puts its new one in, in
+exact decimals, so nothing is summed up again. Each batch's differences are a folder of their own, complete or
+not there, so a repeated batch counts once; ``fold`` sums up the folders so far.
+
+By default nothing is too late: whatever comes late, moves to another day or has no readable time finds its place,
+and clean and rejected events add up to the distinct events after each batch. With a ``lateness`` bound, days that
+lie further back than it stay as they are: rows for them, and rows without readable time, go to a late table
+instead, and the events of the store and of the late table together are all events.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tillroll import schemas
-from tillroll.functions.scalars import exact_sum, parse_ts
-from tillroll.operators.events import (
-    NullPolicy,
-    Split,
-    clean_side,
-    dedupe_sales_events,
-    quarantine_malformed_sales_events,
-    verdict,
-)
+from tillroll.functions.scalars import parse_ts
+from tillroll.operators.events import NullPolicy, Split, dedupe_sales_events, verdict
 from tillroll.plans.silver import split_judged
 from tillroll.scratch import pin, scratch_scope
-from tillroll.sources.files import exists
+from tillroll.sources.files import children, exists
 from tillroll.sources.lake import read_partitioned
 from tillroll.sources.sinks import overwrite_partitions
+from tillroll.streaming.day_index import DayIndex, of_events, of_other_events
 from tillroll.streaming.upsert import day_of, days_in, is_one_of
 
 # Fixed value: events arrive up to six hours late.
 LATENESS_BOUND = "6 hours"
 
 
-def latest_copies(
-    events: DataFrame, tie_breakers: Iterable[str] = (), lateness: str = LATENESS_BOUND
-) -> DataFrame:
-    """The last copy of each event, once the watermark has passed its event time.
-
-    Copies of an event must share its event time. State holds one row per event younger than the
-    lateness bound; copies that come even later are dropped and counted by the query's progress.
-    Rows without a readable event time cannot be placed in time: the incremental path keeps those.
-    """
-    timed = (
-        events.withColumn("event_ts", parse_ts(F.col("event_ts")))
-        .where("event_ts is not null")
-        .withColumn("ingest_ts", parse_ts(F.col("ingest_ts")))
-        .withWatermark("event_ts", lateness)
-    )
-    rest = [c for c in events.columns if c not in ("event_ts", "event_id")]
-    # Max over a struct compares field by field: arrival first, then the tie-breakers, then the rest.
-    first = ["ingest_ts", *tie_breakers]
-    ranked = F.struct(*first, *(c for c in rest if c not in first))
-    newest = timed.groupBy("event_ts", "event_id").agg(F.max(ranked).alias("_newest"))
-    return newest.select("event_id", "event_ts", *(F.col(f"_newest.{c}").alias(c) for c in rest))
-
-
-def live_split(
-    events: DataFrame, tie_breakers: Iterable[str] = (), lateness: str = LATENESS_BOUND
-) -> Split:
-    """Clean and quarantined events of the stream."""
-    split = quarantine_malformed_sales_events(latest_copies(events, tie_breakers, lateness))
-    return Split(clean_side(split.clean), split.quarantine)
-
-
-def daily_revenue(clean: DataFrame) -> DataFrame:
-    """Sales per store and day over a deduplicated stream that carries a watermark.
-
-    Each event occurs once, so a plain count is the distinct count.
-    """
-    day = F.window("event_ts", "1 day").alias("_day")
-    sales = clean.where("event_type = 'sale'").groupBy("store_id", day)
-    return sales.agg(
-        F.count("event_id").alias("n_transactions"),
-        F.sum(F.col("quantity")).alias("total_units_sold"),
-        exact_sum(F.col("line_amount")).alias("total_revenue"),
-    ).select(
-        "store_id",
-        F.to_date("_day.start").alias("sales_date"),
-        "n_transactions",
-        "total_units_sold",
-        "total_revenue",
+# Amounts that no decimal holds are counted by kind, so that they can be taken out again.
+_DECIMAL = "decimal(18,2)"
+_KINDS = ("n_nan", "n_up", "n_down", "n_huge")
+_SUMS = ("n_transactions", "total_units_sold", "exact", "huge", *_KINDS)
+CHANGES = (
+    "store_id string, sales_date date, n_transactions long, total_units_sold long, exact decimal(38,2), huge double, "
+    + ", ".join(f"{kind} long" for kind in _KINDS)
+)
+
+
+def signed_lines(clean: DataFrame, sign: int) -> DataFrame:
+    """Sums of sales per store and day, to be added (1) or taken out (-1)."""
+    amount = F.col("line_amount")
+    exact = amount.try_cast(_DECIMAL)
+    limit = F.lit(float("inf"))
+    up, down = amount == limit, amount == -limit
+    huge = exact.isNull() & amount.isNotNull() & ~F.isnan(amount) & ~up & ~down
+    return (
+        clean.where("event_type = 'sale'")
+        .groupBy("store_id", F.to_date("event_ts").alias("sales_date"))
+        .agg(
+            (sign * F.count("event_id")).alias("n_transactions"),
+            (sign * F.sum("quantity")).cast("long").alias("total_units_sold"),
+            (sign * F.coalesce(F.sum(exact), F.lit(0).cast(_DECIMAL))).cast("decimal(38,2)").alias("exact"),
+            (sign * F.coalesce(F.sum(F.when(huge, amount)), F.lit(0.0))).alias("huge"),
+            *(
+                (sign * F.count_if(F.coalesce(found, F.lit(False)))).alias(kind)
+                for kind, found in zip(_KINDS, (F.isnan(amount), up, down, huge), strict=True)
+            ),
+        )
     )
 
 
-REVENUE = T.StructType(
-    [
-        T.StructField("store_id", T.StringType()),
-        T.StructField("n_transactions", T.LongType()),
-        T.StructField("total_units_sold", T.LongType()),
-        T.StructField("total_revenue", T.DoubleType()),
-    ]
-)
+def merged_changes(changes: DataFrame) -> DataFrame:
+    """One row per store and day."""
+    sums = {c: F.sum(c) for c in _SUMS}
+    sums["exact"] = sums["exact"].cast("decimal(38,2)")
+    return changes.groupBy("store_id", "sales_date").agg(*(v.alias(c) for c, v in sums.items()))
+
+
+def _revenue() -> Column:
+    whole = F.col("exact").cast("double") + F.when(F.col("n_huge") > 0, F.col("huge")).otherwise(0.0)
+    nan, limit = F.lit(float("nan")), F.lit(float("inf"))
+    no_number = (F.col("n_nan") > 0) | ((F.col("n_up") > 0) & (F.col("n_down") > 0))
+    return F.when(no_number, nan).when(F.col("n_up") > 0, limit).when(F.col("n_down") > 0, -limit).otherwise(whole)
 
 
 @dataclass(frozen=True)
 class LiveTables:
-    """The latest copy of each event by ``event_date``, and the daily revenue that follows from it."""
+    """The latest copy of each event by ``event_date``, the daily revenue that follows from it, and late rows."""
 
     root: str
     schema: T.StructType = schemas.SALES_EVENTS_RAW
     tie_breakers: tuple[str, ...] | None = None
     null_policy: NullPolicy = "quarantine"
+    lateness: str | None = None
 
     @property
     def latest(self) -> str:
         return f"{self.root}/latest"
 
     @property
-    def revenue(self) -> str:
-        return f"{self.root}/daily_revenue"
+    def late(self) -> str:
+        return f"{self.root}/late"
+
+    @property
+    def index(self) -> DayIndex:
+        return DayIndex(f"{self.root}/index")
 
     def read_latest(self, spark: SparkSession) -> DataFrame:
         if not exists(spark, self.latest):
@@ -124,34 +113,97 @@ class LiveTables:
         """Both sides, by ``event_date``. A row decides for itself: the store holds each event once."""
         return split_judged(latest.withColumn("_ok", verdict(self.null_policy)))
 
+    # --- folders by batch: written in one go, and only there once they are complete ---
+
+    def _folder(self, kind: str, batch: int) -> str:
+        return f"{self.root}/{kind}/batch={batch}"
+
+    def _complete(self, spark: SparkSession, kind: str) -> list[int]:
+        numbers = (int(name.split("=")[1]) for name in children(spark, f"{self.root}/{kind}"))
+        return sorted(n for n in numbers if exists(spark, f"{self._folder(kind, n)}/_SUCCESS"))
+
+    def _write_once(self, df: DataFrame, kind: str, batch: int) -> None:
+        if not exists(df.sparkSession, f"{self._folder(kind, batch)}/_SUCCESS"):
+            df.write.mode("overwrite").parquet(self._folder(kind, batch))
+
+    def _read(self, spark: SparkSession, kind: str, batches: list[int], schema: str | T.StructType) -> DataFrame:
+        paths = [self._folder(kind, n) for n in batches]
+        return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+    # --- revenue ---
+
+    def changes(self, spark: SparkSession) -> DataFrame:
+        """What the batches since the last fold changed, and that fold."""
+        folded = self._complete(spark, "folded")
+        since = [n for n in self._complete(spark, "changes") if not folded or n > folded[-1]]
+        return self._read(spark, "changes", since, CHANGES).unionByName(
+            self._read(spark, "folded", folded[-1:], CHANGES)
+        )
+
+    def fold(self, spark: SparkSession) -> None:
+        """Sum up the changes so far into one folder; readers take it from then on."""
+        batches = self._complete(spark, "changes")
+        if batches:
+            self._write_once(merged_changes(self.changes(spark)), "folded", batches[-1])
+
     def read_revenue(self, spark: SparkSession) -> DataFrame:
-        return read_partitioned(spark, self.revenue, REVENUE, "sales_date")
+        return merged_changes(self.changes(spark)).where("n_transactions <> 0").select(
+            "store_id", "n_transactions", "total_units_sold", _revenue().alias("total_revenue"), "sales_date"
+        )
+
+    # --- late rows ---
+
+    def read_late(self, spark: SparkSession) -> DataFrame:
+        return self._read(spark, "late", self._complete(spark, "late"), self.schema)
+
+    def _closed_before(self, spark: SparkSession, batch: int) -> Column:
+        """The time before which days are closed: the bound before the latest event time of earlier batches."""
+        earlier = [n for n in self._complete(spark, "clock") if n < batch]
+        newest = self._read(spark, "clock", earlier, "newest timestamp").agg(F.max("newest")).first()[0]
+        return F.lit(newest).cast("timestamp") - F.expr(f"interval {self.lateness}")
+
+    def _in_time(self, arrived: DataFrame, batch: int) -> DataFrame:
+        spark, time = arrived.sparkSession, parse_ts(F.col("event_ts"))
+        closed = self._closed_before(spark, batch)
+        late = time.isNull() | F.coalesce(time < closed, F.lit(False))
+        self._write_once(arrived.where(late).select(*self.schema.names), "late", batch)
+        in_time = arrived.where(~late)
+        self._write_once(in_time.agg(F.max(time).alias("newest")), "clock", batch)
+        return in_time
+
+    # --- batches ---
 
-    def merge(self, batch: DataFrame) -> None:
-        """Bring a batch into the tables. Days that a copy of its events lies in are written anew, no others.
+    def merge(self, batch: DataFrame, number: int) -> None:
+        """Bring a batch into the tables; a batch that is repeated with its number changes nothing.
 
-        The store comes last: a batch that is repeated after a failure then finds the same days again.
+        What it changes of the revenue is written in one go, before the store. A batch that breaks off before that
+        starts anew; one that breaks off later finds its changes complete and only goes on with the store.
         """
         spark = batch.sparkSession
         with scratch_scope(spark):
-            arrived = pin(batch.withColumn("event_date", day_of("event_ts")), "arrived")
-            stored = self.read_latest(spark)
-            ids = arrived.select(F.col("event_id").alias("_id")).distinct()
-            known = stored.join(ids, F.col("event_id").eqNullSafe(F.col("_id")), "left_semi")
-            touched = arrived.select("event_date").unionByName(known.select("event_date"))
-            days = days_in(touched, F.col("event_date"))
+            arrived = batch.select(*self.schema.names).withColumn("event_date", day_of("event_ts"))
+            arrived = pin(arrived, "arrived")
+            if self.lateness:
+                arrived = self._in_time(arrived, number)
+            ids = pin(self.index.ids(arrived), "ids")
+            known = pin(self.index.copies_of(ids), "known")
+            found = self.index.entries(arrived, F.col("event_date"), F.lit(None))
+            days = days_in(found.union(known.select(*found.columns)), F.col("event_day"))
             if not days:
                 return
-            rows = stored.where(is_one_of(F.col("event_date"), days)).unionByName(arrived)
-            latest = pin(dedupe_sales_events(rows, self.tie_breakers), "latest")
-            revenue = daily_revenue(self.split(latest).clean)
-            overwrite_partitions(revenue, self.revenue, "sales_date", days)
+            stored = self.read_latest(spark).where(is_one_of(F.col("event_date"), days))
+            old = pin(of_events(stored, ids), "old")
+            new = pin(dedupe_sales_events(old.unionByName(arrived), self.tie_breakers), "new")
+            changes = signed_lines(self.split(new).clean, 1).unionByName(signed_lines(self.split(old).clean, -1))
+            self._write_once(merged_changes(changes), "changes", number)
+            self.index.add(found.exceptAll(known.select(*found.columns).distinct()))
+            latest = pin(of_other_events(stored, ids).unionByName(new), "latest")
             overwrite_partitions(latest, self.latest, "event_date", days)
 
 
 def start_live(events: DataFrame, tables: LiveTables, checkpoint: str) -> StreamingQuery:
     return (
-        events.writeStream.foreachBatch(lambda batch, _: tables.merge(batch))
+        events.writeStream.foreachBatch(lambda batch, number: tables.merge(batch, number))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -1,4 +1,4 @@
-"""Incremental clean layer: each micro-batch rebuilds the days it touches."""
+"""Incremental clean layer: each micro-batch brings its events into the days that they touch."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,8 +16,17 @@ from tillroll.functions.scalars import parse_ts
 from tillroll.operators.events import NullPolicy
 from tillroll.operators.profiles import clean_customer_profiles
 from tillroll.plans.silver import judged_events, split_judged
-from tillroll.sources.lake import Lake, read_raw_events, read_raw_profiles
+from tillroll.scratch import pin, scratch_scope
+from tillroll.sources.files import exists
+from tillroll.sources.lake import (
+    Lake,
+    read_clean_events,
+    read_quarantine,
+    read_raw_events,
+    read_raw_profiles,
+)
 from tillroll.sources.sinks import overwrite_partitions
+from tillroll.streaming.day_index import DayIndex, of_events, of_other_events
 
 Days = list[date | None]
 
@@ -43,12 +51,15 @@ def landed_for(raw: DataFrame, day: Column, days: Days) -> DataFrame:
 
 @dataclass(frozen=True)
 class EventDays:
-    """How a set of event days is computed anew from the stored raw events.
+    """How a batch of raw events is brought into the clean days, in any order of landing.
 
-    By default every raw event is read and deduplicated, and the touched days are those of all copies
-    of the events in the batch, so the result is that of the batch job whatever landed when.
-    ``copies_share_day`` promises that all copies of an event carry the same event time. Then only the
-    rows of the days in the batch are deduplicated.
+    The index tells where earlier copies of the batch's events lie. Only the landing partitions that hold copies
+    are read from the raw layer, and only the days that hold some are written anew: the stored rows of other
+    events, and the newest copy of each event of the batch. The result is that of the batch job, whatever landed
+    when: late, early, moved to another day or mended. A lake without an index gets one from its raw events first.
+
+    ``copies_share_day`` promises that all copies of an event carry the same event time; then the days of the batch
+    are computed anew from their raw rows, without an index.
     """
 
     lake: Lake
@@ -57,32 +68,75 @@ class EventDays:
     null_policy: NullPolicy = "quarantine"
     copies_share_day: bool = False
 
-    def touched(self, raw: DataFrame, batch: DataFrame) -> Days:
-        if self.copies_share_day:
-            return days_in(batch, day_of("event_ts"))
-        ids = batch.select("event_id").distinct()
-        copies = raw.join(ids, raw.event_id.eqNullSafe(ids.event_id), "left_semi")
-        return days_in(copies, day_of("event_ts"))
+    @property
+    def index(self) -> DayIndex:
+        return DayIndex(self.lake.event_index)
+
+    def raw(self, spark: SparkSession) -> DataFrame:
+        return read_raw_events(spark, self.lake.raw_events, self.schema)
 
-    def candidates(self, raw: DataFrame, days: Days) -> DataFrame:
-        """Raw events that decide the content of ``days``."""
-        return landed_for(raw, day_of("event_ts"), days) if self.copies_share_day else raw
+    def entries(self, raw: DataFrame) -> DataFrame:
+        return self.index.entries(raw, day_of("event_ts"), F.col("ingest_date"))
+
+    def copies(self, spark: SparkSession, ids: DataFrame, landings: Days) -> DataFrame:
+        """All raw copies of the events in ``ids``, from the partitions that hold some."""
+        return of_events(self.raw(spark).where(is_one_of(F.col("ingest_date"), landings)), ids)
 
     def rebuild(self, spark: SparkSession, batch: DataFrame) -> None:
-        """Idempotent: depends only on the days touched and on what is stored."""
-        raw = read_raw_events(spark, self.lake.raw_events, self.schema)
-        days = self.touched(raw, batch)
-        if not days:
+        """Idempotent: a repeated batch finds its own entries in the index and its events in the days."""
+        with scratch_scope(spark):
+            if self.copies_share_day:
+                self._rebuild_days(spark, batch)
+            else:
+                self._merge(spark, batch)
+
+    def _rebuild_days(self, spark: SparkSession, batch: DataFrame) -> None:
+        days = days_in(batch, day_of("event_ts"))
+        if days:
+            rows = landed_for(self.raw(spark), day_of("event_ts"), days)
+            self._store(self._judged(rows), days)
+
+    def _merge(self, spark: SparkSession, batch: DataFrame) -> None:
+        if not self.index.exists(spark):
+            self.index.add(self.entries(self.raw(spark)))
+        arrived = pin(batch.select("event_id", "ingest_date", self.index.bucket()).distinct(), "arrived")
+        ids = arrived.select("event_id", "bucket").distinct()
+        known = pin(self.index.copies_of(ids), "known")
+        landings = days_in(arrived.select("ingest_date").union(known.select("ingest_date")), F.col("ingest_date"))
+        if not landings:
             return
-        judged = judged_events(self.candidates(raw, days), self.tie_breakers, self.null_policy)
-        dated = judged.withColumn("event_date", day_of("event_ts"))
-        kept = dated.where(is_one_of(F.col("event_date"), days)).persist(StorageLevel.DISK_ONLY)
-        try:
-            split = split_judged(kept)
-            overwrite_partitions(split.clean, self.lake.clean_events, "event_date", days)
-            overwrite_partitions(split.quarantine, self.lake.quarantine, "event_date", days)
-        finally:
-            kept.unpersist()
+        copies = pin(self.copies(spark, ids, landings), "copies")
+        found = pin(self.entries(copies), "found")
+        # The index comes first: a batch that breaks off later then finds all days again.
+        self.index.add(found.exceptAll(known.select(*found.columns).distinct()))
+        days = days_in(found.union(known.select(*found.columns)), F.col("event_day"))
+        self._store(self._judged(copies), days, others=ids)
+
+    def _judged(self, raw: DataFrame) -> DataFrame:
+        judged = judged_events(raw, self.tie_breakers, self.null_policy)
+        return pin(judged.withColumn("event_date", day_of("event_ts")), "judged")
+
+    def _store(self, judged: DataFrame, days: Days, others: DataFrame | None = None) -> None:
+        """Write ``days`` anew: what is ``judged``, and what the days hold of events that are not in ``others``."""
+        spark = judged.sparkSession
+        split = split_judged(judged.where(is_one_of(F.col("event_date"), days)))
+        by_day = [*self.schema.names, "event_date"]
+        sides = [
+            (split.clean, self.lake.clean_events, read_clean_events),
+            (split.quarantine.select(*by_day), self.lake.quarantine, self._read_quarantine),
+        ]
+        made = []
+        for new, path, read in sides:
+            if others is not None and exists(spark, path):
+                stored = read(spark, path).where(is_one_of(F.col("event_date"), days))
+                # Read from where it is written to, so it is stored apart first.
+                new = pin(of_other_events(stored, others).unionByName(new), "day")
+            made.append((new, path))
+        for new, path in made:
+            overwrite_partitions(new, path, "event_date", days)
+
+    def _read_quarantine(self, spark: SparkSession, path: str) -> DataFrame:
+        return read_quarantine(spark, path, self.schema)
 
 
 @dataclass(frozen=True)
