@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.llm.text import own, read
-from tillroll.llm.word_tokens import WordTokenizer
+from tillroll.llm.word_tokens import worker_tokenizer
 from tillroll.operators.sizes import broadcast_if_small
 from tillroll.scratch import pin
 
@@ -144,7 +144,7 @@ def tokenize_pieces(
     n_carry = len(carry)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordTokenizer(tokenizer_path)
+        encoder = worker_tokenizer(tokenizer_path)
         task = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, dtype=np.int64)
         for batch in batches:

@@ -115,6 +115,16 @@ class WordTokenizer:
         return self._known(words)
 
 
+_of_worker: dict[str, WordTokenizer] = {}
+
+
+def worker_tokenizer(path: str) -> WordTokenizer:
+    """One per Python worker and file: tasks that follow in the same worker find its words known."""
+    if path not in _of_worker:
+        _of_worker[path] = WordTokenizer(path)
+    return _of_worker[path]
+
+
 # Byte-level vocabularies write each byte as a letter: printable ones as themselves, the others, in order, as
 # the letters from U+0100 on.
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
