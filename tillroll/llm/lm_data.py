@@ -1,8 +1,10 @@
 """Words, symbols and counts behind the language model.
 
-The network reads and predicts *symbols*. Each word of the head that was seen twice or more is a symbol of its own;
-all other words share a symbol by their spelling, so that it is known without a lookup in the vocabulary, which
-grows with the corpus. (A word seen once has nothing to repeat; such words stand for those never seen.) Output is
+The network reads and predicts *symbols*. The most frequent words are symbols of their own, as many as
+``own_words`` of the corpus: their number grows with the square root of its tokens, so that the work per token grows
+slower than the corpus. All other words share a symbol by their spelling, so that it is known without a lookup in the
+vocabulary, which grows with the corpus. (A word seen once has nothing to repeat; such words stand for those never
+seen.) Output is
 ``P(symbol | state) * P(word | symbol)``, where ``P(symbol | state)`` is class-factored on the state, see
 ``lm_network``, and ``P(word | symbol)`` is 1 for own symbols and a share of smoothed corpus counts for the others. Then
 
@@ -31,12 +33,18 @@ SMOOTHING = 0.1
 END = b"\n"  # no word can hold it
 HELD_OUT_MODULUS = 10
 OWN_LEAST = 2  # how often a word of the head occurs that is a symbol of its own
-SPELLING_CLASSES = 32
+OWN_SHARE = 1.2  # own words per square root of a training token
+SPELLING_CLASSES = 256
 SPELLING_BYTES = 3
 HEAD_WORDS = 100_000  # whose counts every task holds; bounded at any size of the corpus
 _FLUSH = 500_000
 
 
+def own_words(total: int) -> int:
+    """How many words at most are symbols of their own in a corpus of so many tokens."""
+    return min(HEAD_WORDS, max(256, int(OWN_SHARE * total**0.5)))
+
+
 def tokens(text: str | None) -> list[bytes]:
     """The words in lower case (A to Z only), then the end. Words are kept as UTF-8: ``bytes`` know just
     the ASCII letters and the ASCII spaces."""
@@ -133,6 +141,8 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     head = {bytes(r.word): r.c for r in top}
     own = {END: 0}
     for word, c in head.items():
+        if len(own) >= own_words(int(total or 0)):
+            break
         if c >= OWN_LEAST and word != END:
             own[word] = len(own)
     crc = F.crc32(F.substring("word", -SPELLING_BYTES, SPELLING_BYTES))

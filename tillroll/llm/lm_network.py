@@ -1,53 +1,93 @@
 """A gated recurrent network over symbols, in numpy: truncated backpropagation, many texts side by side.
 
-Output is class-factored: ``P(symbol | state) = P(class | state) * P(symbol | class, state)``, both a softmax on the
-state. Own symbols come most frequent first, and class ``k`` holds those of rank ``k * k`` up to the next square: with
-``n`` of them there are about ``sqrt(n)`` classes of at most ``2 * sqrt(n)``, and frequent ones are in small
-classes. Each symbol after the own ones is a class of its own. An own symbol's input vector is its own one
-plus that of its spelling.
-
-Rows of a batch are *lanes*; a lane reads one text after the other. At the start of a text the state is zero,
-otherwise it is carried on, also from one window to the next; gradients end at the window.
+Output is class-factored, in three levels, each a softmax on the state: ``P(symbol | state) = P(group | state) *
+P(class | group, state) * P(symbol | class, state)``. Own symbols come most frequent first, and class ``k`` holds those
+of rank ``k * k`` up to the next square; groups hold classes in the same way. So with ``n`` of them there are about
+``sqrt(n)`` classes of at most ``2 * sqrt(n)``, and frequent symbols are in small classes and small groups. The symbols
+after the own ones follow in classes of ``SPELLING_TOGETHER``. An own symbol's input vector is its own one plus that of
+its spelling.
+
+Texts are dealt to *lanes*; a lane reads one text after the other. At the start of a text the state is zero,
+otherwise it is carried on, also from one window to the next; gradients end at the window. Arrays have the lanes
+last, so that each operation runs over long rows, and classes are met in one sorted run of the window's tokens.
+
+Learning cuts a text into stretches of ``STRETCH`` tokens that are read side by side, each from a zero state; scoring
+reads every text from its start to its end. Memory is that of the tokens given and of one window, however long
+a single text is; where few texts are left, windows in scoring get longer instead of wider.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 
 EMBED, HIDDEN = 8, 12
 WINDOW = 16
-LANES = 384
-_SHAPES = ("embed", "wx", "wh", "bias", "out", "out_bias", "word_out", "word_bias")
+LANES = 2048
+STRETCH = 2048
+SCORED_AT_ONCE = 1 << 15  # tokens in a window of scoring
+SPELLING_TOGETHER = 32
+PART = 1500  # tokens in one matrix product
+_COUNT = np.arange(PART)
+_LEVELS = ("group_out", "class_out", "word_out")  # a row is the weights of the state, then the bias
+_SHAPES = ("embed", "wx", "wh", "bias", *_LEVELS)
+_DENSE = ("wx", "wh", "bias")
 _NO_WORDS = np.empty(0, dtype=np.int64)
 
 
+@dataclass(frozen=True)
+class Level:
+    """Rows of one level in nodes; a softmax goes over the rows of a node."""
+
+    starts: np.ndarray  # first row of each node, then the end
+    row_of: np.ndarray  # of each symbol
+    node_of: np.ndarray  # of each row
+
+    @property
+    def rows(self) -> int:
+        return len(self.node_of)
+
+    def behind(self, times: np.ndarray) -> np.ndarray:
+        """How many of the symbols' occurrences each row has taken part in."""
+        by_row = np.bincount(self.row_of, weights=times, minlength=self.rows)
+        return np.add.reduceat(by_row, self.starts[:-1])[self.node_of]
+
+
+def _level(starts: np.ndarray, row_of: np.ndarray) -> Level:
+    return Level(starts, row_of, np.repeat(np.arange(len(starts) - 1), np.diff(starts)))
+
+
 @dataclass(frozen=True)
 class Layout:
-    """Which symbols there are, and the classes they are in."""
+    """Which symbols there are, and the tree that their probabilities are factored by."""
 
     base: np.ndarray  # for each own symbol, the symbol of its spelling
-    starts: np.ndarray  # first symbol of each class, then the end
-    class_of: np.ndarray
+    levels: tuple[Level, Level, Level]  # groups, classes, symbols
 
     @property
     def symbols(self) -> int:
-        return len(self.class_of)
+        return self.levels[-1].rows
 
-    @property
-    def classes(self) -> int:
-        return len(self.starts) - 1
+
+def _squares(n: int) -> np.ndarray:
+    """0, 1, 4, ... below ``n``."""
+    return np.arange(math.isqrt(n - 1) + 1 if n else 0, dtype=np.int64) ** 2
 
 
 def layout(symbols: int, spelling: np.ndarray = _NO_WORDS) -> Layout:
     """The first ``len(spelling)`` symbols are own ones."""
     own = len(spelling)
-    squares = np.arange(math.isqrt(own - 1) + 1 if own else 0, dtype=np.int64) ** 2
-    starts = np.concatenate([squares, np.arange(own, symbols + 1)])
-    return Layout(spelling, starts, np.repeat(np.arange(len(starts) - 1), np.diff(starts)))
+    words = np.concatenate([_squares(own), np.arange(own, symbols, SPELLING_TOGETHER), [symbols]])
+    word_level = _level(words, np.arange(symbols))
+    class_of = word_level.node_of
+    groups = np.append(_squares(len(words) - 1), len(words) - 1)
+    class_level = _level(groups, class_of)
+    group_level = _level(np.array([0, len(groups) - 1]), class_level.node_of[class_of])
+    return Layout(spelling, (group_level, class_level, word_level))
 
 
 def shapes(of: Layout) -> dict[str, tuple[int, ...]]:
@@ -56,10 +96,7 @@ def shapes(of: Layout) -> dict[str, tuple[int, ...]]:
         "wx": (EMBED, 3 * HIDDEN),
         "wh": (HIDDEN, 3 * HIDDEN),
         "bias": (3 * HIDDEN,),
-        "out": (HIDDEN, of.classes),
-        "out_bias": (of.classes,),
-        "word_out": (of.symbols, HIDDEN),
-        "word_bias": (of.symbols,),
+        **{name: (level.rows, HIDDEN + 1) for name, level in zip(_LEVELS, of.levels, strict=True)},
     }
 
 
@@ -70,15 +107,16 @@ def initial(mass: np.ndarray, seed: int = 1, spelling: np.ndarray = _NO_WORDS) -
     of = layout(len(mass), spelling)
     made: dict = {"layout": of}
     for name, shape in shapes(of).items():
-        scale = 1.0 if name == "embed" else (shape[0] ** -0.5 if len(shape) == 2 else 0.0)
+        scale = 1.0 if name == "embed" else shape[0] ** -0.5 if name in ("wx", "wh") else 0.0
         made[name] = (rng.standard_normal(shape) * scale).astype(np.float32)
-    made["out"] *= 0.1
     own = len(spelling)
     made["embed"][:own] *= np.minimum(1.0, 4.0 / np.sqrt(1.0 + np.arange(own)))[:, None].astype(np.float32)
-    by_class = np.add.reduceat(mass, of.starts[:-1])
-    made["out_bias"] = np.log(by_class / mass.sum()).astype(np.float32)
-    made["word_out"][:] = 0
-    made["word_bias"] = np.log(mass / by_class[of.class_of]).astype(np.float32)
+    for name, level in zip(_LEVELS, of.levels, strict=True):
+        by_row = np.bincount(level.row_of, weights=mass, minlength=level.rows)
+        made[name][:, -1] = np.log(by_row / level.behind(mass))
+        # Groups and classes start with small weights, words with none: few of them are seen at once.
+        if name != "word_out":
+            made[name][:, :-1] = rng.standard_normal((level.rows, HIDDEN)) * 0.03
     return made
 
 
@@ -95,10 +133,12 @@ def unflatten(flat: np.ndarray, of: Layout) -> dict:
     return out
 
 
-def spread(inputs: np.ndarray, classes: np.ndarray, seen: float, of: Layout) -> np.ndarray:
-    """Per parameter the tokens that are behind it: for a symbol's input vector and for what a class
-    predicts, those that touched it."""
-    behind = {"embed": inputs, "word_out": classes[of.class_of], "word_bias": classes[of.class_of]}
+def spread(inputs: np.ndarray, times: np.ndarray, of: Layout) -> np.ndarray:
+    """Per parameter the tokens that are behind it: for a symbol's input vector and for the rows of a node,
+    those that touched it. ``times`` says how often each symbol was predicted."""
+    behind = {"embed": inputs}
+    behind |= {name: level.behind(times) for name, level in zip(_LEVELS, of.levels, strict=True)}
+    seen = times.sum()
     parts = []
     for name, shape in shapes(of).items():
         rows = behind.get(name, np.full(shape[0], seen))
@@ -106,203 +146,262 @@ def spread(inputs: np.ndarray, classes: np.ndarray, seen: float, of: Layout) ->
     return np.concatenate(parts)
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1.0 / (1.0 + np.exp(-x))
+def _vectors(p: dict) -> np.ndarray:
+    """The input vector of each symbol."""
+    base = p["layout"].base
+    out = p["embed"].copy()
+    out[: len(base)] += p["embed"][base]
+    return out
+
 
+@dataclass
+class Window:
+    """What the network reads at once; arrays are ``[steps, lanes]``."""
 
-def _vectors(p: dict, inputs: np.ndarray) -> np.ndarray:
-    found, base = p["embed"][inputs], p["layout"].base
-    own = inputs < len(base)
-    found[own] += p["embed"][base[inputs[own]]]
-    return found
+    inputs: np.ndarray
+    targets: np.ndarray
+    fresh: np.ndarray  # 1 where a text starts
+    real: np.ndarray  # 0 beyond the end of a lane
+    place: np.ndarray  # the number of the text
 
 
-def forward(p: dict, inputs: np.ndarray, fresh: np.ndarray, state: np.ndarray):
-    """Run a window ``[steps, lanes]``; returns all states, gates and the last state."""
+def forward(p: dict, vectors: np.ndarray, inputs: np.ndarray, fresh: np.ndarray, state: np.ndarray, keep: bool = True):
+    """Run a window on from ``state [hidden, lanes]``. Returns the states after each step and, for learning
+    (``keep``), the states before, the gates and the inner product of the candidate; each ``[steps, .., lanes]``."""
     steps, lanes = inputs.shape
-    gx = _vectors(p, inputs) @ p["wx"] + p["bias"]
     h = HIDDEN
-    states = np.empty((steps + 1, lanes, h), dtype=np.float32)
-    gates = np.empty((steps, lanes, 3 * h), dtype=np.float32)
-    inner = np.empty((steps, lanes, h), dtype=np.float32)
-    starts = np.empty((steps, lanes, h), dtype=np.float32)
-    states[0] = state
+    after = np.empty((steps, h, lanes), dtype=np.float32)
+    kept = [np.empty((steps, n * h, lanes), dtype=np.float32) for n in (1, 3, 1)] if keep else None
+    wh, wx, bias = np.ascontiguousarray(p["wh"].T), np.ascontiguousarray(p["wx"].T), p["bias"][:, None]
     for t in range(steps):
-        before = states[t] * (1 - fresh[t])[:, None]
-        gh = before @ p["wh"]
-        zr = _sigmoid(gx[t, :, : 2 * h] + gh[:, : 2 * h])
-        z, r = zr[:, :h], zr[:, h:]
-        inner[t] = gh[:, 2 * h :]
-        c = np.tanh(gx[t, :, 2 * h :] + r * inner[t])
-        states[t + 1] = before + z * (c - before)
-        gates[t, :, : 2 * h], gates[t, :, 2 * h :], starts[t] = zr, c, before
-    return states, gates, inner, starts
-
-
-def log_probabilities(p: dict, states: np.ndarray) -> np.ndarray:
-    """Of each class."""
-    scores = states @ p["out"] + p["out_bias"]
-    scores -= scores.max(axis=-1, keepdims=True)
-    scores -= np.log(np.exp(scores).sum(axis=-1, keepdims=True))
-    return scores
-
-
-def _within(of: Layout, targets: np.ndarray, real: np.ndarray) -> Iterator[tuple]:
-    """``rows, low, high`` for each class of several symbols ``low`` to ``high`` that real targets are in."""
-    classes = of.class_of[targets]
-    rows = np.flatnonzero((np.diff(of.starts)[classes] > 1) & (real > 0))
-    rows = rows[np.argsort(classes[rows], kind="stable")]
-    found, first = np.unique(classes[rows], return_index=True)
-    for k, low, high in zip(found, first, [*first[1:], len(rows)]):
-        yield rows[low:high], of.starts[k], of.starts[k + 1]
-
-
-def _softmax(scores: np.ndarray) -> np.ndarray:
-    scores -= scores.max(axis=-1, keepdims=True)
+        start = state * (1 - fresh[t]) if fresh[t].any() else state
+        gh = wh @ start
+        gx = wx @ vectors[inputs[t]].T
+        gx += bias
+        zr = gx[: 2 * h]
+        zr += gh[: 2 * h]
+        np.negative(zr, out=zr)
+        np.exp(zr, out=zr)
+        zr += 1
+        np.reciprocal(zr, out=zr)
+        z, c = zr[:h], gx[2 * h :]
+        c += zr[h:] * gh[2 * h :]
+        np.tanh(c, out=c)
+        state = c - start
+        state *= z
+        state += start
+        after[t] = state
+        if kept:
+            before, gates, inner = kept
+            before[t], gates[t], inner[t] = start, gx, gh[2 * h :]
+    return after, kept, state
+
+
+class Sorted:
+    """The tokens of a window in the order of their targets' classes, so that each node's tokens are one run on every
+    level; runs that are long are met in parts, which small matrix products are fastest with."""
+
+    def __init__(self, of: Layout, after: np.ndarray, targets: np.ndarray, real: np.ndarray):
+        class_of = of.levels[-1].node_of.astype(np.int16 if len(of.levels[-1].starts) < 1 << 15 else np.int64)
+        order = np.argsort(class_of[targets], kind="stable")
+        # Ordered by class is ordered by group as well. What is not real is left out.
+        self.order = order[real[order] > 0]
+        self.targets = targets[self.order]
+        # [steps, hidden, lanes] to [hidden, tokens], and a constant one that meets the bias
+        states = after.transpose(1, 0, 2).reshape(after.shape[1], -1)[:, self.order]
+        self.states = np.concatenate([states, np.ones((1, len(self.order)), dtype=np.float32)])
+
+    def runs(self, level: Level) -> Iterator[tuple]:
+        """``first row, end, low, high, place of each target's row`` for each part of a node of several rows."""
+        rows = level.row_of[self.targets]
+        sizes = np.bincount(level.node_of[rows], minlength=len(level.starts) - 1)
+        ends = np.cumsum(sizes)
+        several = np.diff(level.starts) > 1
+        for node in np.flatnonzero(several & (sizes > 0)):
+            first, end = int(level.starts[node]), int(level.starts[node + 1])
+            at = rows[ends[node] - sizes[node] : ends[node]] - first
+            for low in range(0, len(at), PART):
+                part = at[low : low + PART]
+                begin = int(ends[node] - sizes[node]) + low
+                yield first, end, begin, begin + len(part), (part, _COUNT[: len(part)])
+
+
+def _exponentials(scores: np.ndarray) -> np.ndarray:
+    """In place, the greatest of each column as 1; returns the sums."""
+    scores -= scores.max(axis=0)
     np.exp(scores, out=scores)
-    scores /= scores.sum(axis=-1, keepdims=True)
-    return scores
+    return scores.sum(axis=0)
 
 
-def _adapt(p: dict, memory: dict, name: str, rows, grad: np.ndarray, rate: float) -> None:
-    """A step for the rows that it touches."""
-    memory[name][rows] += grad * grad
-    p[name][rows] -= rate * grad / (np.sqrt(memory[name][rows]) + 1e-4)
+def _adapt(p: dict, memory: dict, name: str, grad: np.ndarray, rate: float) -> None:
+    """A step of its own size for each number, by all gradients so far; without a gradient there is none."""
+    memory[name] += grad * grad
+    step = np.sqrt(memory[name])
+    step += 1e-4
+    np.divide(grad, step, out=step)
+    step *= rate
+    p[name] -= step
 
 
-def train_window(p: dict, memory: dict, window: tuple, state: np.ndarray, rate: float) -> np.ndarray:
+def _learn_output(p: dict, memory: dict, after: np.ndarray, targets: np.ndarray, real: np.ndarray, rate: float):
+    """Steps of all outputs; the gradient of the states ``[steps, hidden, lanes]``."""
+    share = np.float32(1.0 / max(real.sum(), 1.0))
+    tokens = Sorted(p["layout"], after, targets, real)
+    d_sorted = np.zeros((HIDDEN, len(tokens.order)), dtype=np.float32)
+    for name, level in zip(_LEVELS, p["layout"].levels, strict=True):
+        weights, grad = p[name], np.zeros_like(p[name])
+        backward = np.ascontiguousarray(weights[:, :-1].T)
+        for first, end, low, high, wanted in tokens.runs(level):
+            states = tokens.states[:, low:high]
+            e = weights[first:end] @ states
+            e *= share / _exponentials(e)
+            e[wanted] -= share
+            d_sorted[:, low:high] += backward[:, first:end] @ e
+            grad[first:end] += e @ states.T
+        _adapt(p, memory, name, grad, rate)
+    steps, hidden, lanes = after.shape
+    d_after = np.zeros((hidden, steps * lanes), dtype=np.float32)
+    d_after[:, tokens.order] = d_sorted
+    return d_after.reshape(hidden, steps, lanes).transpose(1, 0, 2)
+
+
+def _learn_inputs(p: dict, memory: dict, read: np.ndarray, d_read: np.ndarray, rate: float) -> None:
+    """Steps of the input vectors: what an own symbol is moved by, its spelling is moved by as well."""
+    base, symbols = p["layout"].base, len(p["embed"])
+    grad = np.stack([np.bincount(read, weights=d, minlength=symbols) for d in d_read], axis=1)
+    if len(base):
+        grad += np.stack([np.bincount(base, weights=g, minlength=symbols) for g in grad[: len(base)].T], axis=1)
+    _adapt(p, memory, "embed", grad.astype(np.float32), rate)
+
+
+def train_window(p: dict, memory: dict, window: Window, state: np.ndarray, rate: float) -> np.ndarray:
     """One step of truncated backpropagation with normalised (RMS) steps; returns the carried state."""
-    inputs, targets, fresh, real = window
-    steps, lanes = inputs.shape
+    steps, lanes = window.inputs.shape
     h = HIDDEN
-    states, gates, inner, starts = forward(p, inputs, fresh, state)
-    after = states[1:].reshape(-1, h)
-    of, wanted, read = p["layout"], targets.ravel(), inputs.ravel()
-    share = np.float32(1.0 / max(real.sum(), 1.0))
-    d = _softmax(after @ p["out"] + p["out_bias"])
-    d[np.arange(len(d)), of.class_of[wanted]] -= 1.0
-    d *= real.ravel()[:, None] * share
-    g = {"out": after.T @ d, "out_bias": d.sum(axis=0)}
-    d_after = d @ p["out"].T
-    for rows, low, high in _within(of, wanted, real.ravel()):
-        cut, state_of = slice(low, high), after[rows]
-        e = _softmax(state_of @ p["word_out"][cut].T + p["word_bias"][cut])
-        e[np.arange(len(e)), wanted[rows] - low] -= 1.0
-        e *= share
-        d_after[rows] += e @ p["word_out"][cut]
-        _adapt(p, memory, "word_out", cut, e.T @ state_of, rate)
-        _adapt(p, memory, "word_bias", cut, e.sum(axis=0), rate)
-    d_states = d_after.reshape(steps, lanes, h)
-    d_gates = np.empty_like(gates)
-    d_inner = np.empty((steps, lanes, 3 * h), dtype=np.float32)
-    carried = np.zeros((lanes, h), dtype=np.float32)
+    vectors = _vectors(p)
+    after, (before, gates, inner), last = forward(p, vectors, window.inputs, window.fresh, state)
+    d_states = _learn_output(p, memory, after, window.targets.ravel(), window.real.ravel(), rate)
+    carried = np.zeros((h, lanes), dtype=np.float32)
+    g = {name: np.zeros_like(p[name]) for name in _DENSE}
+    d_read = np.empty((EMBED, steps, lanes), dtype=np.float32)
+    d_inner = np.empty((3 * h, lanes), dtype=np.float32)
+    d_gates = np.empty((3 * h, lanes), dtype=np.float32)
     for t in range(steps - 1, -1, -1):
-        ds = d_states[t] + carried
-        z, r, c = gates[t, :, :h], gates[t, :, h : 2 * h], gates[t, :, 2 * h :]
-        dc = ds * z * (1 - c * c)
-        dr = dc * inner[t] * r * (1 - r)
-        dz = ds * (c - starts[t]) * z * (1 - z)
-        d_gates[t, :, :h], d_gates[t, :, h : 2 * h], d_gates[t, :, 2 * h :] = dz, dr, dc
-        d_inner[t, :, : 2 * h], d_inner[t, :, 2 * h :] = d_gates[t, :, : 2 * h], dc * r
-        carried = (ds * (1 - z) + d_inner[t] @ p["wh"].T) * (1 - fresh[t])[:, None]
-    flat_inner = d_inner.reshape(-1, 3 * h)
-    g["wh"] = starts.reshape(-1, h).T @ flat_inner
-    flat = d_gates.reshape(-1, 3 * h)
-    g["bias"] = flat.sum(axis=0)
-    g["wx"] = _vectors(p, read).T @ flat
-    d_read = flat @ p["wx"].T
-    own = (read < len(of.base)) & (real.ravel() > 0)
-    # What an own symbol is moved by, its spelling is moved by as well.
-    touched = np.concatenate([read, of.base[read[own]]])
-    moved = np.concatenate([d_read, d_read[own]])
-    order = np.argsort(touched, kind="stable")
-    symbols, first = np.unique(touched[order], return_index=True)
-    _adapt(p, memory, "embed", symbols, np.add.reduceat(moved[order], first, axis=0), rate)
+        ds = carried
+        ds += d_states[t]
+        z, r, c, start = gates[t, :h], gates[t, h : 2 * h], gates[t, 2 * h :], before[t]
+        by_z = ds * z
+        d_gates[2 * h :] = dc = by_z * (1 - c * c)
+        d_inner[2 * h :] = dc * r
+        d_gates[:h] = by_z * (c - start) * (1 - z)
+        d_gates[h : 2 * h] = d_inner[2 * h :] * inner[t] * (1 - r)
+        d_inner[: 2 * h] = d_gates[: 2 * h]
+        carried = p["wh"] @ d_inner
+        carried += ds
+        carried -= by_z
+        if window.fresh[t].any():
+            carried *= 1 - window.fresh[t]
+        g["wh"] += start @ d_inner.T
+        g["wx"] += (d_gates @ vectors[window.inputs[t]]).T
+        g["bias"] += d_gates.sum(axis=1)
+        d_read[:, t] = p["wx"] @ d_gates
+    _learn_inputs(p, memory, window.inputs.ravel(), d_read.reshape(EMBED, -1), rate)
     for name, grad in g.items():
         memory[name] = 0.99 * memory[name] + 0.01 * grad * grad
         p[name] -= rate * grad / (np.sqrt(memory[name] / (1 - 0.99 ** memory["steps"])) + 1e-4)
     memory["steps"] += 1
-    return states[-1]
+    return last
 
 
 def new_memory(p: dict) -> dict:
     return {"steps": 1, **{n: np.zeros_like(p[n]) for n in _SHAPES}}
 
 
-def lanes_of(texts: list[np.ndarray], lanes: int = LANES) -> Iterator[tuple]:
-    """Deal symbol sequences to lanes and cut them into windows.
+def windows(
+    texts: Sequence[np.ndarray], lanes: int, at_once: int = 0, heads: Sequence[int] | None = None
+) -> Iterator[Window]:
+    """Deal symbol sequences to lanes and cut the lanes into windows.
 
-    Yields ``(inputs, targets, fresh, real, place)`` per window, each ``[steps, lanes]``: ``place`` is the number of
-    the text. The longest texts are dealt first, each to the shortest lane. The input of a text's first token
-    is the end, 0.
+    The longest texts are dealt first, each to the shortest lane. The input of a text's first token is its head: the
+    end, 0, where none is given. A window has ``WINDOW`` steps, or more as long as it stays within ``at_once`` tokens.
     """
-    order = sorted(range(len(texts)), key=lambda k: -len(texts[k]))
     lanes = max(1, min(lanes, len(texts)))
     filled: list[list[int]] = [[] for _ in range(lanes)]
-    length = np.zeros(lanes, dtype=np.int64)
-    for k in order:
-        lane = int(length.argmin())
+    free = [(0, lane) for lane in range(lanes)]
+    for k in sorted(range(len(texts)), key=lambda k: -len(texts[k])):
+        used, lane = heapq.heappop(free)
         filled[lane].append(k)
-        length[lane] += len(texts[k])
+        heapq.heappush(free, (used + len(texts[k]), lane))
     # Longer lanes first: the lanes that still have something to read are then always the first ones.
-    by_length = np.argsort(-length, kind="stable")
-    filled, length = [filled[k] for k in by_length], length[by_length]
-    steps = -(-int(length[0]) // WINDOW) * WINDOW
-    targets = np.zeros((steps, lanes), dtype=np.int32)
-    inputs = np.zeros((steps, lanes), dtype=np.int32)
-    fresh = np.ones((steps, lanes), dtype=np.float32)
-    real = np.zeros((steps, lanes), dtype=np.float32)
-    place = np.zeros((steps, lanes), dtype=np.int64)
-    for lane, members in enumerate(filled):
-        at = 0
-        for k in members:
-            n = len(texts[k])
-            targets[at : at + n, lane] = texts[k]
-            inputs[at + 1 : at + n, lane] = texts[k][:-1]
-            fresh[at + 1 : at + n, lane] = 0
-            real[at : at + n, lane] = 1
-            place[at : at + n, lane] = k
-            at += n
-    for t in range(0, steps, WINDOW):
-        cut = slice(t, t + WINDOW), slice(0, int((length > t).sum()))
-        yield inputs[cut], targets[cut], fresh[cut], real[cut], place[cut]
+    filled.sort(key=lambda members: -sum(len(texts[k]) for k in members))
+    order = [k for members in filled for k in members]
+    lengths = np.array([len(texts[k]) for k in order], dtype=np.int64)
+    targets = np.concatenate([texts[k] for k in order]).astype(np.int32)
+    place = np.repeat(np.array(order, dtype=np.int64), lengths)
+    starts = np.cumsum(lengths) - lengths
+    inputs = np.empty_like(targets)
+    inputs[1:] = targets[:-1]
+    starting = starts[lengths > 0]
+    inputs[starting] = 0 if heads is None else np.array(heads, dtype=np.int32)[order][lengths > 0]
+    fresh = np.zeros(len(targets), dtype=np.float32)
+    fresh[starting] = 1
+    length = np.array([sum(len(texts[k]) for k in members) for members in filled], dtype=np.int64)
+    begin = np.cumsum(length) - length
+    t = 0
+    while t < length[0]:
+        active = int((length > t).sum())
+        steps = min(max(WINDOW, at_once // active), int(length[0]) - t)
+        along = t + np.arange(steps)[:, None]
+        within = along < length[:active]
+        at = begin[:active] + np.minimum(along, length[:active] - 1)
+        real = within.astype(np.float32)
+        yield Window(
+            np.where(within, inputs[at], 0), np.where(within, targets[at], 0), np.where(within, fresh[at], 1), real, place[at]
+        )
+        t += steps
 
 
 def train(p: dict, memory: dict, texts: list[np.ndarray], rate: float) -> int:
-    """All windows of the texts once; the number of tokens learned from."""
-    state, n = None, 0
+    """All tokens of the texts once; the number of tokens learned from."""
+    parts = [(k, at) for k, text in enumerate(texts) for at in range(0, len(text), STRETCH)]
+    if not parts:
+        return 0
+    stretches = [texts[k][at : at + STRETCH] for k, at in parts]
+    heads = [int(texts[k][at - 1]) if at else 0 for k, at in parts]
     # Few tokens: fewer lanes and so more steps. A window that only some lanes are left in steps less far.
-    lanes = min(LANES, max(16, sum(map(len, texts)) // (64 * WINDOW)))
-    for inputs, targets, fresh, real, _ in lanes_of(texts, lanes):
-        if state is None:
-            state = np.zeros((inputs.shape[1], HIDDEN), dtype=np.float32)
-        state = state[: inputs.shape[1]]
-        share = float(real.sum()) / (lanes * WINDOW)
-        state = train_window(p, memory, (inputs, targets, fresh, real), state, rate * min(share, 1.0))
-        n += int(real.sum())
+    lanes = min(LANES, max(16, sum(map(len, texts)) // (64 * WINDOW)), len(parts))
+    state, n = np.zeros((HIDDEN, lanes), dtype=np.float32), 0
+    for window in windows(stretches, lanes, heads=heads):
+        share = float(window.real.sum()) / (lanes * WINDOW)
+        state = train_window(p, memory, window, state[:, : window.inputs.shape[1]], rate * min(share, 1.0))
+        n += int(window.real.sum())
     return n
 
 
-def _picked(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The log-probability of one place per row."""
-    scores -= scores.max(axis=-1, keepdims=True)
-    wanted = scores[np.arange(len(scores)), at]
-    return wanted - np.log(np.exp(scores, out=scores).sum(axis=-1))
+def log_probabilities(p: dict, after: np.ndarray, targets: np.ndarray, real: np.ndarray) -> np.ndarray:
+    """Of the target after each state of ``after [steps, hidden, lanes]``; 0 where it is not real."""
+    tokens = Sorted(p["layout"], after, targets, real)
+    picked = np.zeros(len(tokens.order), dtype=np.float32)
+    for name, level in zip(_LEVELS, p["layout"].levels, strict=True):
+        for first, end, low, high, wanted in tokens.runs(level):
+            scores = p[name][first:end] @ tokens.states[:, low:high]
+            chosen = scores[wanted] - scores.max(axis=0)
+            picked[low:high] += chosen - np.log(_exponentials(scores))
+    logs = np.zeros(len(targets), dtype=np.float64)
+    logs[tokens.order] = picked
+    return logs
 
 
 def score(p: dict, texts: list[np.ndarray]) -> np.ndarray:
     """The natural log-likelihood of each whole symbol sequence."""
     sums = np.zeros(len(texts), dtype=np.float64)
-    state = None
-    for inputs, targets, fresh, real, place in lanes_of(texts):
-        if state is None:
-            state = np.zeros((inputs.shape[1], HIDDEN), dtype=np.float32)
-        states, *_ = forward(p, inputs, fresh, state[: inputs.shape[1]])
-        state = states[-1]
-        after, wanted = states[1:].reshape(-1, HIDDEN), targets.ravel()
-        picked = _picked(after @ p["out"] + p["out_bias"], p["layout"].class_of[wanted]) * real.ravel()
-        for rows, low, high in _within(p["layout"], wanted, real.ravel()):
-            scores = after[rows] @ p["word_out"][low:high].T + p["word_bias"][low:high]
-            picked[rows] += _picked(scores, wanted[rows] - low)
-        sums += np.bincount(place.ravel(), weights=picked, minlength=len(texts))
+    if not sum(map(len, texts)):
+        return sums
+    vectors = _vectors(p)
+    state = np.zeros((HIDDEN, min(LANES, len(texts))), dtype=np.float32)
+    for window in windows(texts, LANES, SCORED_AT_ONCE):
+        lanes = window.inputs.shape[1]
+        after, _, state = forward(p, vectors, window.inputs, window.fresh, state[:, :lanes], keep=False)
+        logs = log_probabilities(p, after, window.targets.ravel(), window.real.ravel())
+        sums += np.bincount(window.place.ravel(), weights=logs, minlength=len(texts))
     return sums

@@ -10,7 +10,7 @@
    known to every task; the others leave the scoring tasks as (document, word, times) and meet the counts in
    a join.
 
-Only parameters (at most 2.3 million numbers, summed up over the tasks by Spark) and the bounded vocabulary head
+Only parameters (at most 2.1 million numbers, summed up over the tasks by Spark) and the bounded vocabulary head
 reach the driver.
 
 Defined cases: a missing or empty text is the end token alone. Rows without id are learned from. Repeated rows
@@ -104,10 +104,9 @@ def train_model(docs: DataFrame, text: str, words: Vocabulary) -> np.ndarray:
                 return
             # A spelling's vector is also behind the own symbols with it.
             inputs = times + np.bincount(of.base, weights=times[: len(of.base)], minlength=of.symbols)
-            by_class = np.add.reduceat(times, of.starts[:-1])
-            moved = (network.flatten(params) - before.value) * network.spread(inputs, by_class, seen, of)
+            moved = (network.flatten(params) - before.value) * network.spread(inputs, times, of)
             # The tokens behind the parameters go along as the last numbers.
-            out = np.concatenate([moved, inputs, by_class, [seen]]).astype(np.float32)
+            out = np.concatenate([moved, inputs, times]).astype(np.float32)
             for k in range(0, len(out), CHUNK):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([k // CHUNK], pa.int32()), pa.array([out[k : k + CHUNK]], pa.list_(pa.float32()))],
@@ -120,10 +119,8 @@ def train_model(docs: DataFrame, text: str, words: Vocabulary) -> np.ndarray:
         if summed.num_rows:
             summed = summed.sort_by("chunk").column("part").combine_chunks()
             total = summed.flatten().to_numpy()
-            moved, inputs, by_class, seen = np.split(
-                total, np.cumsum([len(flat), of.symbols, of.classes])
-            )
-            behind = network.spread(inputs, by_class, seen[0], of)
+            moved, inputs, times = np.split(total, np.cumsum([len(flat), of.symbols]))
+            behind = network.spread(inputs, times, of)
             flat = (flat + moved / np.maximum(behind, 1.0)).astype(np.float32)
         before.unpersist()
     return flat
