@@ -16,9 +16,9 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 def _hits(terms: Sequence[str]) -> str:
     found = (
-        f"(regexp_matches(low, '(^|[^a-z0-9]){t}([^a-z0-9]|$)'))::integer" for t in terms
+        f"(regexp_matches(low, '(^|[^\\p{{L}}\\p{{N}}]){t}([^\\p{{L}}\\p{{N}}]|$)'))::integer" for t in terms
     )
-    return f"case when rest is null then 0 else {' + '.join(found)} end"
+    return f"case when low is null then 0 else {' + '.join(found)} end"
 
 
 def _rule(value: str) -> str:

@@ -6,8 +6,8 @@ per task, which finds all terms in one pass over the url. A hit counts only betw
 letter or digit may stand directly before or after it. One strict term rejects; soft terms reject
 when several different ones occur.
 
-Defined cases: a missing url or one without ``://`` has empty host and path, no rule and no term, and is
-allowed. Repeated rows are judged each on their own. An empty table gives an empty result. Extra columns
+Defined cases: a missing url or one without ``://`` has empty host and path and no rule; a missing one has no term
+and is allowed, any other is searched whole. A very long url is one string in one task. Repeated rows are judged each on their own. An empty table gives an empty result. Extra columns
 pass through; a column with the name of an added one is replaced.
 """
 
@@ -124,9 +124,8 @@ def judge_urls(
     host, path = host_and_path(F.col(url))
     split = pages.select(*passed, host.alias("host"), path.alias("path"), F.col(url).alias("_searched"))
     rule, action = fitting_rule(F.col("host"), F.col("path"), rules)
-    searchable = F.when(F.instr("_searched", "://") > 0, F.col("_searched"))
     found = split.withColumns({"rule": rule, "_action": action}).withColumn(
-        "_hits", vocabulary_hits(searchable, strict, soft)
+        "_hits", vocabulary_hits(F.col("_searched"), strict, soft)
     )
     bad = (F.col("_hits.strict") >= 1) | (F.col("_hits.soft") >= min_soft)
     return found.select(
