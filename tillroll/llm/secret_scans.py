@@ -16,7 +16,8 @@ scope, so it holds few parts, however many a text has.
 Everything runs inside the JVM. Equal texts are scanned and linked once.
 
 Defined cases: a missing or empty text has no spans. Repeated rows and rows without id get their own row.
-An empty table gives an empty result.
+An empty table gives an empty result. Extra columns pass through; one with the name of the added column is
+replaced. A long text with many matches takes time in proportion to both.
 """
 
 from __future__ import annotations
@@ -48,9 +49,50 @@ KINDS = ("assign", "access", "hex", "id", "key", "endpoint")
 STRONG = 3  # the first kinds
 PATTERNS = (ASSIGN, ACCESS, HEX, ID, KEY, ENDPOINT)
 REACH = 200
+# Matches folded at once, and code points that a piece of a text is looked for in.
+_BLOCK = 64
+_CHUNK = 4096
 MASK = "[SECRET]"
 
 
+def _running(values: Column, start: Column, step, out_type: str) -> Column:
+    """``values`` folded from the left: each one's ``out`` of ``step(at, value) -> (at, out)``, in order.
+
+    A list that grows by one is copied each time. So values are folded in blocks of ``_BLOCK``: first only what each
+    block leaves behind, then, knowing what each starts from, the blocks on their own.
+    """
+    empty = F.array().cast(f"array<{out_type}>")
+
+    def over(blocks: Column) -> Column:
+        at_start = F.aggregate(
+            blocks,
+            F.struct(start.alias("at"), F.array().cast("array<int>").alias("out")),
+            lambda acc, block: F.struct(
+                F.aggregate(block, acc["at"], lambda at, v: step(at, v)[0]).alias("at"),
+                F.array_append(acc["out"], acc["at"]).alias("out"),
+            ),
+            lambda acc: acc["out"],
+        )
+
+        def fold(block: Column, at: Column) -> Column:
+            return F.aggregate(
+                block,
+                F.struct(at.alias("at"), empty.alias("out")),
+                lambda acc, v: F.struct(
+                    step(acc["at"], v)[0].alias("at"), F.array_append(acc["out"], step(acc["at"], v)[1]).alias("out")
+                ),
+                lambda acc: acc["out"],
+            )
+
+        return F.flatten(F.zip_with(blocks, at_start, fold))
+
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.ceil(F.size(values) / F.lit(_BLOCK)).cast("int") - 1),
+        lambda b: F.slice(values, b * _BLOCK + 1, F.lit(_BLOCK)),
+    )
+    return F.when(F.size(values) > 0, let(blocks, over)).otherwise(empty)
+
+
 def _spans(text: Column, kind: int) -> Column:
     """``array<struct<s, k, e>>`` of the leftmost non-overlapping matches, in code points.
 
@@ -60,28 +102,20 @@ def _spans(text: Column, kind: int) -> Column:
     pattern = PATTERNS[kind]
 
     def place(found: Column) -> Column:
-        gaps, hits = found["gaps"], found["hits"]
-        ends = F.aggregate(
-            F.zip_with(gaps, hits, lambda g, h: F.struct(F.length(g).alias("g"), F.length(h).alias("h"))),
-            F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,k:int,e:int>>").alias("out")),
-            lambda acc, x: F.when(x["h"].isNull(), acc).otherwise(
-                F.struct(
-                    (acc["at"] + x["g"] + x["h"]).alias("at"),
-                    F.array_append(
-                        acc["out"],
-                        F.struct(
-                            (acc["at"] + x["g"]).alias("s"),
-                            F.lit(kind).alias("k"),
-                            (acc["at"] + x["g"] + x["h"]).alias("e"),
-                        ),
-                    ).alias("out"),
-                )
-            ),
-            lambda acc: acc["out"],
+        # One gap more than hits: the text behind the last one is not asked for.
+        lengths = F.transform(
+            found["hits"],
+            lambda hit, i: F.struct(F.length(F.get(found["gaps"], i)).alias("g"), F.length(hit).alias("h")),
         )
+
+        def step(at: Column, x: Column) -> tuple[Column, Column]:
+            end = at + x["g"] + x["h"]
+            return end, F.struct((at + x["g"]).alias("s"), F.lit(kind).alias("k"), end.alias("e"))
+
+        ends = let(lengths, lambda values: _running(values, F.lit(0), step, "struct<s:int,k:int,e:int>"))
         if kind == 0:  # drop assignments whose value is short
             values = F.transform(found["values"], F.length)
-            return F.filter(ends, lambda _, i: F.get(values, i) >= ASSIGN_MIN)
+            return let(values, lambda of: F.filter(ends, lambda _, i: F.get(of, i) >= ASSIGN_MIN))
         return ends
 
     parts = [
@@ -156,6 +190,20 @@ def find_secrets(
     )
 
 
+def _between(chunks: Column, low: Column, high: Column) -> Column:
+    """The code points from ``low`` to ``high`` of a text cut into ``chunks`` of ``_CHUNK``. A piece of a long text
+    would be looked for from its start each time."""
+    first, last = F.floor(low / _CHUNK).cast("int"), F.floor(high / _CHUNK).cast("int")
+    head, tail = F.coalesce(F.get(chunks, first), F.lit("")), F.coalesce(F.get(chunks, last), F.lit(""))
+    inside = F.substring(head, low % _CHUNK + 1, high - low)
+    across = F.concat(
+        F.substring(head, low % _CHUNK + 1, F.lit(_CHUNK)),
+        F.array_join(F.slice(chunks, first + 2, F.greatest(last - first - 1, F.lit(0))), ""),
+        F.substring(tail, F.lit(1), high % _CHUNK),
+    )
+    return F.when(first == last, inside).otherwise(across)
+
+
 def text_key(text: Column | str) -> Column:
     return F.sha2(whole(text), 256)
 
@@ -164,15 +212,15 @@ def with_secrets(
     docs: DataFrame, text: str = "text", reach: int = REACH, name: str = "spans"
 ) -> DataFrame:
     """The documents with their reported spans; empty where there are none."""
-    key = own("key")
-    found = find_secrets(docs, text, reach).select(F.col("key").alias(key), F.col("spans").alias(name))
-    found = _broadcast_if_few(pin(found, "secrets"), name)
+    key, reported = own("key"), own("reported")
+    found = find_secrets(docs, text, reach).select(F.col("key").alias(key), F.col("spans").alias(reported))
+    found = _broadcast_if_few(pin(found, "secrets"), reported)
     kept = [c for c in docs.columns if c != name]
     none = F.array().cast("array<struct<s:int,k:int,e:int>>")
     return (
         docs.withColumn(key, text_key(text))
         .join(found, key, "left")
-        .select(*kept, F.coalesce(name, none).alias(name))
+        .select(*kept, F.coalesce(reported, none).alias(name))
     )
 
 
@@ -188,36 +236,23 @@ def mask_secrets(docs: DataFrame, text: str = "text", reach: int = REACH, mask:
     spans = own("spans")
 
     def masked(rows: Column) -> Column:
-        # Spans are in order of their start; one that starts inside those before it only extends them.
-        merged = F.aggregate(
-            rows,
-            F.array().cast("array<struct<s:int,e:int>>"),
-            lambda acc, x: F.when(
-                (F.size(acc) > 0) & (x["s"] < F.element_at(acc, F.greatest(F.size(acc), F.lit(1)))["e"]),
-                F.array_append(
-                    F.slice(acc, 1, F.size(acc) - 1),
-                    F.struct(
-                        F.element_at(acc, F.greatest(F.size(acc), F.lit(1)))["s"].alias("s"),
-                        F.greatest(
-                            F.element_at(acc, F.greatest(F.size(acc), F.lit(1)))["e"], x["e"]
-                        ).alias("e"),
-                    ),
-                ),
-            ).otherwise(F.array_append(acc, F.struct(x["s"].alias("s"), x["e"].alias("e")))),
-        )
-
-        def pieces(runs: Column) -> Column:
-            before = F.transform(
-                runs,
-                lambda r, i: let(
-                    F.when(i > 0, F.get(runs, i - 1)["e"]).otherwise(F.lit(0)),
-                    lambda start: F.concat(F.substring(F.col(text), start + 1, r["s"] - start), F.lit(mask)),
-                ),
+        # Spans are in order of their start. How far those before each one reach: one that starts inside them only
+        # extends them, any other opens a mask.
+        reached = _running(rows, F.lit(0), lambda at, x: (F.greatest(at, x["e"]), at), "int")
+
+        def pieces(before: Column, chunks: Column) -> Column:
+            opened = F.transform(
+                rows,
+                lambda x, i: F.when(
+                    x["s"] >= F.get(before, i),
+                    F.concat(_between(chunks, F.get(before, i), x["s"]), F.lit(mask)),
+                ).otherwise(F.lit("")),
             )
-            rest = F.substring(F.col(text), F.element_at(runs, -1)["e"] + 1, F.length(F.col(text)))
-            return F.concat(F.array_join(before, ""), rest)
+            last = F.greatest(F.element_at(before, -1), F.element_at(rows, -1)["e"])
+            return F.concat(F.array_join(opened, ""), _between(chunks, last, F.lit(2**31 - 1 - _CHUNK)))
 
-        return let(merged, pieces)
+        chunks = F.regexp_extract_all(F.col(text), F.lit("(?s).{1,%d}" % _CHUNK), F.lit(0))
+        return let(reached, lambda before: let(chunks, lambda parts: pieces(before, parts)))
 
     changed = F.when(F.size(spans) > 0, masked(F.col(spans))).otherwise(F.col(text))
     return with_secrets(docs, text, reach, spans).select(
