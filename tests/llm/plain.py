@@ -40,9 +40,9 @@ def shingles(text, k=4):
     return frozenset(tuple(ws[i : i + k]) for i in range(len(ws) - k + 1))
 
 
-def classes(rows, percent=85):
+def classes(rows, percent=85, k=4):
     """``{id: (size, least id reachable)}`` for rows of (id, text)."""
-    sets = {i: shingles(t) for i, t in rows}
+    sets = {i: shingles(t, k) for i, t in rows}
     owners = defaultdict(list)
     for i, s in sets.items():
         for g in s:

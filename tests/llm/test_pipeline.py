@@ -19,7 +19,7 @@ def test_stages(spark):
     assert {r.doc_id for r in good.collect()} <= passing
 
     single = pin(stages["ngram_jaccard_join"](spark, good, SF), "t")
-    classes = plain.classes([(r.doc_id, r.text) for r in good.collect()])
+    classes = plain.classes([(r.doc_id, r.text) for r in good.collect()], percent=80, k=5)
     assert sorted(r.doc_id for r in single.collect()) == sorted(i for i, (_, c) in classes.items() if i == c)
 
     masked = pin(stages["secret_scans"](spark, single, SF), "t")

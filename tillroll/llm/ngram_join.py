@@ -23,11 +23,13 @@ texts is lost, and no filter is a guess:
 
 Defined cases: a missing or empty text has the empty set and links with nothing. Rows without id have a
 set and may connect others, but give no class its name; a class without any id has none. Repeated rows
-are copies. An empty table gives an empty result. Extra columns are ignored unless named in ``carry``.
+are copies. An empty table gives an empty result. Extra columns are ignored unless named in ``carry``, whatever
+they are called. A very long text is one array of its shingles in one task.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -39,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.llm.components import connected
-from tillroll.llm.text import WORD_RE, read, whole
+from tillroll.llm.text import own, read, whole
 from tillroll.operators.sizes import broadcast_if_small
 from tillroll.scratch import pin
 
@@ -287,7 +289,7 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     prefixes = pin(_prefixes(sets, percent), "prefixes")
     pivot = F.max(F.struct("weight", "set_key", "n", "pos")).alias("p")
     pivots = prefixes.groupBy("h").agg(pivot, F.count(F.lit(1)).alias("members")).where("members > 1")
-    stars = (
+    stars = pin(
         prefixes.join(
             pivots.select(
                 "h",
@@ -299,7 +301,8 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
         )
         .where((F.col("set_key") != F.col("other")) & _may_link(percent))
         .select(F.least("set_key", "other").alias("a"), F.greatest("set_key", "other").alias("b"))
-        .distinct()
+        .distinct(),
+        "stars",
     )
     first = pin(_verified(stars, sets, percent), "links")
     classes = connected(first)
@@ -315,8 +318,13 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
         .where(F.col("lo") != F.col("hi"))
         .select("h")
     )
-    # The ranges go along here, so that the join itself gives out few pairs that do not link.
-    rows = classed.join(mixed, "h").join(sets.select("set_key", "bins"), "set_key")
+    # The ranges go along here, so that the join itself gives out few pairs that do not link. Sizes that can
+    # link lie in the same band or in neighbouring ones, so a group meets by bands and not as a whole.
+    rows = (
+        classed.join(mixed, "h")
+        .join(sets.select("set_key", "bins"), "set_key")
+        .withColumn("band", F.floor(F.log("n") / F.lit(math.log(100 / percent * 1.000001))))
+    )
     other = rows.select(
         "h",
         F.col("set_key").alias("other"),
@@ -324,21 +332,43 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
         F.col("pos").alias("mpos"),
         F.col("label").alias("olabel"),
         F.col("bins").alias("obins"),
+        F.col("band").alias("oband"),
+        F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("band"),
     )
     across = (
-        rows.join(other, "h")
+        rows.join(other, ["h", "band"])
         .where(
-            (F.col("set_key") < F.col("other"))
+            ((F.col("oband") > F.col("band")) | (F.col("set_key") < F.col("other")))
             & (F.col("label") != F.col("olabel"))
             & _may_link(percent)
             & _ranges_allow("bins", "obins", _overlap_needed(F.col("n"), F.col("m"), percent))
         )
-        .select(F.col("set_key").alias("a"), F.col("other").alias("b"))
+        .select(F.least("set_key", "other").alias("a"), F.greatest("set_key", "other").alias("b"))
         .distinct()
+        .join(stars, ["a", "b"], "left_anti")  # verified already
     )
     return first.unionByName(pin(_verified(across, sets, percent), "links"))
 
 
+def _classed(docs: DataFrame, text: str, kept: Sequence[str], words: int, percent: int) -> DataFrame:
+    """``kept..., text_key, n, _class`` per row; rows of one class can be reached from each other by links.
+
+    Columns go by numbers inside, so that none can clash with the names used here.
+    """
+    inner = [f"_c{k}" for k in range(len(kept))]
+    rows = docs.select(*(F.col(c).alias(i) for c, i in zip(kept, inner, strict=True)), F.col(text).alias("_words_of"))
+    sketches = pin(_sketched(rows, "_words_of", inner, words, percent), "sketches")
+    left = pin(_candidates_left(sketches, percent), "left")
+    sets = _ordered_sets(rows, "_words_of", left, words, percent)
+    classes = connected(_links(sets, percent))
+    labelled = sketches.select(*inner, "text_key", "n", "set_key").join(
+        broadcast_if_small(classes.withColumnRenamed("node", "_node")),
+        F.col("set_key") == F.col("_node"),
+        "left",
+    )
+    return pin(labelled.select(*inner, "text_key", "n", F.coalesce("label", "set_key").alias("_class")), "classes")
+
+
 def link_classes(
     docs: DataFrame,
     text: str = "text",
@@ -348,26 +378,24 @@ def link_classes(
     carry: Sequence[str] = (),
 ) -> DataFrame:
     """``id, n_shingles, component_id`` per row, and the columns named in ``carry``."""
-    carry = [c for c in carry if c != id_column]
-    sketches = pin(_sketched(docs, text, [id_column, *carry], words, percent), "sketches")
-    left = pin(_candidates_left(sketches, percent), "left")
-    sets = _ordered_sets(docs, text, left, words, percent)
-    classes = connected(_links(sets, percent))
-    labelled = sketches.select(id_column, *carry, "n", "set_key").join(
-        broadcast_if_small(classes.withColumnRenamed("node", "_node")),
-        F.col("set_key") == F.col("_node"),
-        "left",
+    kept = [id_column, *(c for c in carry if c != id_column)]
+    labelled = _classed(docs, text, kept, words, percent)
+    # Only classes of two rows and more need a name from elsewhere, and their names are few: the rows of a
+    # large class, and empty texts, stay where they are.
+    names = (
+        labelled.where("n > 0")
+        .groupBy(F.col("_class").alias("_named"))
+        .agg(F.min("_c0").alias("_name"), F.count(F.lit(1)).alias("_members"))
+        .where("_members > 1")
+        .drop("_members")
     )
-    labelled = pin(
-        labelled.select(id_column, *carry, "n", F.coalesce("label", "set_key").alias("_class")), "classes"
+    named = labelled.join(
+        broadcast_if_small(pin(names, "names")), (F.col("_class") == F.col("_named")) & (F.col("n") > 0), "left"
     )
-    names = labelled.where("n > 0").groupBy("_class").agg(F.min(id_column).alias("_name"))
-    # A class with one member needs no name from elsewhere, so only others are joined.
-    return labelled.join(names, "_class", "left").select(
-        id_column,
-        *carry,
+    return named.select(
+        *(F.col(f"_c{k}").alias(c) for k, c in enumerate(kept)),
         F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("_name")).otherwise(F.col(id_column)).alias("component_id"),
+        F.when(F.col("_named").isNotNull(), F.col("_name")).otherwise(F.col("_c0")).alias("component_id"),
     )
 
 
@@ -378,21 +406,33 @@ def one_of_each(
     words: int = WORDS,
     percent: int = PERCENT,
 ) -> DataFrame:
-    """The documents with one left of each class: the one with the least id. Classes are those of
-    ``link_classes`` with the same ``words`` and ``percent``.
+    """The documents with one row left of each class: the first by id, then by a hash of its text; rows without id
+    come last. Classes are those of ``link_classes`` with the same ``words`` and ``percent``.
 
-    Texts without words are in no class; all of them stay, and so do rows without id. Repeated rows of the
-    one that stays are one row.
+    It is rows that are decided on: if an id has several texts, each of them belongs to its own class. Texts
+    without words are in no class; all of them stay.
     """
-    classes = link_classes(docs, text, id_column, words, percent)
-    gone = (
-        classes.where(F.col(id_column).isNotNull() & (F.col(id_column) != F.col("component_id")))
-        .select(F.col(id_column).alias("_gone"))
-        .distinct()
+    labelled = _classed(docs, text, [id_column], words, percent).where("n > 0")
+    place = F.struct(F.col("_c0").isNull().alias("no_id"), F.col("_c0").alias("id"), F.col("text_key").alias("text"))
+    firsts = labelled.groupBy("_class").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("members"))
+    several = pin(firsts.where("members > 1"), "firsts")
+    # Every row of these classes, once, and whether it is the one that stays.
+    met = labelled.join(broadcast_if_small(several.withColumnRenamed("_class", "_of")), F.col("_class") == F.col("_of"))
+    id_name, text_name, first_name = own("id"), own("text"), own("first")
+    decided = pin(
+        met.select(F.col("_c0").alias(id_name), F.col("text_key").alias(text_name), (place == F.col("first")).alias(first_name))
+        .groupBy(id_name, text_name)
+        .agg(F.max(first_name).alias(first_name)),
+        "decided",
     )
-    kept = docs.join(broadcast_if_small(gone), docs[id_column] == F.col("_gone"), "left_anti")
-    named = kept.where(F.col(id_column).isNotNull()).dropDuplicates([id_column])
-    return named.unionByName(kept.where(F.col(id_column).isNull()))
+    key = own("key")
+    keyed = docs.withColumn(key, F.sha2(whole(text), 256))
+    same = (F.col(key) == F.col(text_name)) & F.col(id_column).eqNullSafe(F.col(id_name))
+    marked = keyed.join(broadcast_if_small(decided), same, "left")
+    alone = marked.where(F.col(first_name).isNull()).select(*docs.columns)
+    # The same row may be there several times; only rows that stay are shuffled for that, one of each class.
+    staying = marked.where(first_name).dropDuplicates([key, id_column]).select(*docs.columns)
+    return alone.unionByName(staying)
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
