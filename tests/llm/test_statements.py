@@ -15,5 +15,5 @@ def test_statement(spark, name):
 
 
 def test_registry():
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in QUERIES}
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
