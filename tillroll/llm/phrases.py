@@ -7,10 +7,13 @@ first, leave as sorted runs; at the end all do. Runs are dealt by language and f
 each of these prefix partitions, so every phrase's total is formed in one place and no task holds more than a
 share of the phrases.
 
-A phrase of a least frequency has only parts of at least that frequency. So words are counted first, then pairs of
-frequent words, then longer phrases whose neighbouring pairs are all frequent. What is frequent goes to the tasks as
-a set of bits by hash, of a fixed size (``FILTER_BITS``), whatever the corpus: a clash of hashes lets a phrase be
-counted in vain, and the totals decide. Nothing is lost and nothing is estimated.
+A phrase of a least frequency has only parts of at least that frequency, and the bucket of any hash that it falls
+into is at least as full. So the tasks first add up words, then fill ``BUCKETS`` counters with the pairs of frequent
+words, then count the pairs of full buckets while they fill counters with the longer phrases all of whose pairs lie
+in full buckets, and last count the longer phrases of full buckets. What is frequent or full goes to the tasks as a
+set of bits of a fixed size (``FILTER_BITS``, ``BUCKETS``), whatever the corpus: a clash of hashes lets a phrase be
+counted in vain, and the totals decide. Nothing is lost and nothing is estimated; a corpus that fills every bucket
+only has more phrases shuffled.
 
 Defined cases
 
@@ -28,13 +31,16 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.text import read
+from tillroll.llm.word_tokens import Growing
 from tillroll.operators.sizes import broadcast_if_small
 from tillroll.scratch import pin
 
@@ -50,12 +56,11 @@ TRIE_DEPTH = 3
 TRIE_ENTRIES = 400_000
 KNOWN_WORDS = 1_000_000
 FILTER_BITS = 1 << 24
+BUCKETS = 1 << 24
+BUCKETS_A_ROW = 1 << 12
 CHUNK_BYTES = 1 << 20
 FLUSH_TOKENS = 200_000
 
-# Odd multipliers that spread a pair of checksums over the filter; sums stay below 2**63.
-_FIRST, _SECOND = 0x9E375, 0xC2B2B
-
 # No byte of UTF-8 text has this value, so it can stand for any separator.
 _BREAK = b"\xff"
 _SEPARATORS = b".,;:!?\n\x0b\x0c\r"
@@ -80,32 +85,26 @@ def chunks(text: str) -> Iterator[list[bytes]]:
         start = end
 
 
-class Filter:
-    """A set of phrases of one or two words as bits by hash; answers yes too often, never no in error."""
+class Frequent:
+    """Frequent words as bits by hash: answers yes too often, never no in error."""
 
     def __init__(self, bits: np.ndarray):
         self.bits = bits
 
-    def word(self, lang: int, word: int) -> bool:
-        at = (word * _FIRST + lang) % FILTER_BITS
+    def __call__(self, lang: int, word: int) -> bool:
+        at = (word + lang) % FILTER_BITS
         return bool(self.bits[at >> 3] >> (at & 7) & 1)
 
-    def pairs(self, lang: int, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        at = (first * _FIRST + second * _SECOND + lang) % FILTER_BITS
-        return (self.bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
-
 
 def _checksum(text: Column) -> Column:
     return F.crc32(text.cast("binary"))
 
 
-def filter_of(phrases: DataFrame) -> Filter:
-    """From ``lang, phrase`` rows of one or two words. The driver gets ``FILTER_BITS`` bits at most."""
-    words = F.split("phrase", " ", -1)
-    second = F.when(F.size(words) > 1, _checksum(F.get(words, F.lit(1))) * _SECOND).otherwise(F.lit(0).cast("long"))
-    at = (_checksum(F.get(words, F.lit(0))) * _FIRST + second + _checksum(F.col("lang"))) % FILTER_BITS + 1
+def frequent_words(words: DataFrame) -> Frequent:
+    """From ``lang, phrase`` rows of one word. The driver gets ``FILTER_BITS`` bits at most."""
+    at = (_checksum(F.col("phrase")) + _checksum(F.col("lang"))) % FILTER_BITS + 1
     maps = (
-        phrases.select(at.alias("at"))
+        words.select(at.alias("at"))
         .groupBy(F.bitmap_bucket_number("at").alias("bucket"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("map"))
     )
@@ -113,24 +112,96 @@ def filter_of(phrases: DataFrame) -> Filter:
     for bucket, part in maps.collect():
         part = np.frombuffer(bytes(part), dtype=np.uint8)
         at = (bucket - 1) * len(part)
-        bits[at : at + len(part)] = part
-    return Filter(bits)
+        bits[at : at + len(part)] = part[: len(bits) - at]
+    return Frequent(bits)
+
+
+class Full:
+    """The buckets that hold a least number of phrases, as bits."""
+
+    def __init__(self, bits: np.ndarray):
+        self.bits = bits
+
+    def __call__(self, buckets: np.ndarray) -> np.ndarray:
+        return (self.bits[buckets >> 3] >> (buckets & 7).astype(np.uint8) & 1).astype(bool)
+
+
+BUCKET_ROWS = "place int, at binary, n binary"
+_BUCKETS_ARROW = pa.schema([("place", pa.int32()), ("at", pa.binary()), ("n", pa.binary())])
+
+
+def _bucket_rows(counters: np.ndarray, least: int) -> Iterator[pa.RecordBatch]:
+    """The counters that are not zero, ``BUCKETS_A_ROW`` of them a row; none needs to go on past ``least``."""
+    at = np.flatnonzero(counters)
+    n = np.minimum(counters[at], least).astype(np.min_scalar_type(least))
+    place, within = at // BUCKETS_A_ROW, (at % BUCKETS_A_ROW).astype(np.uint16)
+    places, starts = np.unique(place, return_index=True)
+    ends = np.append(starts[1:], len(at))
+    for low in range(0, len(places), 1024):
+        cut = range(low, min(low + 1024, len(places)))
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(places[low : low + 1024], pa.int32()),
+                pa.array([within[starts[k] : ends[k]].tobytes() for k in cut], pa.binary()),
+                pa.array([n[starts[k] : ends[k]].tobytes() for k in cut], pa.binary()),
+            ],
+            schema=_BUCKETS_ARROW,
+        )
+
+
+def _added(least: int) -> Callable:
+    """Rows come sorted by place; the counters of one place are held at a time."""
+    kind = np.min_scalar_type(least)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, sums, out = None, np.zeros(BUCKETS_A_ROW, dtype=np.int64), []
+
+        def finish() -> None:
+            full = sums >= least
+            if current is not None and full.any():
+                out.append((current, np.packbits(full, bitorder="little").tobytes()))
+
+        for rows in batches:
+            columns = (rows.column(c).to_pylist() for c in ("place", "at", "n"))
+            for place, at, n in zip(*columns, strict=True):
+                if place != current:
+                    finish()
+                    current = place
+                    sums[:] = 0
+                sums[np.frombuffer(at, np.uint16)] += np.frombuffer(n, kind)
+        finish()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([p for p, _ in out], pa.int32()), pa.array([b for _, b in out], pa.binary())],
+            names=["place", "bits"],
+        )
+
+    return add
+
+
+def full_buckets(rows: DataFrame, least: int) -> Full:
+    """The driver gets ``BUCKETS`` bits at most."""
+    sorted_rows = rows.repartition("place").sortWithinPartitions("place")
+    bits = np.zeros(BUCKETS // 8, dtype=np.uint8)
+    wide = BUCKETS_A_ROW // 8
+    for place, part in sorted_rows.mapInArrow(_added(least), "place int, bits binary").collect():
+        bits[place * wide : (place + 1) * wide] = np.frombuffer(bytes(part), dtype=np.uint8)
+    return Full(bits)
 
 
 class Ids(dict):
     """Word to a number of its own from 1 on; 0 for breaks and for words that are not frequent."""
 
-    def __init__(self, lang: int, frequent: Filter):
+    def __init__(self, lang: int, frequent: Frequent):
         self.lang, self.frequent = lang, frequent
         self.words: list[bytes] = [b""]
-        self.checksums: list[int] = [0]
+        self.hashes = Growing(np.uint64)
+        self.hashes.extend(np.zeros(1, dtype=np.uint64))
         self[_BREAK] = 0
 
     def __missing__(self, word: bytes) -> int:
-        checksum = zlib.crc32(word)
-        if self.frequent.word(self.lang, checksum):
+        if self.frequent(self.lang, zlib.crc32(word)):
             self.words.append(word)
-            self.checksums.append(checksum)
+            self.hashes.extend(np.array([xxhash.xxh3_64_intdigest(word)], dtype=np.uint64))
             number = len(self.words) - 1
         else:
             number = 0
@@ -226,14 +297,33 @@ def _distinct(columns: list[np.ndarray]) -> Iterator[tuple[tuple[int, ...], int]
     yield from zip(zip(*(c[starts].tolist() for c in columns), strict=True), counts, strict=True)
 
 
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _buckets(keys: np.ndarray) -> np.ndarray:
+    mixed = (keys ^ (keys >> np.uint64(29))) * _SPREAD
+    return (mixed >> np.uint64(32)).astype(np.int64) % BUCKETS
+
+
+@dataclass(frozen=True)
+class Pass:
+    """One reading of the texts: which phrases are counted, and which only fill buckets."""
+
+    words: Frequent
+    counted: tuple[int, ...] = ()  # lengths
+    filled: tuple[int, ...] = ()
+    full_pairs: Full | None = None
+    full_longer: Full | None = None
+
+
 class Counting:
-    """Phrases of some lengths in one language of one task."""
+    """Phrases of one language in one task."""
 
-    def __init__(self, lang: str, lengths: tuple[int, ...], words: Filter, pairs: Filter | None):
-        self.lang, self.lengths, self.frequent, self.pairs = lang, lengths, words, pairs
+    def __init__(self, lang: str, plan: Pass, counters: np.ndarray | None):
+        self.lang, self.plan, self.counters = lang, plan, counters
         self.checksum = zlib.crc32(lang.encode())
         self.trie = HatTrie()
-        self.ids = Ids(self.checksum, words)
+        self.ids = Ids(self.checksum, plan.words)
         self.waiting: list[int] = []
 
     def read(self, words: list[bytes]) -> None:
@@ -246,17 +336,25 @@ class Counting:
         self.waiting.clear()
         if len(ids) < 2:
             return
-        linked = (ids[:-1] > 0) & (ids[1:] > 0)
-        if self.pairs is not None:
-            checksums = np.array(self.ids.checksums, dtype=np.int64)[ids]
-            linked &= self.pairs.pairs(self.checksum, checksums[:-1], checksums[1:])
-        run = linked
-        add = self.trie.add
-        for n in range(2, max(self.lengths) + 1):
-            if n > 2:
-                run = run[:-1] & linked[n - 2 :]
-            if n in self.lengths:
-                starts = np.flatnonzero(run)
+        plan, hashes = self.plan, self.ids.hashes.values[ids]
+        keys = hashes + np.uint64(self.checksum)
+        # able: where phrases start whose parts of one word less are all able to be frequent
+        able = ids > 0
+        for n in range(2, max((*plan.counted, *plan.filled)) + 1):
+            able = able[:-1] & able[1:]
+            keys = keys[:-1] * _SPREAD + hashes[n - 1 :]
+            full = plan.full_pairs if n == 2 else plan.full_longer
+            starts = np.flatnonzero(able)
+            buckets = _buckets(keys[starts])
+            if full is not None:
+                ok = full(buckets)
+                starts, buckets = starts[ok], buckets[ok]
+                able = np.zeros(len(able), dtype=bool)
+                able[starts] = True
+            if n in plan.filled:
+                np.add.at(self.counters, buckets, 1)
+            if n in plan.counted:
+                add = self.trie.add
                 for phrase, count in _distinct([ids[starts + k] for k in range(n)]):
                     add(phrase, count)
 
@@ -272,7 +370,7 @@ class Counting:
             if run:
                 yield _run(self.lang, run)
         if len(self.ids) > KNOWN_WORDS and not keep:
-            self.ids = Ids(self.checksum, self.frequent)
+            self.ids = Ids(self.checksum, self.plan.words)
 
 
 def _run(lang: str, run: list[tuple[bytes, int]]) -> pa.RecordBatch:
@@ -333,30 +431,60 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from rows()
 
 
-def _count_phrases(lengths: tuple[int, ...], words: Filter, pairs: Filter | None) -> Callable:
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counting: dict[str, Counting] = {}
+def _read(batches: Iterator[pa.RecordBatch], plan: Pass, counters: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    """The runs of one task; its counters are filled on the way."""
+    counting: dict[str, Counting] = {}
+    for lang, text in _texts(batches):
+        part = counting.get(lang)
+        if part is None:
+            part = counting[lang] = Counting(lang, plan, counters)
+        for found in chunks(text):
+            part.read(found)
+        if len(part.ids) > KNOWN_WORDS:
+            part.flush()
+            yield from part.runs(0)
+        elif sum(c.trie.entries for c in counting.values()) > TRIE_ENTRIES:
+            for c in counting.values():
+                yield from c.runs(TRIE_ENTRIES // (2 * len(counting)))
+    for part in counting.values():
+        part.flush()
+        yield from part.runs(0)
+
+
+def _count_phrases(plan: Pass) -> Callable:
+    return lambda batches: _gathered(_read(batches, plan, None))
+
+
+def _fill_buckets(plan: Pass, least: int) -> Callable:
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counters = np.zeros(BUCKETS, dtype=np.int32)
+        for _ in _read(batches, plan, counters):
+            raise AssertionError("nothing is counted here")
+        yield from _bucket_rows(counters, least)
 
-        def runs() -> Iterator[pa.RecordBatch]:
-            for lang, text in _texts(batches):
-                part = counting.get(lang)
-                if part is None:
-                    part = counting[lang] = Counting(lang, lengths, words, pairs)
-                for found in chunks(text):
-                    part.read(found)
-                if len(part.ids) > KNOWN_WORDS:
-                    part.flush()
-                    yield from part.runs(0)
-                elif sum(c.trie.entries for c in counting.values()) > TRIE_ENTRIES:
-                    for c in counting.values():
-                        yield from c.runs(TRIE_ENTRIES // (2 * len(counting)))
-            for part in counting.values():
-                part.flush()
-                yield from part.runs(0)
+    return fill
 
-        yield from _gathered(runs())
 
-    return count
+_BOTH = f"{RUNS}, {BUCKET_ROWS.replace(' n binary', ' fill binary')}"
+_BOTH_ARROW = pa.schema([*_RUNS_ARROW, *_BUCKETS_ARROW.remove(2), pa.field("fill", pa.binary())])
+
+
+def _count_and_fill(plan: Pass, least: int) -> Callable:
+    """Runs and bucket rows in one reading, side by side in one schema."""
+
+    def widened(batch: pa.RecordBatch, first: int) -> pa.RecordBatch:
+        columns = [pa.nulls(batch.num_rows, f.type) for f in _BOTH_ARROW]
+        columns[first : first + batch.num_columns] = batch.columns
+        return pa.RecordBatch.from_arrays(columns, schema=_BOTH_ARROW)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counters = np.zeros(BUCKETS, dtype=np.int32)
+        for batch in _gathered(_read(batches, plan, counters)):
+            yield widened(batch, 0)
+        for batch in _bucket_rows(counters, least):
+            yield widened(batch, len(_RUNS_ARROW))
+
+    return run
 
 
 def _merged(runs: DataFrame) -> DataFrame:
@@ -371,20 +499,23 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST_COUNT, longest: int = L
     words = pin(_merged(texts.mapInArrow(_count_words, RUNS)), "words")
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
     frequent = words.where(F.col("n") >= least).select("lang", "phrase", F.lit(1).alias("words"), "n")
-    word_filter = filter_of(frequent)
-    found, pair_filter = [frequent], None
-    for lengths in ((2,), tuple(range(3, longest + 1))):
-        if not lengths or max(lengths) > longest:
-            continue
-        counted = _merged(texts.mapInArrow(_count_phrases(lengths, word_filter, pair_filter), RUNS))
+    known = frequent_words(frequent)
+    longer = tuple(range(3, longest + 1))
+    pairs = full_buckets(texts.mapInArrow(_fill_buckets(Pass(known, filled=(2,)), least), BUCKET_ROWS), least)
+    both = pin(
+        texts.mapInArrow(_count_and_fill(Pass(known, counted=(2,), filled=longer, full_pairs=pairs), least), _BOTH),
+        "pairs",
+    )
+    runs = [both.where("place is null").select("lang", "prefix", "phrase", "n")]
+    if longer:
+        full = full_buckets(both.where("place is not null").select("place", "at", F.col("fill").alias("n")), least)
+        plan = Pass(known, counted=longer, full_pairs=pairs, full_longer=full)
+        runs.append(texts.mapInArrow(_count_phrases(plan), RUNS))
+    out = frequent
+    for part in runs:
         length = F.size(F.split("phrase", " ", -1)).alias("words")
-        kept = pin(counted.where(F.col("n") >= least).select("lang", "phrase", length, "n"), "phrases")
-        found.append(kept)
-        if lengths == (2,):
-            pair_filter = filter_of(kept)
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
+        kept = _merged(part).where(F.col("n") >= least).select("lang", "phrase", length, "n")
+        out = out.unionByName(pin(kept, "phrases"))
     return out, totals
 
 
