@@ -71,6 +71,34 @@ def test_row_checks_of_a_table_share_one_pass(spark, tmp_path):
     assert plan.count("FileScan parquet") == 1
 
 
+def test_unique_columns_of_a_table_share_one_scan_and_one_shuffle(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = [(1, "a", 0.0, "x"), (1, "b", -0.0, None), (None, "b", 1.5, None), (2, "b", float("nan"), "y"), (3, "c", float("nan"), "z")]
+    spark.createDataFrame(rows, "a long, b string, c double, d string").write.parquet(path)
+    t = spark.read.parquet(path)
+    suite = q.run_checks([q.unique("t", c) for c in "abcd"], {"t": t})
+    plan = suite._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and plan.count("Exchange hashpartitioning(place") <= 2
+    assert {r.column: r.n_violations for r in suite.collect()} == {"a": 1, "b": 1, "c": 2, "d": 0}
+
+
+def test_foreign_keys_of_a_table_share_one_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = [(1, "a"), (1, "b"), (None, "zz"), (7, "zz"), (7, None), (8, "a")]
+    spark.createDataFrame(rows, "n long, s string").write.parquet(path)
+    t = spark.read.parquet(path)
+    tables = {
+        "t": t,
+        "numbers": spark.createDataFrame([(1,), (2,), (2,), (None,)], "k int"),
+        "letters": spark.createDataFrame([("a",), ("b",)], "k string"),
+    }
+    checks = [q.relationships("t", "n", "numbers", "k"), q.relationships("t", "s", "letters", "k")]
+    suite = q.run_checks(checks, tables)
+    assert suite._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+    assert {r.column: r.n_violations for r in suite.collect()} == {"n": 3, "s": 2}
+    assert all(q.violations(c, tables).count() == n for c, n in zip(checks, (3, 2), strict=True))
+
+
 def test_suite_size():
     checks = q.retail_checks()
     assert len(checks) == 51 == len({(c.kind, c.table, c.column) for c in checks})

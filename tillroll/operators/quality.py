@@ -114,12 +114,9 @@ def violations(check: Check, tables: Tables) -> DataFrame:
     return _GROUP_RULES[check.kind](check, tables)
 
 
-def _row_check_counts(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """All row checks of one table in one pass over it."""
-    counts = df.agg(
-        *(F.count_if(_ROW_RULES[c.kind](c)).alias(f"_{i}") for i, c in enumerate(checks))
-    )
-    labelled = F.array(
+def _named_counts(checks: list[Check]) -> Column:
+    """An array of results from the counts ``_0, _1, ...`` of one row."""
+    return F.array(
         *(
             F.struct(
                 F.lit(c.kind).alias("check"),
@@ -130,7 +127,55 @@ def _row_check_counts(df: DataFrame, checks: list[Check]) -> DataFrame:
             for i, c in enumerate(checks)
         )
     )
-    return counts.select(F.inline(labelled))
+
+
+def _row_check_counts(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """All row checks of one table in one pass over it."""
+    counts = df.agg(
+        *(F.count_if(_ROW_RULES[c.kind](c)).alias(f"_{i}") for i, c in enumerate(checks))
+    )
+    return counts.select(F.inline(_named_counts(checks)))
+
+
+def _value(column: Column, dtype: str) -> Column:
+    """A value as text that is equal where the value is. Minus zero is zero."""
+    return (column + 0.0 if dtype in ("double", "float") else column).cast("string")
+
+
+def _tallies(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``place, value`` for each non-null value of each column, from one scan."""
+    dtypes = dict(df.dtypes)
+    pairs = (
+        F.struct(F.lit(i).alias("place"), _value(F.col(c), dtypes[c]).alias("value")) for i, c in enumerate(columns)
+    )
+    return df.select(F.inline(F.array(*pairs))).where("value is not null")
+
+
+def _labelled(counts: DataFrame, checks: list[Check]) -> DataFrame:
+    """``counts(place, n)`` by check, those without any as 0."""
+    found = counts.groupBy().agg(
+        *(F.coalesce(F.max(F.when(F.col("place") == i, F.col("n"))), F.lit(0).cast("long")).alias(f"_{i}") for i in range(len(checks)))
+    )
+    return found.select(F.inline(_named_counts(checks)))
+
+
+def _unique_counts(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """All uniqueness checks of one table: one scan, one shuffle by (column, value)."""
+    seen = _tallies(df, [c.column for c in checks]).groupBy("place", "value").agg(F.count(F.lit(1)).alias("times"))
+    return _labelled(seen.groupBy("place").agg(F.count_if(F.col("times") > 1).alias("n")), checks)
+
+
+def _relationship_counts(df: DataFrame, checks: list[Check], tables: Tables) -> DataFrame:
+    """All foreign keys of one table: one scan reduces it to its different keys and how often each occurs, and only
+    those meet the parents' keys."""
+    keys = _tallies(df, [c.column for c in checks]).groupBy("place", "value").agg(F.count(F.lit(1)).alias("times"))
+    parents = []
+    for i, check in enumerate(checks):
+        parent, key = tables[check.options["parent"]], check.options["parent_column"]
+        parents.append(parent.select(F.lit(i).alias("place"), _value(F.col(key), dict(parent.dtypes)[key]).alias("value")))
+    known = reduce(DataFrame.unionByName, parents)
+    missing = keys.join(known, ["place", "value"], "left_anti")
+    return _labelled(missing.groupBy("place").agg(F.sum("times").alias("n")), checks)
 
 
 def _group_check_count(check: Check, tables: Tables) -> DataFrame:
@@ -143,15 +188,26 @@ def _group_check_count(check: Check, tables: Tables) -> DataFrame:
 
 
 def run_checks(checks: Iterable[Check], tables: Tables) -> DataFrame:
-    """One row per check: check, table, column, n_violations, status."""
-    by_table: dict[str, list[Check]] = {}
+    """One row per check: check, table, column, n_violations, status.
+
+    The checks of a table are made together: one pass for all that a row decides, one for all unique columns, one
+    for all foreign keys. A relationship counts the rows without a parent.
+    """
+    together: dict[tuple[str, str], list[Check]] = {}
     parts: list[DataFrame] = []
     for check in checks:
-        if check.kind in _ROW_RULES:
-            by_table.setdefault(check.table, []).append(check)
-        else:
+        kind = "row" if check.kind in _ROW_RULES else check.kind
+        if kind == "one_current_row":
             parts.append(_group_check_count(check, tables))
-    parts += [_row_check_counts(tables[name], group) for name, group in by_table.items()]
+        else:
+            together.setdefault((kind, check.table), []).append(check)
+    for (kind, table), group in together.items():
+        if kind == "row":
+            parts.append(_row_check_counts(tables[table], group))
+        elif kind == "unique":
+            parts.append(_unique_counts(tables[table], group))
+        else:
+            parts.append(_relationship_counts(tables[table], group, tables))
     status = F.when(F.col("n_violations") == 0, "pass").otherwise("fail")
     return reduce(DataFrame.unionByName, parts).withColumn("status", status)
 
