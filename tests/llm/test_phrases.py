@@ -75,12 +75,18 @@ def test_early_spills_change_nothing(monkeypatch):
     batch = [(t, la) for _, t, la, _, _ in rows()]
     table = pa.RecordBatch.from_pydict({"lang": [la for _, la in batch], "text": [t for t, _ in batch]})
     everything = phrases.Frequent(np.full(phrases.FILTER_BITS // 8, 255, dtype=np.uint8))
-    found = rows_of(phrases._count_words(iter([table])))
-    runs = [*phrases._count_phrases(phrases.Pass(everything, counted=(2, 3)))(iter([table]))]
     got = Counter()
-    for r in found + rows_of(runs):
+    for r in rows_of(phrases._count_words(iter([table]))):
         got[r["lang"], r["phrase"]] += r["n"]
-        assert r["prefix"] == " ".join(r["phrase"].split(" ")[:2])
+    runs = [*phrases._count_phrases(phrases.Pass(everything, counted=(2, 3), parts=7))(iter([table]))]
+    part_of = {}
+    for r in rows_of(runs):
+        assert r["phrases"] == sorted(r["phrases"], key=str.encode) and 0 <= r["part"] < 7
+        for phrase, n in zip(r["phrases"], r["counts"], strict=True):
+            got[r["lang"], phrase] += n
+            prefix = (r["lang"], *phrase.split(" ")[:2])
+            assert part_of.setdefault(prefix, r["part"]) == r["part"]
+    assert len(runs) > 2 and len(set(part_of.values())) > 1
     want = Counter()
     for text, lang in batch:
         for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(_LOWER)):

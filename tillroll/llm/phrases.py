@@ -3,9 +3,10 @@
 A task counts phrases in a trie of word ids that is shallow at first: below a phrase's first word lies a hash
 container of the remaining words. A container that grows past ``BURST_ENTRIES`` bursts into a trie node with one
 container per next word. When a task's tries hold more than ``TRIE_ENTRIES`` phrases, whole subtrees, the largest
-first, leave as sorted runs; at the end all do. Runs are dealt by language and first two words, and Spark merges
-each of these prefix partitions, so every phrase's total is formed in one place and no task holds more than a
-share of the phrases.
+first, leave as sorted runs; at the end all do. Runs are dealt by language and by the hash of the first two words, and
+the runs of each of these prefix parts are merged in one place. There are so many parts that each has about
+``PART_WORDS`` words of the corpus behind it, which bounds what a merge holds, and only phrases that are frequent in
+total leave it.
 
 A phrase of a least frequency has only parts of at least that frequency, and the bucket of any hash that it falls
 into is at least as full. So the tasks first add up words, then fill ``BUCKETS`` counters with the pairs of frequent
@@ -29,8 +30,8 @@ Defined cases
 from __future__ import annotations
 
 import zlib
-from collections import Counter
-from collections.abc import Callable, Iterable, Iterator
+from collections import Counter, defaultdict
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -59,6 +60,8 @@ FILTER_BITS = 1 << 24
 BUCKETS = 1 << 24
 BUCKETS_A_ROW = 1 << 12
 CHUNK_BYTES = 1 << 20
+PART_WORDS = 200_000
+LEAST_PARTS = 256
 FLUSH_TOKENS = 200_000
 
 # No byte of UTF-8 text has this value, so it can stand for any separator.
@@ -66,9 +69,17 @@ _BREAK = b"\xff"
 _SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 _TO_BREAK = bytes.maketrans(_SEPARATORS, _BREAK * len(_SEPARATORS))
 
-RUNS = "lang string, prefix string, phrase string, n long"
+WORDS = "lang string, phrase string, n long"
+_WORDS_ARROW = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64())])
+# A row is a sorted run: the phrases of one prefix part and their counts.
+RUNS = "lang string, part int, phrases array<string>, counts array<long>"
 _RUNS_ARROW = pa.schema(
-    [("lang", pa.string()), ("prefix", pa.string()), ("phrase", pa.string()), ("n", pa.int64())]
+    [
+        ("lang", pa.string()),
+        ("part", pa.int32()),
+        ("phrases", pa.list_(pa.string())),
+        ("counts", pa.list_(pa.int64())),
+    ]
 )
 
 
@@ -314,6 +325,7 @@ class Pass:
     filled: tuple[int, ...] = ()
     full_pairs: Full | None = None
     full_longer: Full | None = None
+    parts: int = LEAST_PARTS
 
 
 class Counting:
@@ -359,46 +371,78 @@ class Counting:
                     add(phrase, count)
 
     def runs(self, keep: int) -> Iterator[pa.RecordBatch]:
-        """Let subtrees go, the largest first, until ``keep`` entries are left."""
+        """Let subtrees go, the largest first, until ``keep`` entries are left: one sorted run for each part."""
         if self.trie.entries <= keep and keep:
             return
-        names = self.ids.words
+        names, gone = self.ids.words, defaultdict(list)
         for word in self.trie.largest():
             if self.trie.entries <= keep and keep:
                 break
-            run = sorted((b" ".join([names[w] for w in phrase]), n) for phrase, n in self.trie.take(word))
-            if run:
-                yield _run(self.lang, run)
+            for phrase, n in self.trie.take(word):
+                text = b" ".join([names[w] for w in phrase])
+                prefix = b" ".join([names[w] for w in phrase[:2]])
+                gone[zlib.crc32(prefix, self.checksum) % self.plan.parts].append((text, n))
+        if gone:
+            yield _runs(self.lang, gone)
         if len(self.ids) > KNOWN_WORDS and not keep:
             self.ids = Ids(self.checksum, self.plan.words)
 
 
-def _run(lang: str, run: list[tuple[bytes, int]]) -> pa.RecordBatch:
-    phrases = [p.decode("utf-8", "surrogatepass") for p, _ in run]
-    prefixes = [" ".join(p.split(" ", 2)[:2]) for p in phrases]
+def _runs(lang: str, by_part: dict[int, list[tuple[bytes, int]]]) -> pa.RecordBatch:
+    runs = [sorted(run) for run in by_part.values()]
+    ends = pa.array(np.cumsum([0, *map(len, runs)]), pa.int32())
+    phrases = pa.array([p.decode("utf-8", "surrogatepass") for run in runs for p, _ in run], pa.string())
+    counts = pa.array([n for run in runs for _, n in run], pa.int64())
     return pa.RecordBatch.from_arrays(
         [
-            pa.array([lang] * len(run), pa.string()),
-            pa.array(prefixes, pa.string()),
-            pa.array(phrases, pa.string()),
-            pa.array([n for _, n in run], pa.int64()),
+            pa.array([lang] * len(runs), pa.string()),
+            pa.array(list(by_part), pa.int32()),
+            pa.ListArray.from_arrays(ends, phrases),
+            pa.ListArray.from_arrays(ends, counts),
         ],
         schema=_RUNS_ARROW,
     )
 
 
-def _gathered(batches: Iterable[pa.RecordBatch], least: int = 50_000) -> Iterator[pa.RecordBatch]:
-    """Fewer and larger batches."""
-    held: list[pa.RecordBatch] = []
-    rows = 0
-    for batch in batches:
-        held.append(batch)
-        rows += batch.num_rows
-        if rows >= least:
-            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-            held, rows = [], 0
-    if held:
-        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+def _word_rows(rows: list[tuple[str, str, int]]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [[], [], []]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, f.type) for c, f in zip(columns, _WORDS_ARROW, strict=True)], schema=_WORDS_ARROW
+    )
+
+
+def _merge_runs(least: int) -> Callable:
+    """Rows come sorted by language and part; the phrases of one part are held at a time."""
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, sums, out = None, Counter(), []
+
+        def finish() -> None:
+            out.extend((current[0], phrase, n) for phrase, n in sums.items() if n >= least)
+            sums.clear()
+
+        for rows in batches:
+            columns = (rows.column(c) for c in ("lang", "part", "phrases", "counts"))
+            for lang, part, phrases, counts in zip(*columns, strict=True):
+                key = (lang.as_py(), part.as_py())
+                if key != current:
+                    finish()
+                    current = key
+                for phrase, n in zip(phrases.as_py(), counts.as_py(), strict=True):
+                    sums[phrase] += n
+            if len(out) >= 10_000:
+                yield _word_rows(out)
+                out.clear()
+        finish()
+        yield _word_rows(out)
+
+    return merge
+
+
+def _frequent_of(runs: DataFrame, least: int) -> DataFrame:
+    """``lang, phrase, n`` of the phrases that occur ``least`` times."""
+    dealt = runs.repartition("lang", "part").sortWithinPartitions("lang", "part")
+    return dealt.mapInArrow(_merge_runs(least), WORDS)
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, str]]:
@@ -415,7 +459,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, found in counts.items():
             found.pop(_BREAK, None)
             if found:
-                yield _run(lang, list(found.items()))
+                yield _word_rows([(lang, w.decode("utf-8", "surrogatepass"), n) for w, n in found.items()])
         counts.clear()
 
     held = 0
@@ -452,7 +496,7 @@ def _read(batches: Iterator[pa.RecordBatch], plan: Pass, counters: np.ndarray |
 
 
 def _count_phrases(plan: Pass) -> Callable:
-    return lambda batches: _gathered(_read(batches, plan, None))
+    return lambda batches: _read(batches, plan, None)
 
 
 def _fill_buckets(plan: Pass, least: int) -> Callable:
@@ -479,7 +523,7 @@ def _count_and_fill(plan: Pass, least: int) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters = np.zeros(BUCKETS, dtype=np.int32)
-        for batch in _gathered(_read(batches, plan, counters)):
+        for batch in _read(batches, plan, counters):
             yield widened(batch, 0)
         for batch in _bucket_rows(counters, least):
             yield widened(batch, len(_RUNS_ARROW))
@@ -487,35 +531,30 @@ def _count_and_fill(plan: Pass, least: int) -> Callable:
     return run
 
 
-def _merged(runs: DataFrame) -> DataFrame:
-    """Totals, formed in one partition per language and prefix."""
-    return runs.repartition("lang", "prefix").groupBy("lang", "prefix", "phrase").agg(F.sum("n").alias("n"))
-
-
 def frequent_phrases(docs: DataFrame, least: int = LEAST_COUNT, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
     """``lang, phrase, words, n`` of all phrases of one to ``longest`` words that occur ``least`` times,
     and ``lang, n`` of all words."""
     texts = docs.select("lang", "text")
-    words = pin(_merged(texts.mapInArrow(_count_words, RUNS)), "words")
+    counted = texts.mapInArrow(_count_words, WORDS).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    words = pin(counted, "words")
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
     frequent = words.where(F.col("n") >= least).select("lang", "phrase", F.lit(1).alias("words"), "n")
     known = frequent_words(frequent)
+    total = words.agg(F.sum("n")).first()[0] or 0
+    parts = max(LEAST_PARTS, total // PART_WORDS)
     longer = tuple(range(3, longest + 1))
     pairs = full_buckets(texts.mapInArrow(_fill_buckets(Pass(known, filled=(2,)), least), BUCKET_ROWS), least)
-    both = pin(
-        texts.mapInArrow(_count_and_fill(Pass(known, counted=(2,), filled=longer, full_pairs=pairs), least), _BOTH),
-        "pairs",
-    )
-    runs = [both.where("place is null").select("lang", "prefix", "phrase", "n")]
+    plan = Pass(known, counted=(2,), filled=longer, full_pairs=pairs, parts=parts)
+    both = pin(texts.mapInArrow(_count_and_fill(plan, least), _BOTH), "pairs")
+    runs = [both.where("place is null").select("lang", "part", "phrases", "counts")]
     if longer:
         full = full_buckets(both.where("place is not null").select("place", "at", F.col("fill").alias("n")), least)
-        plan = Pass(known, counted=longer, full_pairs=pairs, full_longer=full)
+        plan = Pass(known, counted=longer, full_pairs=pairs, full_longer=full, parts=parts)
         runs.append(texts.mapInArrow(_count_phrases(plan), RUNS))
     out = frequent
-    for part in runs:
+    for run in runs:
         length = F.size(F.split("phrase", " ", -1)).alias("words")
-        kept = _merged(part).where(F.col("n") >= least).select("lang", "phrase", length, "n")
-        out = out.unionByName(pin(kept, "phrases"))
+        out = out.unionByName(pin(_frequent_of(run, least).select("lang", "phrase", length, "n"), "phrases"))
     return out, totals
 
 
