@@ -16,9 +16,9 @@ CALENDAR_END = date(2027, 12, 31)
 
 
 def dim_type1(df: DataFrame, key: str, surrogate: str, attributes: list[str]) -> DataFrame:
-    """Current state per natural key, numbered in key order."""
-    rows = df.select(key, *attributes)
-    return number_small_or_in_order(rows, surrogate, [F.col(key).asc_nulls_last()])
+    """Current state per natural key, numbered in key order; rows that repeat a key, by their attributes."""
+    order = [F.col(c).asc_nulls_last() for c in (key, *attributes)]
+    return number_small_or_in_order(df.select(key, *attributes), surrogate, order)
 
 
 def dim_product(products: DataFrame) -> DataFrame:

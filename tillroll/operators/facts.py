@@ -48,7 +48,8 @@ def customer_version_by_day(sales: DataFrame, history: DataFrame) -> DataFrame:
 
     Sales shrink to distinct (customer, day) pairs before any shuffle; those and the version starts
     form one timeline per customer. A customer has at most one pair and one start per day, so no
-    timeline outgrows twice the number of days, however many sales it stands for.
+    timeline outgrows twice the number of days, however many sales it stands for. Of versions that start
+    on one day, the one that holds longest is in force; the others end before they start.
     """
     nothing = F.lit(None).cast("struct<sk:bigint,until:date>")
     starts = history.select(
@@ -68,7 +69,7 @@ def customer_version_by_day(sales: DataFrame, history: DataFrame) -> DataFrame:
     )
     timeline = (
         Window.partitionBy("customer_id")
-        .orderBy("_day", "_asks")
+        .orderBy("_day", "_asks", F.col("_version.until").asc_nulls_last(), "_version.sk")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     in_force = F.last("_version", ignorenulls=True).over(timeline)

@@ -50,6 +50,7 @@ from tillroll.sources.lake import (
     read_test_statuses,
 )
 from tillroll.sources.sinks import export_csv, land_batch, save_table
+from tillroll.streaming.history_store import HistoryStore, customer_history
 from tillroll.streaming.landing import start_landing, with_ingest_date
 from tillroll.streaming.live import LiveTables, start_live
 from tillroll.streaming.upsert import start_incremental_clean, start_incremental_profiles
@@ -281,6 +282,27 @@ def scd2_change_points(spark, sf_dir):
     return change_points(profiles, "customer_id", CUSTOMER_TRACKED, CUSTOMER_CARRIED, "snapshot_ts")
 
 
+def _history_by_batches(spark: SparkSession, sf_dir: str) -> HistoryStore:
+    """The stored history after three batches, each with every third month: later ones fall between earlier ones."""
+    store = customer_history(fresh_path(spark, "history"))
+    profiles = pin(_staged_profiles(spark, sf_dir), "staged_profiles")
+    for number in range(3):
+        store.merge(profiles.where(F.month("snapshot_ts") % 3 == number), number)
+    return store
+
+
+@query
+def dim_customer_scd2_incremental(spark, sf_dir):
+    """Equal to the full run but for the keys, which stay as they were given batch by batch."""
+    return _history_by_batches(spark, sf_dir).read(spark)
+
+
+@query
+def customer_key_register(spark, sf_dir):
+    """Every key ever given, with the batch that gave it."""
+    return _history_by_batches(spark, sf_dir).read_keys(spark).drop("bucket")
+
+
 @query
 def customers_multi_version(spark, sf_dir):
     return customers_with_changes(_history(spark, sf_dir))
