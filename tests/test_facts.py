@@ -69,6 +69,19 @@ def test_asof_equals_brute_force(spark, world, strategy, monkeypatch):
     assert {r.event_id: r.customer_sk for r in got} == expected_versions(versions, sales)
 
 
+@pytest.mark.parametrize("strategy", ["broadcast", "range", "days"])
+def test_versions_that_start_on_one_day(spark, strategy):
+    """The earlier of them ended before it began, whichever row comes first."""
+    start, before = date(2026, 1, 5), date(2026, 1, 4)
+    versions = [(2, "a", start, None), (1, "a", start, before), (3, "b", start, before), (4, "b", start, None)]
+    sales = [("e1", "a", datetime(2026, 1, 5, 3)), ("e2", "b", datetime(2026, 1, 9)), ("e3", "a", datetime(2026, 1, 4))]
+    for rows in (versions, versions[::-1]):
+        joined = with_customer_version(
+            spark.createDataFrame(sales, SALES), spark.createDataFrame(rows, HISTORY), strategy
+        )
+        assert {r.event_id: r.customer_sk for r in joined.collect()} == {"e1": 2, "e2": 4, "e3": None}
+
+
 def test_gap_in_a_history_matches_nothing(spark):
     history = spark.createDataFrame(
         [(1, "a", date(2026, 1, 1), date(2026, 1, 5)), (2, "a", date(2026, 1, 10), None)], HISTORY

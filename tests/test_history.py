@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.rows import profile, profiles
 from tillroll.operators.dense_key import number_in_order, number_small_or_in_order
+from tillroll.operators.dimensions import dim_store
 from tillroll.operators.history import change_points, dim_customer_scd2, scd2_history
 from tillroll.operators.marts import customers_with_changes
 from tillroll.operators.profiles import clean_customer_profiles
@@ -158,6 +159,19 @@ def test_large_dimension_leaves_the_single_task(spark, monkeypatch):
     assert sorted(small.collect()) == sorted(large.collect())
 
 
+def test_repeated_keys_of_a_dimension_get_the_same_numbers_on_both_ways(spark, monkeypatch):
+    rows = [("s1", "n2", "r", "t"), ("s1", "n1", "r", "t"), ("s0", None, "r", "t"), ("s0", "n0", "r", "t")]
+    names = ["store_id", "store_name", "region", "store_type"]
+
+    def numbers(given):
+        return {r.store_sk: (r.store_id, r.store_name) for r in dim_store(spark.createDataFrame(given, names)).collect()}
+
+    small = numbers(rows)
+    assert small == numbers(rows[::-1]) == {1: ("s0", "n0"), 2: ("s0", None), 3: ("s1", "n1"), 4: ("s1", "n2")}
+    monkeypatch.setattr("tillroll.operators.dense_key.ONE_TASK_MAX_ROWS", 1)
+    assert numbers(rows) == small
+
+
 def test_customers_with_changes(spark):
     df = spark.createDataFrame(
         [

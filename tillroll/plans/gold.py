@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.operators.dimensions import date_dimension, dim_product, dim_store
-from tillroll.operators.facts import AsofStrategy, fct_sales
+from tillroll.operators.facts import AsofStrategy, choose_strategy, fct_sales
 from tillroll.operators.history import dim_customer_scd2
 from tillroll.operators.marts import mart_customer_ltv, mart_daily_store_sales
 from tillroll.operators.staging import stage_customer_profiles, stage_sales_events
@@ -54,10 +54,13 @@ def build_gold(
     read. The clean layer holds each event once and each customer at most once a day, so the marts
     need no distinct count and the history no distinct. ``events_unique=False`` restores the distinct
     count for a fact that may repeat events, say because a product id occurs twice in its seed; the
-    uniqueness checks report such cases.
+    uniqueness checks report such cases. A history is broadcast only where it was measured small, also with
+    ``strategy="broadcast"``.
     """
     sales, profiles = stage_sales_events(clean_events), stage_customer_profiles(clean_profiles)
     history = store("dim_customer_scd2", dim_customer_scd2(profiles, already_distinct=True))
+    if strategy in ("auto", "broadcast"):
+        strategy = choose_strategy(history)
     product = store("dim_product", dim_product(seeds.products))
     shop = store("dim_store", dim_store(seeds.stores))
     calendar = store("dim_date", date_dimension(sales.sparkSession) if dates is None else dates)
