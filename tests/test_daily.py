@@ -10,6 +10,7 @@ from tillroll.plans.report import health_metrics
 from tillroll.sources import retail_tables as retail
 from tillroll.sources.files import partition_dirs
 from tillroll.sources.lake import Lake
+from tillroll.sources.published import Layer
 from tillroll.sources.sinks import export_csv, land_batch
 from tillroll.streaming.landing import with_ingest_date
 
@@ -30,7 +31,7 @@ def landed(spark, tmp_path_factory):
 def contents(spark, lake):
     stamps = ("silver_loaded_at", "dbt_loaded_at")
     return {
-        t: sorted(map(repr, spark.read.parquet(lake.gold(t)).drop(*stamps).collect())) for t in GOLD_TABLES
+        t: sorted(map(repr, Layer(lake.gold).read(spark, t).drop(*stamps).collect())) for t in GOLD_TABLES
     }
 
 
@@ -55,7 +56,7 @@ def test_daily_run(spark, landed):
 
 def test_history_tiles_time(spark, landed):
     lake, _ = landed
-    versions = spark.read.parquet(lake.gold("dim_customer_scd2"))
+    versions = Layer(lake.gold).read(spark, "dim_customer_scd2")
     by_customer = {}
     for v in versions.orderBy("customer_id", "effective_start_date").collect():
         by_customer.setdefault(v.customer_id, []).append(v)

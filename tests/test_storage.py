@@ -43,7 +43,7 @@ def test_each_root_moves_on_its_own():
     assert lake.raw_events == "/lake/bronze/sales_events"
     assert lake.clean_events == "s3a://other/silver/sales_events_clean"
     assert lake.quarantine == "s3a://other/silver/_quarantine/sales_events"
-    assert lake.gold("fct_sales") == "/lake/gold/fct_sales"
+    assert lake.gold == "/lake/gold"
 
 
 def test_landing_appends_and_replays(spark, lake):

@@ -49,7 +49,8 @@ from tillroll.sources.lake import (
     read_seed_column,
     read_test_statuses,
 )
-from tillroll.sources.sinks import export_csv, land_batch, save_table
+from tillroll.sources.published import Layer
+from tillroll.sources.sinks import export_csv, land_batch
 from tillroll.streaming.history_store import HistoryStore, customer_history
 from tillroll.streaming.landing import start_landing, with_ingest_date
 from tillroll.streaming.live import LiveTables, start_live
@@ -434,28 +435,46 @@ def silver_profiles_job(spark, sf_dir):
     return _unstamped(read_clean_profiles(spark, lake.clean_profiles))
 
 
-def _daily_run(spark: SparkSession, sf_dir: str, strategy: AsofStrategy = "auto") -> Lake:
+def _daily_run(spark: SparkSession, sf_dir: str, strategy: AsofStrategy = "auto") -> Layer:
     lake = _landed(spark, sf_dir)
     dates = date_dimension_covering(retail.table(spark, sf_dir, "events"), "ts")
     run = run_daily(spark, lake, _seeds(spark, sf_dir), dates, strategy)
     if run.error:
         raise run.error
-    return lake
+    return Layer(lake.gold)
+
+
+@query
+def fct_sales_published_by_months(spark, sf_dir):
+    """The fact after a version without quantities, a run that broke off, and two runs of every other month each."""
+    layer = Layer(fresh_path(spark, "gold"))
+    month = F.floor(F.col("date_sk") / 100).cast("int")
+    fact = pin(_unstamped(_fact(spark, sf_dir)).withColumn("month", month), "fct_sales")
+    with layer.next(spark) as draft:
+        draft.write("fct_sales", fact.withColumn("quantity", F.lit(0)), by="month")
+    lost = layer.next(spark)
+    lost.write("fct_sales", fact.withColumn("quantity", F.lit(-1)), by="month")
+    for half in range(2):
+        part = fact.where(F.col("month") % 2 == half)
+        months = [r.month for r in part.select("month").distinct().collect()]
+        with layer.next(spark) as draft:
+            draft.write("fct_sales", part, by="month", days=months)
+    return layer.read(spark, "fct_sales").drop("month")
 
 
 @query
 def daily_run_store_sales(spark, sf_dir):
-    return spark.read.parquet(_daily_run(spark, sf_dir).gold("mart_daily_store_sales"))
+    return _daily_run(spark, sf_dir).read(spark, "mart_daily_store_sales")
 
 
 @query
 def daily_run_ltv(spark, sf_dir):
-    return spark.read.parquet(_daily_run(spark, sf_dir, "days").gold("mart_customer_ltv"))
+    return _daily_run(spark, sf_dir, "days").read(spark, "mart_customer_ltv")
 
 
 @query
 def daily_run_checks(spark, sf_dir):
-    return spark.read.parquet(_daily_run(spark, sf_dir).gold("check_results"))
+    return _daily_run(spark, sf_dir).read(spark, "check_results")
 
 
 @query
@@ -618,7 +637,8 @@ def health_metrics(spark, sf_dir):
         "dim_product": dim_product(retail.products(spark, sf_dir)),
         "dim_store": dim_store(retail.stores(spark, sf_dir)),
     }
-    for name, table in stored.items():
-        save_table(table, lake.gold(name))
+    with Layer(lake.gold).next(spark) as draft:
+        for name, table in stored.items():
+            draft.write(name, table)
     checks = [quality.unique("dim_store", "store_id"), quality.not_null("dim_product", "product_id")]
     return stored_metrics(spark, lake, [*stored], quality.run_checks(checks, stored).select("status"))

@@ -15,7 +15,7 @@ from tillroll.plans.gold import GOLD_TABLES, Seeds, gold_job
 from tillroll.plans.report import health_report
 from tillroll.plans.silver import SilverCounts, clean_events_job, clean_profiles_job
 from tillroll.sources.lake import Lake, read_seed
-from tillroll.sources.sinks import save_table
+from tillroll.sources.published import Layer
 
 
 class DailyRun(NamedTuple):
@@ -45,14 +45,23 @@ def run_daily(
     profile_tie_breakers: Iterable[str] | None = None,
     event_schema: T.StructType | None = schemas.SALES_EVENTS_RAW,
     profile_schema: T.StructType | None = schemas.PROFILES_RAW,
+    keep_versions: int = 2,
 ) -> DailyRun:
-    """Raw layer to report, in sequence. The report is made whatever failed before it."""
+    """Raw layer to report, in sequence. The report is made whatever failed before it.
+
+    The business layer and its check results are published together, after the checks ran: a run that fails
+    before leaves what the last one published. ``keep_versions`` published states stay readable.
+    """
+    layer = Layer(lake.gold)
     events = profiles = checks = error = None
     try:
         events = clean_events_job(spark, lake, event_tie_breakers, schema=event_schema)
         profiles = clean_profiles_job(spark, lake, profile_tie_breakers, schema=profile_schema)
-        tables = gold_job(spark, lake, seeds, dates, strategy)
-        checks = save_table(run_checks(retail_checks(), tables), lake.gold("check_results"))
+        with layer.next(spark) as draft:
+            tables = gold_job(spark, lake, seeds, dates, strategy, draft=draft)
+            results = draft.store("check_results", run_checks(retail_checks(), tables))
+        checks = results
+        layer.vacuum(spark, keep_versions)
     except Exception as failure:  # noqa: BLE001 - returned, after the report
         error = failure
     statuses = None if checks is None else checks.select("status")

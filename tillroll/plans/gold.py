@@ -14,7 +14,7 @@ from tillroll.operators.marts import mart_customer_ltv, mart_daily_store_sales
 from tillroll.operators.staging import stage_customer_profiles, stage_sales_events
 from tillroll.scratch import scratch_scope
 from tillroll.sources.lake import Lake, read_clean_events, read_clean_profiles
-from tillroll.sources.sinks import save_table
+from tillroll.sources.published import Draft, Layer
 
 GOLD_TABLES = [
     "dim_customer_scd2",
@@ -26,6 +26,9 @@ GOLD_TABLES = [
     "mart_customer_ltv",
 ]
 
+# Tables that lie by day; the others are small or have no day.
+_DAY_COLUMNS = {"fct_sales": "date_sk", "mart_daily_store_sales": "calendar_date"}
+
 Store = Callable[[str, DataFrame], DataFrame]
 
 
@@ -90,8 +93,12 @@ def gold_job(
     dates: DataFrame | None = None,
     strategy: AsofStrategy = "auto",
     events_unique: bool = True,
+    draft: Draft | None = None,
 ) -> dict[str, DataFrame]:
-    """Build and store the layer from the stored clean layer."""
+    """Build the layer from the stored clean layer and publish it, or leave that to the owner of ``draft``."""
+    if draft is None:
+        with Layer(lake.gold).next(spark) as own:
+            return gold_job(spark, lake, seeds, dates, strategy, events_unique, own)
     with scratch_scope(spark):
         return build_gold(
             read_clean_events(spark, lake.clean_events),
@@ -99,6 +106,6 @@ def gold_job(
             seeds,
             dates,
             strategy,
-            store=lambda name, df: save_table(df, lake.gold(name)),
+            store=lambda name, df: draft.store(name, df, _DAY_COLUMNS.get(name)),
             events_unique=events_unique,
         )

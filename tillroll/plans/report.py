@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.operators.quality import quarantine_count, status_histogram, table_counts
 from tillroll.sources.lake import Lake, read_quarantine
+from tillroll.sources.published import Layer
 
 METRICS = "area string, name string, n long, problem string"
 Metric = tuple[str, str, int | None, str | None]
@@ -28,7 +29,8 @@ def health_metrics(
 
     Made from what is stored now, whether or not the run before it succeeded.
     """
-    loads = {name: (lambda path=lake.gold(name): spark.read.parquet(path)) for name in table_names}
+    layer = Layer(lake.gold)
+    loads = {name: (lambda name=name: layer.read(spark, name)) for name in table_names}
     rows: list[Metric] = [
         ("table", r.table_name, r.n_rows, r.error) for r in table_counts(spark, loads).collect()
     ]

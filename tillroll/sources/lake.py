@@ -50,8 +50,10 @@ class Lake:
         """Where the copies of each event lie; kept beside the clean layer by the incremental job."""
         return self._at(self.silver_root, "silver", "_index", "sales_events")
 
-    def gold(self, table: str) -> str:
-        return self._at(self.gold_root, "gold", table)
+    @property
+    def gold(self) -> str:
+        """Root of the published layer; see ``sources.published``."""
+        return self._at(self.gold_root, "gold")
 
 
 def read_partitioned(
