@@ -14,6 +14,7 @@ from tillroll.operators.sizes import (
     broadcast_if_small,
     fits,
 )
+from tillroll.operators.tallies import EVENT_NO
 
 AsofStrategy = Literal["auto", "broadcast", "range", "days"]
 
@@ -130,7 +131,8 @@ def fct_sales(
     stores: DataFrame,
     strategy: AsofStrategy = "auto",
 ) -> DataFrame:
-    """One row per staged sale."""
+    """One row per staged sale; the number of a numbered event goes along."""
+    number = [EVENT_NO] if EVENT_NO in sales.columns else []
     keyed = with_customer_version(sales, history, strategy)
     keyed = with_lookup(keyed, products, "product_id", "product_sk")
     keyed = with_lookup(keyed, stores, "store_id", "store_sk")
@@ -147,4 +149,5 @@ def fct_sales(
         "line_amount",
         "event_ts",
         "silver_loaded_at",
+        *number,
     )

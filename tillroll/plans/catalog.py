@@ -33,6 +33,7 @@ from tillroll.operators.marts import (
 )
 from tillroll.operators.profiles import clean_customer_profiles, dedupe_customer_profiles
 from tillroll.operators.staging import stage_customer_profiles, stage_sales_events
+from tillroll.operators.tallies import number_events, sales_by, store_day_tallies
 from tillroll.plans.daily import run_daily
 from tillroll.plans.gold import GOLD_TABLES, Seeds, build_gold
 from tillroll.plans.report import health_metrics as stored_metrics
@@ -116,8 +117,10 @@ def _fact(
     strategy: AsofStrategy = "auto",
     history: DataFrame | None = None,
     shops: DataFrame | None = None,
+    numbered: bool = False,
 ) -> DataFrame:
     sales = _staged_sales(spark, sf_dir)
+    sales = number_events(sales) if numbered else sales
     history = _history(spark, sf_dir) if history is None else history
     strategy = choose_strategy(history) if strategy == "auto" else strategy
     return fct_sales(
@@ -272,11 +275,44 @@ _named("dim_customer_scd2", lambda spark, sf_dir: _unstamped(_history(spark, sf_
 _named("fct_sales", lambda spark, sf_dir: _unstamped(_fact(spark, sf_dir)))
 _named("fct_sales_asof_window", lambda spark, sf_dir: _unstamped(_fact(spark, sf_dir, "days")))
 _named("mart_daily_store_sales", lambda spark, sf_dir: _daily(spark, sf_dir, events_unique=True))
-_named("mart_daily_store_sales_distinct", lambda spark, sf_dir: _daily(spark, sf_dir, events_unique=False))
 _named("mart_customer_ltv", _ltv)
 _named("ltv_by_customer", lambda spark, sf_dir: _ltv(spark, sf_dir, scope="customer"))
 
 
+_DAILY = ["store_id", "store_name", "region", "calendar_date", "is_weekend"]
+
+
+@query
+def mart_daily_store_sales_distinct(spark, sf_dir):
+    """Distinct events without the claim that none repeats, from bitmaps."""
+    shops = dim_store(retail.stores(spark, sf_dir))
+    tallies = store_day_tallies(_fact(spark, sf_dir, shops=shops, numbered=True))
+    return sales_by(tallies, shops, _dates(spark, sf_dir), _DAILY)
+
+
+@query
+def mart_daily_of_repeated_lines(spark, sf_dir):
+    """Lines of odd quantity occur twice: they count once as events, twice in units and revenue."""
+    shops = dim_store(retail.stores(spark, sf_dir))
+    fact = _fact(spark, sf_dir, shops=shops, numbered=True)
+    repeated = fact.unionByName(fact.where("quantity % 2 = 1"))
+    return sales_by(store_day_tallies(repeated), shops, _dates(spark, sf_dir), _DAILY)
+
+
+@query
+def region_sales_by_quarter(spark, sf_dir):
+    """Daily tallies of two runs, numbered apart (every other month each), merged without the fact."""
+    shops = dim_store(retail.stores(spark, sf_dir))
+    sales = pin(_staged_sales(spark, sf_dir), "staged_sales")
+    runs = []
+    for run in range(2):
+        part = number_events(sales.where(F.month("event_ts") % 2 == run))
+        fact = fct_sales(part, _history(spark, sf_dir), dim_product(retail.products(spark, sf_dir)), shops)
+        runs.append(store_day_tallies(fact, run))
+    stored = pin(reduce(DataFrame.unionByName, runs), "tallies")
+    return sales_by(stored, shops, _dates(spark, sf_dir), ["region", "year", "quarter"])
+
+
 @query
 def scd2_change_points(spark, sf_dir):
     profiles = _staged_profiles(spark, sf_dir)
