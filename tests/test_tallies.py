@@ -105,3 +105,24 @@ def test_no_shuffle_carries_event_ids(spark, dims, tmp_path):
     lowest = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line][-1]
     assert "store_sk" in lowest and "bitmap" not in lowest
     assert "partial_bitmap_construct_agg" in plan
+
+
+def test_sparse_days_stay_one_word_per_event_and_equal_the_bitmaps(spark, dims):
+    """A fact of few events per store and day makes no 4 KB bitmap, and both forms merge in one result."""
+    days = 3000
+    rows = [(i if i % 40 else None, 1 + i % 3, 20240101 + i % days, 1 + i % 4, 0.25 * (i % 7)) for i in range(2 * days)]
+    rows += [(-70, 1, 20240101, 1, 1.0), (-7, 1, 20240101, 1, 1.0), *rows[:100]]
+    fact = spark.createDataFrame(rows, FACT)
+    sparse = store_day_tallies(fact)
+    assert "bitmap_construct_agg" not in sparse._jdf.queryExecution().executedPlan().toString()
+    assert sparse.where("events is not null").count() == 0 and sparse.count() <= len(rows)
+    stores = dims[0]
+    dates = spark.createDataFrame([(20240101 + i, i // 1000) for i in range(days)], "date_sk int, week int")
+    truth = plain(rows, lambda s, d: ("S" if s == 3 else "N", (d - 20240101) // 1000))
+    for mode in (False, True):
+        tallies = store_day_tallies(fact, bitmaps=mode)
+        assert found(sales_by(tallies, stores, dates, ["region", "week"]), "region", "week") == truth
+    both = store_day_tallies(fact, 0, bitmaps=False).unionByName(store_day_tallies(fact, 1, bitmaps=True))
+    (row,) = sales_by(both, stores, dates, []).collect()
+    # -70, -7 and the distinct numbers of 0 .. 5999 that are no multiple of 40, in each run.
+    assert row.n_transactions == 2 * (2 + 6000 - 150)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from typing import Literal
 
 from pyspark.sql import DataFrame, Window
@@ -18,6 +19,21 @@ from tillroll.operators.tallies import EVENT_NO
 
 AsofStrategy = Literal["auto", "broadcast", "range", "days"]
 
+FACT_COLUMNS = (
+    "sale_line_sk",
+    "event_id",
+    "customer_sk",
+    "product_sk",
+    "store_sk",
+    "date_sk",
+    "quantity",
+    "unit_price",
+    "discount_amount",
+    "line_amount",
+    "event_ts",
+    "silver_loaded_at",
+)
+
 _VERSION = ["customer_id", "customer_sk", "effective_start_date", "effective_end_date"]
 
 
@@ -124,30 +140,48 @@ def with_lookup(df: DataFrame, dim: DataFrame, key: str, surrogate: str) -> Data
     return joined.drop("_key")
 
 
+def repeats(dim: DataFrame, key: str) -> bool:
+    """Whether a natural key stands in several rows, so that a lookup of it repeats the sales."""
+    known, different = dim.agg(F.count(key), F.count_distinct(key)).first()
+    return known > different
+
+
+def sales_columns(columns: Iterable[str] = FACT_COLUMNS) -> list[str]:
+    """The staged columns that these columns of the fact, and the lookups, are made from."""
+    made_from = {c: [c] for c in FACT_COLUMNS} | {
+        "sale_line_sk": ["event_id"],
+        "customer_sk": ["customer_id", "event_ts"],
+        "product_sk": [],
+        "store_sk": [],
+        "date_sk": ["event_ts"],
+    }
+    return sorted({"product_id", "store_id", *(source for c in columns for source in made_from[c])})
+
+
 def fct_sales(
     sales: DataFrame,
-    history: DataFrame,
+    history: DataFrame | None,
     products: DataFrame,
     stores: DataFrame,
     strategy: AsofStrategy = "auto",
+    columns: Iterable[str] = FACT_COLUMNS,
 ) -> DataFrame:
-    """One row per staged sale; the number of a numbered event goes along."""
+    """One row per staged sale; the number of a numbered event goes along.
+
+    ``columns`` names what the caller reads. The customer's version gives each sale one key, so without that key
+    the history is not needed. A product or store without its key is joined only if it was found to repeat, which
+    repeats the rows; then its natural key is enough.
+    """
+    columns = list(columns)
     number = [EVENT_NO] if EVENT_NO in sales.columns else []
-    keyed = with_customer_version(sales, history, strategy)
-    keyed = with_lookup(keyed, products, "product_id", "product_sk")
-    keyed = with_lookup(keyed, stores, "store_id", "store_sk")
-    return keyed.select(
-        surrogate_key(F.col("event_id")).alias("sale_line_sk"),
-        "event_id",
-        "customer_sk",
-        "product_sk",
-        "store_sk",
-        date_key(F.col("event_ts")).alias("date_sk"),
-        "quantity",
-        "unit_price",
-        "discount_amount",
-        "line_amount",
-        "event_ts",
-        "silver_loaded_at",
-        *number,
-    )
+    keyed = with_customer_version(sales, history, strategy) if "customer_sk" in columns else sales
+    for dim, key, surrogate in ((products, "product_id", "product_sk"), (stores, "store_id", "store_sk")):
+        if surrogate in columns:
+            keyed = with_lookup(keyed, dim, key, surrogate)
+        elif repeats(dim, key):
+            keyed = with_lookup(keyed, dim.select(key, F.lit(None).alias(surrogate)), key, surrogate)
+    computed = {
+        "sale_line_sk": surrogate_key(F.col("event_id")).alias("sale_line_sk"),
+        "date_sk": date_key(F.col("event_ts")).alias("date_sk"),
+    }
+    return keyed.select(*(computed.get(c, F.col(c)) for c in columns), *number)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +18,7 @@ from tillroll.operators.events import (
     enrich_sales_events,
     quarantine_malformed_sales_events,
 )
-from tillroll.operators.facts import AsofStrategy, choose_strategy, fct_sales
+from tillroll.operators.facts import FACT_COLUMNS, AsofStrategy, choose_strategy, fct_sales, sales_columns
 from tillroll.operators.history import (
     CUSTOMER_CARRIED,
     CUSTOMER_TRACKED,
@@ -111,6 +111,11 @@ def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dim_customer_scd2(_staged_profiles(spark, sf_dir), already_distinct=True)
 
 
+# What the marts read of the fact.
+_DAILY_FACT = ["event_id", "store_sk", "date_sk", "quantity", "line_amount"]
+_LTV_FACT = ["event_id", "customer_sk", "event_ts", "line_amount"]
+
+
 def _fact(
     spark: SparkSession,
     sf_dir: str,
@@ -118,30 +123,37 @@ def _fact(
     history: DataFrame | None = None,
     shops: DataFrame | None = None,
     numbered: bool = False,
+    columns: Iterable[str] = FACT_COLUMNS,
 ) -> DataFrame:
-    sales = _staged_sales(spark, sf_dir)
+    # The number takes the order from the store, day and event.
+    needed = sales_columns([*columns, *(["event_id", "event_ts"] if numbered else [])])
+    sales = _staged_sales(spark, sf_dir).select(*needed)
     sales = number_events(sales) if numbered else sales
-    history = _history(spark, sf_dir) if history is None else history
-    strategy = choose_strategy(history) if strategy == "auto" else strategy
-    return fct_sales(
+    if "customer_sk" in columns:
+        history = _history(spark, sf_dir) if history is None else history
+        strategy = choose_strategy(history) if strategy == "auto" else strategy
         # By day, the sales are read twice; they are stored first, as they are between layers.
-        pin(sales, "staged_sales") if strategy == "days" else sales,
+        sales = pin(sales, "staged_sales") if strategy == "days" and not numbered else sales
+    products = retail.products(spark, sf_dir)
+    return fct_sales(
+        sales,
         history,
-        dim_product(retail.products(spark, sf_dir)),
+        dim_product(products) if "product_sk" in columns else products,
         dim_store(retail.stores(spark, sf_dir)) if shops is None else shops,
         strategy,
+        columns,
     )
 
 
 def _ltv(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     history = _history(spark, sf_dir)
-    fact = _fact(spark, sf_dir, history=history)
+    fact = _fact(spark, sf_dir, history=history, columns=_LTV_FACT)
     return mart_customer_ltv(fact, history, events_unique=True, **options)
 
 
 def _daily(spark: SparkSession, sf_dir: str, events_unique: bool) -> DataFrame:
     shops = dim_store(retail.stores(spark, sf_dir))
-    fact = _fact(spark, sf_dir, shops=shops)
+    fact = _fact(spark, sf_dir, shops=shops, columns=_DAILY_FACT)
     return mart_daily_store_sales(fact, shops, _dates(spark, sf_dir), events_unique)
 
 
@@ -284,9 +296,9 @@ _DAILY = ["store_id", "store_name", "region", "calendar_date", "is_weekend"]
 
 @query
 def mart_daily_store_sales_distinct(spark, sf_dir):
-    """Distinct events without the claim that none repeats, from bitmaps."""
+    """Distinct events without the claim that none repeats, from sets of event numbers."""
     shops = dim_store(retail.stores(spark, sf_dir))
-    tallies = store_day_tallies(_fact(spark, sf_dir, shops=shops, numbered=True))
+    tallies = store_day_tallies(_fact(spark, sf_dir, shops=shops, numbered=True, columns=_DAILY_FACT))
     return sales_by(tallies, shops, _dates(spark, sf_dir), _DAILY)
 
 
@@ -294,7 +306,7 @@ def mart_daily_store_sales_distinct(spark, sf_dir):
 def mart_daily_of_repeated_lines(spark, sf_dir):
     """Lines of odd quantity occur twice: they count once as events, twice in units and revenue."""
     shops = dim_store(retail.stores(spark, sf_dir))
-    fact = _fact(spark, sf_dir, shops=shops, numbered=True)
+    fact = _fact(spark, sf_dir, shops=shops, numbered=True, columns=_DAILY_FACT)
     repeated = fact.unionByName(fact.where("quantity % 2 = 1"))
     return sales_by(store_day_tallies(repeated), shops, _dates(spark, sf_dir), _DAILY)
 
@@ -303,11 +315,12 @@ def mart_daily_of_repeated_lines(spark, sf_dir):
 def region_sales_by_quarter(spark, sf_dir):
     """Daily tallies of two runs, numbered apart (every other month each), merged without the fact."""
     shops = dim_store(retail.stores(spark, sf_dir))
-    sales = pin(_staged_sales(spark, sf_dir), "staged_sales")
+    needed = sales_columns([*_DAILY_FACT, "event_ts"])
+    sales = pin(_staged_sales(spark, sf_dir).select(*needed), "staged_sales")
     runs = []
     for run in range(2):
         part = number_events(sales.where(F.month("event_ts") % 2 == run))
-        fact = fct_sales(part, _history(spark, sf_dir), dim_product(retail.products(spark, sf_dir)), shops)
+        fact = fct_sales(part, None, retail.products(spark, sf_dir), shops, columns=_DAILY_FACT)
         runs.append(store_day_tallies(fact, run))
     stored = pin(reduce(DataFrame.unionByName, runs), "tallies")
     return sales_by(stored, shops, _dates(spark, sf_dir), ["region", "year", "quarter"])
