@@ -24,3 +24,17 @@ def test_query(spark, name):
 
 def test_entry(spark):
     assert entry.entry(spark).limit(1).count() == 1
+
+
+@pytest.mark.parametrize("name", ["staged_sales", "quarantined_events"])
+def test_large_tables_are_shuffled_by_order_once(spark, name):
+    """The join by order serves the deduplication: lines and orders, one shuffle each."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        df = entry.queries()[name](spark, "/root/testdata/sf0.001")
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning(") == 2
+    assert "src_order" not in df.columns

@@ -41,10 +41,16 @@ class Split(NamedTuple):
     quarantine: DataFrame
 
 
-def dedupe_sales_events(df: DataFrame, tie_breakers: Iterable[str] | None = None) -> DataFrame:
-    """One row per ``event_id``: the copy that arrived last."""
+def dedupe_sales_events(
+    df: DataFrame, tie_breakers: Iterable[str] | None = None, shared: Iterable[str] = ()
+) -> DataFrame:
+    """One row per ``event_id``: the copy that arrived last.
+
+    ``shared`` names columns in which all copies of an event agree. Where the rows already lie by such a column,
+    say after a join by it, they are not shuffled again.
+    """
     order = newest_first(df, parse_ts(F.col("ingest_ts")), tie_breakers)
-    return keep_latest(df, [F.col("event_id")], order)
+    return keep_latest(df, [*map(F.col, shared), F.col("event_id")], order)
 
 
 def passes_validation() -> Column:
@@ -107,11 +113,12 @@ def clean_sales_events(
     df: DataFrame,
     tie_breakers: Iterable[str] | None = None,
     null_policy: NullPolicy = "quarantine",
+    shared: Iterable[str] = (),
 ) -> Split:
     """Deduplicate, split, enrich.
 
     Deduplication comes first: a malformed later copy displaces a good earlier one and sends the
     event to the quarantine. The quarantine keeps every raw column.
     """
-    split = quarantine_malformed_sales_events(dedupe_sales_events(df, tie_breakers), null_policy)
+    split = quarantine_malformed_sales_events(dedupe_sales_events(df, tie_breakers, shared), null_policy)
     return Split(clean_side(split.clean), split.quarantine)

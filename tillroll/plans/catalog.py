@@ -86,7 +86,15 @@ def _run(stream) -> None:
 
 
 def _clean(spark: SparkSession, sf_dir: str):
-    return clean_sales_events(retail.sales_events(spark, sf_dir), retail.EVENT_TIE_BREAKERS)
+    events = retail.sales_events_by_order(spark, sf_dir)
+    split = clean_sales_events(events, retail.EVENT_TIE_BREAKERS, shared=retail.EVENT_SHARED)
+    return split._replace(quarantine=split.quarantine.drop(*retail.EVENT_SHARED))
+
+
+def _deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = retail.sales_events_by_order(spark, sf_dir)
+    latest = dedupe_sales_events(events, retail.EVENT_TIE_BREAKERS, retail.EVENT_SHARED)
+    return latest.drop(*retail.EVENT_SHARED)
 
 
 def _profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,8 +197,7 @@ def raw_customer_snapshots(spark, sf_dir):
 
 @query
 def dedupe_events(spark, sf_dir):
-    events = retail.sales_events(spark, sf_dir)
-    return dedupe_sales_events(events, retail.EVENT_TIE_BREAKERS).drop(*retail.EVENT_TIE_BREAKERS)
+    return _deduped(spark, sf_dir).drop(*retail.EVENT_TIE_BREAKERS)
 
 
 @query
@@ -212,7 +219,7 @@ def quarantined_events(spark, sf_dir):
 @query
 def null_policy_split(spark, sf_dir):
     """Sizes of both sides when a missing product is null instead of empty, under each policy."""
-    events = dedupe_sales_events(retail.sales_events(spark, sf_dir), retail.EVENT_TIE_BREAKERS)
+    events = _deduped(spark, sf_dir)
     holed = events.withColumn("product_id", F.nullif("product_id", F.lit("")))
     sizes = [
         side.agg(F.count(F.lit(1)).alias("n")).select(
@@ -236,7 +243,7 @@ def late_arrivals_by_day(spark, sf_dir):
 @query
 def reference_check(spark, sf_dir):
     """The optional reference check, against customers that ever had the gold tier."""
-    events = dedupe_sales_events(retail.sales_events(spark, sf_dir), retail.EVENT_TIE_BREAKERS)
+    events = _deduped(spark, sf_dir)
     gold = retail.customer_snapshots(spark, sf_dir).where("loyalty_tier = 'gold'")
     split = without_unknown_references(events, {"customer_id": gold})
     sides = split.clean.select("store_id", F.lit(True).alias("known")).unionByName(

@@ -16,6 +16,8 @@ from tillroll.operators.profiles import VALID_LOYALTY_TIERS
 # Total order among the copies of an event that arrived at the same moment.
 EVENT_TIE_BREAKERS = ["src_part", "src_supplier"]
 PROFILE_TIE_BREAKERS = ["src_order"]
+# The event id begins with the order, so all copies of an event share it.
+EVENT_SHARED = ["src_order"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +38,11 @@ def _later(ts: str, unit: str, amount: Column) -> Column:
 
 def sales_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw events of shipped order lines; ``src_*`` columns order copies that arrive together."""
+    return sales_events_by_order(spark, sf_dir).drop(*EVENT_SHARED)
+
+
+def sales_events_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the order, by which large tables lie after the join."""
     owners = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     lines = table(spark, sf_dir, "lineitem")
     shipped = lines.join(owners, F.col("l_orderkey") == F.col("o_orderkey")).withColumn(
@@ -62,6 +69,7 @@ def sales_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         _later("event_ts", "MINUTE", F.col("l_partkey") % 7 * 20).alias("ingest_ts"),
         F.col("l_partkey").alias("src_part"),
         F.col("l_suppkey").alias("src_supplier"),
+        F.col("l_orderkey").alias("src_order"),
     )
 
 
