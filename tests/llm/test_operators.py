@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -393,3 +394,21 @@ def test_empty_tables(empty):
         lm_scoring.score_documents(empty),
     ):
         assert frame.collect() == []
+
+
+def test_sharding_reads_texts_once(spark, tmp_path):
+    """Only sizes and checksums go through the range shuffles, which read their input twice."""
+    seen = tmp_path / "seen"
+
+    @F.udf("string")
+    def text_of(number):
+        with open(seen, "a") as f:
+            f.write(f"{number}\n")
+        return "x" * number
+
+    docs = spark.range(60).select(
+        F.col("id").alias("doc_id"), F.lit("a").alias("source"), text_of.asNondeterministic()("id").alias("text")
+    )
+    rows = sharding.assign_shards(docs, 4).collect()
+    assert sorted((r.doc_id, r["size"]) for r in rows) == [(i, i + sharding.OVERHEAD_BYTES) for i in range(60)]
+    assert len(seen.read_text().split()) == 60

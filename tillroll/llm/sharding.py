@@ -6,7 +6,7 @@
 3. The order is cut into equal stretches, the shards. Row counts differ by one at most.
 
 Both orders are made by range partitions whose sizes are summed up, so no source, however hot, meets
-in one task, and only keys are moved, not texts.
+in one task, and only keys are moved, not texts. Texts are read in one scan that stores sizes and checksums.
 
 Defined cases: a missing source is a source of its own; a missing text has no bytes. Rows that agree in
 id, source and text are interchangeable. Fewer rows than shards leave shards empty; an empty table gives
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from tillroll.llm.text import own, read, whole
 from tillroll.operators.dense_key import number_in_order
 from tillroll.operators.sizes import broadcast_if_small
+from tillroll.scratch import pin
 
 SHARDS = 40
 OVERHEAD_BYTES = 16
@@ -47,6 +48,8 @@ def assign_shards(
         (F.octet_length(whole(text)) + OVERHEAD_BYTES).cast("long").alias("size"),
         F.crc32(whole(text).cast("binary")).alias("text_crc32"),
     ).withColumn(mixed, F.xxhash64(F.lit(seed), ident, "text_crc32"))
+    # A range shuffle reads its input twice; the texts are read once, unless they are carried along.
+    rows = rows if carry else pin(rows, "sizes")
     by_source = number_in_order(
         rows, place, [F.col(c).asc_nulls_last() for c in (s, mixed, ident, "size", "text_crc32")]
     )
