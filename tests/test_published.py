@@ -171,3 +171,20 @@ def test_a_plain_read_of_the_folder_mixes_no_runs(spark, layer):
         spark.read.parquet(layer.root)
     version = json.loads(Path(layer.root, "_versions", "0000000002.json").read_text())
     assert list(version) == ["t"]
+
+
+def test_rows_that_lie_by_day_are_written_without_a_shuffle(spark, tmp_path):
+    """Stored by day once, a table goes into its folders as it lies; the result is that of a shuffled write."""
+    from tillroll.scratch import pin
+
+    df = spark.range(400).selectExpr("id", "if(id % 50 = 0, null, int(id % 7)) as day").repartition(6)
+    stored = pin(df, "by_day", by="day")
+    assert sorted(map(repr, stored.collect())) == sorted(map(repr, df.collect()))
+    layer = Layer(str(tmp_path / "layer"))
+    with layer.next(spark) as draft:
+        draft.write("t", stored, by="day", laid_out=True)
+    assert sorted(map(repr, layer.read(spark, "t").collect())) == sorted(map(repr, df.collect()))
+    with layer.next(spark) as draft:
+        draft.write("t", stored.where("day = 3").selectExpr("-id as id", "day"), by="day", days=[3], laid_out=True)
+    assert layer.read(spark, "t").where("id < 0").count() == df.where("day = 3").count()
+    assert layer.read(spark, "t").count() == 400

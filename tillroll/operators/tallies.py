@@ -37,7 +37,8 @@ def number_events(sales: DataFrame) -> DataFrame:
     near = [F.to_date("event_ts"), F.col("store_id"), F.col("event_id")]
     place = F.monotonically_increasing_id() + 1
     ordered = sales.repartitionByRange(*near).sortWithinPartitions(*near)
-    return pin(ordered.withColumn(EVENT_NO, F.when(F.col("event_id").isNotNull(), place)), "numbered_sales")
+    numbered = ordered.withColumn(EVENT_NO, F.when(F.col("event_id").isNotNull(), place))
+    return pin(numbered, "numbered_sales", codec="zstd")
 
 
 def _fills_bitmaps(fact: DataFrame) -> bool:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll import schemas
+from tillroll.functions.keys import surrogate_key
 from tillroll.functions.scalars import email_domain
 from tillroll.operators import quality
 from tillroll.operators.dimensions import date_dimension_covering, dim_product, dim_store
@@ -141,7 +142,7 @@ def _fact(
         history = _history(spark, sf_dir) if history is None else history
         strategy = choose_strategy(history) if strategy == "auto" else strategy
         # By day, the sales are read twice; they are stored first, as they are between layers.
-        sales = pin(sales, "staged_sales") if strategy == "days" and not numbered else sales
+        sales = pin(sales, "staged_sales", codec="zstd") if strategy == "days" and not numbered else sales
     products = retail.products(spark, sf_dir)
     return fct_sales(
         sales,
@@ -176,10 +177,10 @@ def _seeds(spark: SparkSession, sf_dir: str) -> Seeds:
 def _gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All tables; those that several checks read are written once."""
     seeds = _seeds(spark, sf_dir)
-    clean = pin(_clean(spark, sf_dir).clean, "clean_events")
-    profiles = pin(_profiles(spark, sf_dir), "clean_profiles")
+    clean = pin(_clean(spark, sf_dir).clean, "clean_events", codec="zstd")
+    profiles = pin(_profiles(spark, sf_dir), "clean_profiles", codec="zstd")
     dates = _dates(spark, sf_dir)
-    return build_gold(clean, profiles, seeds, dates, store=lambda name, df: pin(df, name))
+    return build_gold(clean, profiles, seeds, dates, store=lambda name, df: pin(df, name, codec="zstd"))
 
 
 # --- clean layer ---
@@ -323,13 +324,13 @@ def region_sales_by_quarter(spark, sf_dir):
     """Daily tallies of two runs, numbered apart (every other month each), merged without the fact."""
     shops = dim_store(retail.stores(spark, sf_dir))
     needed = sales_columns([*_DAILY_FACT, "event_ts"])
-    sales = pin(_staged_sales(spark, sf_dir).select(*needed), "staged_sales")
+    sales = pin(_staged_sales(spark, sf_dir).select(*needed), "staged_sales", codec="zstd")
     runs = []
     for run in range(2):
         part = number_events(sales.where(F.month("event_ts") % 2 == run))
         fact = fct_sales(part, None, retail.products(spark, sf_dir), shops, columns=_DAILY_FACT)
         runs.append(store_day_tallies(fact, run))
-    stored = pin(reduce(DataFrame.unionByName, runs), "tallies")
+    stored = pin(reduce(DataFrame.unionByName, runs), "tallies", codec="zstd")
     return sales_by(stored, shops, _dates(spark, sf_dir), ["region", "year", "quarter"])
 
 
@@ -505,16 +506,20 @@ def fct_sales_published_by_months(spark, sf_dir):
     """The fact after a version without quantities, a run that broke off, and two runs of every other month each."""
     layer = Layer(fresh_path(spark, "gold"))
     month = F.floor(F.col("date_sk") / 100).cast("int")
-    fact = pin(_unstamped(_fact(spark, sf_dir)).withColumn("month", month), "fct_sales")
+    # Stored by month once, so that no run shuffles it again; the hashed key is made anew from the event.
+    key, *rest = [c for c in FACT_COLUMNS if c not in _STAMPS]
+    narrow = _fact(spark, sf_dir, columns=rest).withColumn("month", month)
+    stored = pin(narrow, "fct_sales", by="month", codec="zstd")
+    fact = stored.select(surrogate_key(F.col("event_id")).alias(key), "*")
     with layer.next(spark) as draft:
-        draft.write("fct_sales", fact.withColumn("quantity", F.lit(0)), by="month")
+        draft.write("fct_sales", fact.withColumn("quantity", F.lit(0)), by="month", laid_out=True)
     lost = layer.next(spark)
-    lost.write("fct_sales", fact.withColumn("quantity", F.lit(-1)), by="month")
+    lost.write("fct_sales", fact.withColumn("quantity", F.lit(-1)), by="month", laid_out=True)
     for half in range(2):
         part = fact.where(F.col("month") % 2 == half)
         months = [r.month for r in part.select("month").distinct().collect()]
         with layer.next(spark) as draft:
-            draft.write("fct_sales", part, by="month", days=months)
+            draft.write("fct_sales", part, by="month", days=months, laid_out=True)
     return layer.read(spark, "fct_sales").drop("month")
 
 

@@ -23,6 +23,8 @@ from pyspark.sql import types as T
 from tillroll.sources.files import children, create_whole, delete, partition_dirs, read_text
 
 _NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+# The fact's hashed keys are hexadecimal text, which this halves.
+_CODEC = "zstd"
 _DAY_TYPES = (T.DateType, T.IntegerType, T.LongType)
 
 Day = date | int | None
@@ -118,13 +120,19 @@ class Draft:
         self._written: set[str] = set()
 
     def write(
-        self, table: str, df: DataFrame, by: str | None = None, days: Iterable[Day] | None = None
+        self,
+        table: str,
+        df: DataFrame,
+        by: str | None = None,
+        days: Iterable[Day] | None = None,
+        laid_out: bool = False,
     ) -> None:
         """Store a table; others see it once the run is published.
 
         ``by`` names a day column (date or integer) that becomes the folder level, so that readers of some days
         open only those. ``days`` limits the change to these days, of which ``df`` is the whole content; the
-        other days stay in the folders they are in. Without it the table is replaced, also by nothing.
+        other days stay in the folders they are in. Without it the table is replaced, also by nothing. ``laid_out``
+        states that the rows already lie by day in few files each, and need no shuffle to be written so.
         """
         if table in self._written:
             raise ValueError(f"{table} was already written by this run")
@@ -136,10 +144,11 @@ class Draft:
         folder = f"{self._layer._folder(table)}/run={self._run}"
         entry: dict[str, Any] = {"schema": df.schema.jsonValue(), "by": by}
         if by is None:
-            df.write.parquet(folder)
+            df.write.option("compression", _CODEC).parquet(folder)
             entry["run"] = self._run
         else:
-            df.hint("rebalance", by).write.partitionBy(by).parquet(folder)
+            rows = df if laid_out else df.hint("rebalance", by)
+            rows.write.option("compression", _CODEC).partitionBy(by).parquet(folder)
             new = partition_dirs(self._spark, folder, by)
             entry["days"] = {**self._days_left(table, entry, days, new), **dict.fromkeys(new, self._run)}
         self._tables[table] = entry
