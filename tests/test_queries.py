@@ -1,5 +1,7 @@
 """Every named query against its SQL statement."""
 
+from datetime import date
+
 import pytest
 
 import __spark_entry__ as entry
@@ -38,3 +40,27 @@ def test_large_tables_are_shuffled_by_order_once(spark, name):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert plan.count("Exchange hashpartitioning(") == 2
     assert "src_order" not in df.columns
+
+
+def test_null_check_of_the_fact_joins_no_other_dimension(spark, tmp_path):
+    day = date(2024, 5, 20)
+    tables = {
+        "orders": [dict(o_orderkey=k, o_custkey=1, o_orderdate=day, o_orderpriority="2-HIGH") for k in (1, 12)],
+        "lineitem": [
+            dict(
+                l_orderkey=k, l_linenumber=1, l_partkey=3, l_suppkey=4, l_quantity=5.0, l_extendedprice=9.0,
+                l_discount=0.0, l_returnflag="A", l_shipdate=day,
+            )
+            for k in (1, 12)
+        ],
+        "part": [dict(p_partkey=3, p_name="p", p_brand="b", p_type="t", p_size=1, p_retailprice=9.0)],
+        "supplier": [dict(s_suppkey=4, s_name="s", s_nationkey=0)],
+        "nation": [dict(n_nationkey=0, n_regionkey=0)],
+        "region": [dict(r_regionkey=0, r_name="r")],
+    }
+    for name, rows in tables.items():
+        spark.createDataFrame(rows).write.parquet(f"{tmp_path}/{name}.parquet")
+    found = entry.queries()["dq_not_null"](spark, str(tmp_path))
+    assert "_key" not in found._jdf.queryExecution().optimizedPlan().toString()
+    # The order without a customer.
+    assert [r.event_id for r in found.collect()] == ["12-1"]

@@ -391,7 +391,8 @@ def dq_unique(spark, sf_dir):
 @query
 def dq_not_null(spark, sf_dir):
     check = quality.not_null("fct_sales", "customer_sk")
-    return quality.violations(check, {"fct_sales": _fact(spark, sf_dir)}).select("event_id", "event_ts")
+    fact = _fact(spark, sf_dir, columns=["event_id", "customer_sk", "event_ts"])
+    return quality.violations(check, {"fct_sales": fact}).select("event_id", "event_ts")
 
 
 @query
