@@ -217,6 +217,36 @@ def test_a_batch_that_breaks_off_is_made_good(spark, place, monkeypatch):
     assert clean(spark, place) == [("a", 4, 19), ("b", 4, 20)]
 
 
+def test_only_events_that_came_before_are_searched_for(spark, place, monkeypatch):
+    real, asked = EventDays.copies, []
+
+    def noting(self, spark, ids, landings):
+        asked.append(sorted(r.event_id for r in ids.collect()))
+        return real(self, spark, ids, landings)
+
+    monkeypatch.setattr(EventDays, "copies", noting)
+    land(spark, place, event(event_id="a"), event(event_id="b"), event(event_id="b", quantity=9))
+    follow(spark, place)
+    later = {"event_ts": "2024-05-19T10:00:00", "ingest_ts": "2024-05-20T12:00:00"}
+    land(spark, place, event(event_id="a", **later), event(event_id="c"), event(event_id="c", quantity=9))
+    follow(spark, place)
+    assert asked == [[], ["a"]]
+    assert clean(spark, place) == [("a", 4, 19), ("b", 9, 20), ("c", 9, 20)]
+    entries = EventDays(place.lake).index.read(spark).collect()
+    assert sorted((r.event_id, r.event_day.day) for r in entries) == [("a", 19), ("a", 20), ("b", 20), ("c", 20)]
+
+
+def test_events_that_a_batch_run_stored_first(spark, place):
+    """The index does not know them yet when their batch is followed."""
+    land(spark, place, event(event_id="a"))
+    follow(spark, place)
+    land(spark, place, event(event_id="b"), event(event_id="bad", quantity=0))
+    clean_events_job(spark, place.lake)
+    follow(spark, place)
+    assert clean(spark, place) == [("a", 4, 20), ("b", 4, 20)]
+    assert rejected(spark, place) == ["bad"]
+
+
 def live_revenue(spark, tables):
     return sorted(map(tuple, tables.read_revenue(spark).select("sales_date", "n_transactions", "total_revenue").collect()))
 

@@ -53,10 +53,11 @@ def landed_for(raw: DataFrame, day: Column, days: Days) -> DataFrame:
 class EventDays:
     """How a batch of raw events is brought into the clean days, in any order of landing.
 
-    The index tells where earlier copies of the batch's events lie. Only the landing partitions that hold copies
-    are read from the raw layer, and only the days that hold some are written anew: the stored rows of other
-    events, and the newest copy of each event of the batch. The result is that of the batch job, whatever landed
-    when: late, early, moved to another day or mended. A lake without an index gets one from its raw events first.
+    The index tells which of the batch's events came before and where their copies lie. For those only, the landing
+    partitions that hold copies are read from the raw layer; an event that is new is all in the batch. Only the days
+    that hold some are written anew: the stored rows of other events, and the newest copy of each event of the batch.
+    The result is that of the batch job, whatever landed when: late, early, moved to another day or mended. A lake
+    without an index gets one from its raw events first, unless they are the batch.
 
     ``copies_share_day`` promises that all copies of an event carry the same event time; then the days of the batch
     are computed anew from their raw rows, without an index.
@@ -93,24 +94,29 @@ class EventDays:
     def _rebuild_days(self, spark: SparkSession, batch: DataFrame) -> None:
         days = days_in(batch, day_of("event_ts"))
         if days:
+            if self.index.exists(spark):
+                self.index.add(self.entries(batch))
             rows = landed_for(self.raw(spark), day_of("event_ts"), days)
             self._store(self._judged(rows), days)
 
     def _merge(self, spark: SparkSession, batch: DataFrame) -> None:
-        if not self.index.exists(spark):
+        if not self.index.exists(spark) and batch.count() != self.raw(spark).count():
             self.index.add(self.entries(self.raw(spark)))
-        arrived = pin(batch.select("event_id", "ingest_date", self.index.bucket()).distinct(), "arrived")
-        ids = arrived.select("event_id", "bucket").distinct()
-        known = pin(self.index.copies_of(ids), "known")
+        arrived = pin(self.entries(batch), "arrived")
+        known = pin(self.index.copies_of(arrived.select("event_id", "bucket")), "known")
         landings = days_in(arrived.select("ingest_date").union(known.select("ingest_date")), F.col("ingest_date"))
         if not landings:
             return
-        copies = pin(self.copies(spark, ids, landings), "copies")
-        found = pin(self.entries(copies), "found")
+        # Few events come again, so these joins are mostly broadcast and the batch's own rows stay where they are.
+        before = pin(known.select("event_id").distinct(), "before")
+        repeated = pin(self.copies(spark, before, landings), "repeated")
+        copies = of_other_events(batch, before).unionByName(repeated)
+        found = self.entries(repeated)
         # The index comes first: a batch that breaks off later then finds all days again.
-        self.index.add(found.exceptAll(known.select(*found.columns).distinct()))
-        days = days_in(found.union(known.select(*found.columns)), F.col("event_day"))
-        self._store(self._judged(copies), days, others=ids)
+        missing = found.exceptAll(known.select(*found.columns).distinct())
+        self.index.add(of_other_events(arrived, before).unionByName(missing))
+        days = days_in(arrived.unionByName(known).unionByName(found), F.col("event_day"))
+        self._store(self._judged(copies), days, others=arrived)
 
     def _judged(self, raw: DataFrame) -> DataFrame:
         judged = judged_events(raw, self.tie_breakers, self.null_policy)
@@ -125,14 +131,13 @@ class EventDays:
             (split.clean, self.lake.clean_events, read_clean_events),
             (split.quarantine.select(*by_day), self.lake.quarantine, self._read_quarantine),
         ]
-        made = []
         for new, path, read in sides:
             if others is not None and exists(spark, path):
                 stored = read(spark, path).where(is_one_of(F.col("event_date"), days))
-                # Read from where it is written to, so it is stored apart first.
-                new = pin(of_other_events(stored, others).unionByName(new), "day")
-            made.append((new, path))
-        for new, path in made:
+                # Found by their ids alone; the whole rows are shuffled for it only if many are replaced.
+                replaced = pin(of_events(stored.select("event_id"), others).distinct(), "replaced")
+                # What is read here is removed when all of the new days are written.
+                new = of_other_events(stored, replaced).unionByName(new)
             overwrite_partitions(new, path, "event_date", days)
 
     def _read_quarantine(self, spark: SparkSession, path: str) -> DataFrame:
