@@ -6,7 +6,7 @@ import numpy as np
 from tests.llm.conftest import SCHEMA
 from tillroll.llm import lm_network as network
 from tillroll.llm import lm_scoring
-from tillroll.llm.lm_data import END, Vocabulary
+from tillroll.llm.lm_data import END, Lookup, Vocabulary
 
 
 def _own_network(n=30):
@@ -169,3 +169,26 @@ def test_vocabulary_keeps_rare_words_by_spelling():
     words = Vocabulary(7, 3, {b"a": 5, END: 2, b"b": 1}, {END: 0, b"a": 1}, np.ones(34))
     assert (words.symbol_of(END), words.symbol_of(b"a")) == (0, 1)
     assert words.symbol_of(b"b") >= 2 and (words.spelling() >= 2).all()
+
+
+def test_lookup_remembers_endings_only():
+    words = Vocabulary(7, 3, {b"a": 5, END: 2, b"b": 1}, {END: 0, b"a": 1}, np.ones(258))
+    lookup, rare = Lookup(words), [b"w%dend" % k for k in range(1000)]
+    found = [b"a", *rare, b"b", END]
+    symbols, counts = lookup(found)
+    assert symbols.tolist() == [words.symbol_of(w) for w in found]
+    assert counts.tolist() == [5, *[-1] * 1000, 1, 2]
+    assert set(lookup._endings) == {b"end"}
+    unlearned = Lookup(Vocabulary(0, 0, {}, {END: 0}, np.ones(257)))
+    assert unlearned([b"x", END])[1].tolist() == [-1, -1]
+
+
+def test_scores_beyond_the_range_of_exponentials():
+    params, rng = _shaken(), np.random.default_rng(4)
+    text = rng.integers(0, 40, 60).astype(np.int32)
+    for name in network._LEVELS:
+        params[name] *= 400
+    assert all(len(network._wild(params[n], of)) for n, of in zip(network._LEVELS, params["layout"].levels))
+    assert math.isclose(network.score(params, [text])[0], _plain_score(params, text), rel_tol=1e-3)
+    network.train(params, network.new_memory(params), [text], 0.01)
+    assert all(np.isfinite(params[n]).all() for n in network._SHAPES)

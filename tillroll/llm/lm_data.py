@@ -20,13 +20,14 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.word_tokens import Growing
 from tillroll.scratch import pin
 
 SMOOTHING = 0.1
@@ -78,36 +79,52 @@ class Vocabulary:
         own = self.own.get(word)
         return len(self.own) + spelling_class(word) if own is None else own
 
+    @cached_property
+    def figures(self) -> tuple[dict[bytes, int], np.ndarray, np.ndarray]:
+        """The place of each word that is in the head or its own symbol, and the symbols and counts by place; the last
+        ones stand for all other words. Made once per process."""
+        words = [*self.own, *(w for w in self.head if w not in self.own)]
+        symbols = np.array([*map(self.symbol_of, words), -1], dtype=np.int32)
+        counts = np.array([*(self.head.get(w, -1) for w in words), -1], dtype=np.int64)
+        return dict(zip(words, range(len(words)))), symbols, counts
+
     def spelling(self) -> np.ndarray:
         """For each own symbol, the symbol of its spelling."""
         return np.array([len(self.own) + spelling_class(w) for w in self.own], dtype=np.int64)
 
 
-class Lookup:
-    """Symbols and counts of a text's tokens, one dictionary access per token; memory is bounded."""
+class _Endings(dict):
+    """The symbol of each ending; remembers a bounded number of them."""
 
-    _MAX_WORDS = 400_000
+    _MAX_ENDINGS = 400_000
 
-    def __init__(self, vocabulary: Vocabulary):
-        self._vocabulary = vocabulary
-        self._forget()
+    def __init__(self, first: int):
+        super().__init__()
+        self._first = first
+
+    def __missing__(self, ending: bytes) -> int:
+        symbol = self._first + spelling_class(ending)
+        if len(self) < self._MAX_ENDINGS:
+            self[ending] = symbol
+        return symbol
 
-    def _forget(self) -> None:
-        self._number: dict[bytes, int] = {}
-        self._symbol, self._count = Growing(np.int32), Growing(np.int64)
+
+class Lookup:
+    """Symbols and counts of a text's tokens, one dictionary access per token; memory is that of the head. The words
+    outside it are not remembered, only their endings."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self._place, self._symbol, self._count = vocabulary.figures
+        self._endings = _Endings(len(vocabulary.own))
 
     def __call__(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Symbol and count of each token; the count is -1 for words outside the head."""
-        if len(self._number) > self._MAX_WORDS:
-            self._forget()
-        new = list(set(found).difference(self._number))
-        if new:
-            self._number.update(zip(new, range(len(self._number), len(self._number) + len(new))))
-            head, symbol_of = self._vocabulary.head, self._vocabulary.symbol_of
-            self._symbol.extend(np.array([symbol_of(w) for w in new], dtype=np.int32))
-            self._count.extend(np.array([head.get(w, -1) for w in new], dtype=np.int64))
-        at = np.fromiter(map(self._number.__getitem__, found), dtype=np.int64, count=len(found))
-        return self._symbol.values[at], self._count.values[at]
+        at = np.fromiter(map(self._place.get, found, repeat(-1)), dtype=np.int64, count=len(found))
+        symbols, counts = self._symbol[at], self._count[at]
+        outside, endings = np.flatnonzero(at < 0), self._endings
+        if len(outside):
+            symbols[outside] = [endings[found[k][-SPELLING_BYTES:]] for k in outside.tolist()]
+        return symbols, counts
 
 
 def count_words(docs: DataFrame, text: str) -> DataFrame:

@@ -32,7 +32,9 @@ STRETCH = 2048
 SCORED_AT_ONCE = 1 << 15  # tokens in a window of scoring
 SPELLING_TOGETHER = 32
 PART = 1500  # tokens in one matrix product
+MOST_SCORE = 60.0  # up to which exponentials, and sums and quotients of them, are safe in single precision
 _COUNT = np.arange(PART)
+_ONES = np.ones(PART, dtype=np.float32)
 _LEVELS = ("group_out", "class_out", "word_out")  # a row is the weights of the state, then the bias
 _SHAPES = ("embed", "wx", "wh", "bias", *_LEVELS)
 _DENSE = ("wx", "wh", "bias")
@@ -226,11 +228,25 @@ class Sorted:
                 yield first, end, begin, begin + len(part), (part, _COUNT[: len(part)])
 
 
+def _wild(weights: np.ndarray, level: Level) -> np.ndarray:
+    """The first rows of the nodes whose scores could leave the range of exponentials. No number of a state is beyond
+    1, so a row's weights bound its scores."""
+    reach = np.maximum.reduceat(np.abs(weights).sum(axis=1), level.starts[:-1])
+    return level.starts[:-1][~(reach < MOST_SCORE)]
+
+
+def _scores(weights: np.ndarray, states: np.ndarray, wild: bool) -> np.ndarray:
+    """Of each row in each state; in a wild node the greatest of each column as 0."""
+    scores = weights @ states
+    if wild:
+        scores -= scores.max(axis=0)
+    return scores
+
+
 def _exponentials(scores: np.ndarray) -> np.ndarray:
-    """In place, the greatest of each column as 1; returns the sums."""
-    scores -= scores.max(axis=0)
+    """In place; returns the sums of the columns."""
     np.exp(scores, out=scores)
-    return scores.sum(axis=0)
+    return _ONES[: len(scores)] @ scores if len(scores) <= PART else scores.sum(axis=0)
 
 
 def _adapt(p: dict, memory: dict, name: str, grad: np.ndarray, rate: float) -> None:
@@ -250,14 +266,18 @@ def _learn_output(p: dict, memory: dict, after: np.ndarray, targets: np.ndarray,
     d_sorted = np.zeros((HIDDEN, len(tokens.order)), dtype=np.float32)
     for name, level in zip(_LEVELS, p["layout"].levels, strict=True):
         weights, grad = p[name], np.zeros_like(p[name])
-        backward = np.ascontiguousarray(weights[:, :-1].T)
+        backward, wild = np.ascontiguousarray(weights[:, :-1].T), set(_wild(weights, level).tolist())
         for first, end, low, high, wanted in tokens.runs(level):
             states = tokens.states[:, low:high]
-            e = weights[first:end] @ states
-            e *= share / _exponentials(e)
-            e[wanted] -= share
-            d_sorted[:, low:high] += backward[:, first:end] @ e
-            grad[first:end] += e @ states.T
+            e = _scores(weights[first:end], states, first in wild)
+            sums = _exponentials(e)
+            # Times the scale below these are the probabilities, less 1 for the target.
+            e[wanted] -= sums
+            scale = share / sums
+            d = backward[:, first:end] @ e
+            d *= scale
+            d_sorted[:, low:high] += d
+            grad[first:end] += e @ (states * scale).T
         _adapt(p, memory, name, grad, rate)
     steps, hidden, lanes = after.shape
     d_after = np.zeros((hidden, steps * lanes), dtype=np.float32)
@@ -383,9 +403,10 @@ def log_probabilities(p: dict, after: np.ndarray, targets: np.ndarray, real: np.
     tokens = Sorted(p["layout"], after, targets, real)
     picked = np.zeros(len(tokens.order), dtype=np.float32)
     for name, level in zip(_LEVELS, p["layout"].levels, strict=True):
+        wild = set(_wild(p[name], level).tolist())
         for first, end, low, high, wanted in tokens.runs(level):
-            scores = p[name][first:end] @ tokens.states[:, low:high]
-            chosen = scores[wanted] - scores.max(axis=0)
+            scores = _scores(p[name][first:end], tokens.states[:, low:high], first in wild)
+            chosen = scores[wanted]
             picked[low:high] += chosen - np.log(_exponentials(scores))
     logs = np.zeros(len(targets), dtype=np.float64)
     logs[tokens.order] = picked
