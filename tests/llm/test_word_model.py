@@ -6,7 +6,7 @@ import numpy as np
 from tests.llm.conftest import SCHEMA
 from tillroll.llm import lm_network as network
 from tillroll.llm import lm_scoring
-from tillroll.llm.lm_data import END, Lookup, Vocabulary
+from tillroll.llm.lm_data import END, Lookup, Vocabulary, Words, count_words, tokens
 
 
 def _own_network(n=30):
@@ -192,3 +192,43 @@ def test_scores_beyond_the_range_of_exponentials():
     assert math.isclose(network.score(params, [text])[0], _plain_score(params, text), rel_tol=1e-3)
     network.train(params, network.new_memory(params), [text], 0.01)
     assert all(np.isfinite(params[n]).all() for n in network._SHAPES)
+
+
+def test_learning_fills_its_windows(monkeypatch):
+    """Lanes end together, also beside texts much longer than the others."""
+    filled, step = [], network.train_window
+
+    def noted(p, memory, window, state, rate):
+        filled.append(window.real.sum())
+        return step(p, memory, window, state, rate)
+
+    monkeypatch.setattr(network, "train_window", noted)
+    params, rng = _shaken(), np.random.default_rng(6)
+    texts = [rng.integers(0, 40, n).astype(np.int32) for n in [100] * 1000 + [2500] * 20]
+    assert network.train(params, network.new_memory(params), texts, 0.01) == sum(filled) == 150_000
+    assert np.mean(filled) > 0.9 * max(filled)
+
+
+def test_words_are_looked_up_together():
+    """Short and long ones, with zero bytes and without, as one at a time."""
+    texts = ["Ab  aB\tverylongword", None, "", " \x0b", "a\0 a \0 ninebytes EIGHTBYT Äb a\x1cb", "x" * 20, "verylongword a"]
+    found = [tokens(text) for text in texts]
+    head = {END: 7, b"a": 5, b"ab": 3, b"verylongword": 2, b"a\0": 2, b"eightbyt": 1}
+    for words in (
+        Vocabulary(30, 9, head, {END: 0, b"a": 1, b"verylongword": 2}, np.ones(259)),
+        Vocabulary(0, 0, {}, {END: 0}, np.ones(257)),
+    ):
+        lookup = Lookup(words)
+        symbols, counts, begins, unknown, spelled = lookup.of_words(Words([t and t.encode() for t in texts]))
+        each = [lookup(f) for f in found]
+        assert symbols.tolist() == np.concatenate([s for s, _ in each]).tolist()
+        assert counts.tolist() == np.concatenate([c for _, c in each]).tolist()
+        assert np.diff(np.append(begins, len(symbols))).tolist() == [len(f) for f in found]
+        flat = [word for f in found for word in f]
+        assert spelled == [flat[k] for k in unknown]
+
+
+def test_words_are_counted_whole(spark):
+    rows = [("Ab ab a\0 a\0 a ninebytes NINEBYTES",), (None,), ("",), ("eightbyt ab",)]
+    counted = {bytes(r.word): r.c for r in count_words(spark.createDataFrame(rows, "text string"), "text").collect()}
+    assert counted == {b"ab": 3, b"a\0": 2, b"a": 1, b"ninebytes": 2, b"eightbyt": 1, END: 4}

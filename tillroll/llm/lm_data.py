@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import cached_property
 from itertools import repeat
@@ -38,7 +38,11 @@ OWN_SHARE = 1.2  # own words per square root of a training token
 SPELLING_CLASSES = 256
 SPELLING_BYTES = 3
 HEAD_WORDS = 100_000  # whose counts every task holds; bounded at any size of the corpus
-_FLUSH = 500_000
+SHORT = 8  # bytes of a word that is met as one number
+_AT_ONCE = 128  # texts that are cut into words together
+_FLUSH_TOKENS = 4_000_000
+_FLUSH_WORDS = 500_000
+_LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(SHORT + 1)], dtype=np.uint64)
 
 
 def own_words(total: int) -> int:
@@ -47,13 +51,54 @@ def own_words(total: int) -> int:
 
 
 def tokens(text: str | None) -> list[bytes]:
-    """The words in lower case (A to Z only), then the end. Words are kept as UTF-8: ``bytes`` know just
+    """The plain definition, which ``Words`` and ``Lookup.of_words`` meet for many texts at once: the words in lower case (A to Z only), then the end. Words are kept as UTF-8: ``bytes`` know just
     the ASCII letters and the ASCII spaces."""
     found = (text or "").encode("utf-8", "surrogatepass").lower().split()
     found.append(END)
     return found
 
 
+def short_number(word: bytes) -> int:
+    """The number that stands for a word of at most ``SHORT`` bytes, none of them 0."""
+    return int.from_bytes(word, "little")
+
+
+class Words:
+    """The words of some texts in lower case (A to Z only), in order and without the ends: their places, and for the
+    short ones a number instead of an object for each."""
+
+    def __init__(self, texts: Sequence[bytes | None]):
+        texts = [text or b"" for text in texts]
+        # A space before and after each text, and room to read a number at the last word.
+        self._data = b"\n".join([b"", *texts, bytes(SHORT)]).lower()
+        data = np.frombuffer(self._data, dtype=np.uint8)[:-SHORT]
+        space = (data == 32) | (data - np.uint8(9) <= 4)
+        edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+        self._begin, self._end = edges[::2], edges[1::2]
+        after = np.cumsum([len(text) + 1 for text in texts])
+        self.in_text = np.diff(np.searchsorted(self._begin, after), prepend=0)  # words of each text
+        length = self._end - self._begin
+        is_short = length <= SHORT
+        if b"\0" in self._data[:-SHORT]:
+            is_short[np.searchsorted(self._begin, np.flatnonzero(data == 0), side="right") - 1] = False
+        self.short, self.long = np.flatnonzero(is_short), np.flatnonzero(~is_short)
+        ahead = np.ndarray(len(data), dtype="<u8", buffer=self._data, strides=(1,))
+        self.numbers = ahead[self._begin[self.short]] & _LOW_BYTES[length[self.short]]
+
+    def at(self, which: np.ndarray) -> list[bytes]:
+        """The words with these numbers in the order."""
+        data = self._data
+        return [data[a:b] for a, b in zip(self._begin[which].tolist(), self._end[which].tolist())]
+
+
+def words_of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Words]]:
+    """Some rows at a time with the words of their last column."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, _AT_ONCE):
+            rows = batch.slice(low, _AT_ONCE)
+            yield rows, Words(rows.column(rows.num_columns - 1).cast(pa.binary()).to_pylist())
+
+
 def is_held_out(ident: Column) -> Column:
     """By the id alone: a tenth of the documents is never learned from. Rows without id are."""
     crc = F.crc32(ident.cast("string").cast("binary"))
@@ -110,12 +155,38 @@ class _Endings(dict):
 
 
 class Lookup:
-    """Symbols and counts of a text's tokens, one dictionary access per token; memory is that of the head. The words
-    outside it are not remembered, only their endings."""
+    """Symbols and counts of tokens: short words are searched for together, by their numbers, the others in a
+    dictionary. Memory is that of the head. The words outside it are not remembered, only their endings."""
 
     def __init__(self, vocabulary: Vocabulary):
         self._place, self._symbol, self._count = vocabulary.figures
         self._endings = _Endings(len(vocabulary.own))
+        short = [(short_number(w), k) for w, k in self._place.items() if len(w) <= SHORT and b"\0" not in w]
+        numbers, places = zip(*sorted(short))
+        self._numbers, self._place_of_number = np.array(numbers, dtype=np.uint64), np.array(places)
+
+    def of_words(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+        """Symbols and counts of the tokens of all the texts, each text's end included, where each text begins among
+        them, and where the tokens are whose count is -1, with their words."""
+        places = np.empty(len(words.short) + len(words.long), dtype=np.int64)
+        found = np.minimum(np.searchsorted(self._numbers, words.numbers), len(self._numbers) - 1)
+        places[words.short] = np.where(self._numbers[found] == words.numbers, self._place_of_number[found], -1)
+        places[words.long] = [*map(self._place.get, words.at(words.long), repeat(-1))]
+        # A text's words begin after the words and the ends of the texts before it.
+        begins = np.cumsum(words.in_text + 1) - words.in_text - 1
+        is_word = np.ones(len(places) + len(begins), dtype=bool)
+        is_word[begins + words.in_text] = False
+        at = np.full(len(is_word), self._place[END])
+        at[is_word] = places
+        symbols, counts = self._symbol[at], self._count[at]
+        spelled, endings = words.at(np.flatnonzero(places < 0)), self._endings
+        symbols[at < 0] = [endings[word[-SPELLING_BYTES:]] for word in spelled]
+        unknown = np.flatnonzero(counts < 0)
+        if len(unknown) == len(spelled):
+            return symbols, counts, begins, unknown, spelled
+        # The end has its own symbol also where it is no word of the head.
+        each = iter(spelled)
+        return symbols, counts, begins, unknown, [END if at[k] >= 0 else next(each) for k in unknown.tolist()]
 
     def __call__(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Symbol and count of each token; the count is -1 for words outside the head."""
@@ -132,20 +203,30 @@ def count_words(docs: DataFrame, text: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter[bytes] = Counter()
-
-        def flush() -> pa.RecordBatch:
+        numbers: list[np.ndarray] = []
+        size = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            names = ["word", "c"]
+            short, counts = np.unique(np.concatenate([*numbers, np.empty(0, dtype="<u8")]), return_counts=True)
+            # As text of fixed width; the zeros behind a short word are no part of it.
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(short.astype("<u8").view(f"S{SHORT}"), pa.binary()), pa.array(counts, pa.int64())], names=names
+            )
             words, counts = list(seen.keys()), list(seen.values())
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(counts, pa.int64())], names=names)
+            numbers.clear()
             seen.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.binary()), pa.array(counts, pa.int64())], names=["word", "c"]
-            )
 
-        for batch in batches:
-            for value in batch.column(0):
-                seen.update(tokens(value.as_py()))
-                if len(seen) > _FLUSH:
-                    yield flush()
-        yield flush()
+        for _, words in words_of_batches(batches):
+            numbers.append(words.numbers)
+            seen.update(words.at(words.long))
+            seen[END] += len(words.in_text)
+            size += len(words.numbers)
+            if size > _FLUSH_TOKENS or len(seen) > _FLUSH_WORDS:
+                yield from flush()
+                size = 0
+        yield from flush()
 
     parts = docs.select(text).mapInArrow(run, "word binary, c long")
     return pin(parts.groupBy("word").agg(F.sum("c").alias("c")), "word-counts")

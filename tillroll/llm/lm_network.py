@@ -11,8 +11,9 @@ Texts are dealt to *lanes*; a lane reads one text after the other. At the start
 otherwise it is carried on, also from one window to the next; gradients end at the window. Arrays have the lanes
 last, so that each operation runs over long rows, and classes are met in one sorted run of the window's tokens.
 
-Learning cuts a text into stretches of ``STRETCH`` tokens that are read side by side, each from a zero state; scoring
-reads every text from its start to its end. Memory is that of the tokens given and of one window, however long
+Learning cuts a text into stretches that are read side by side, each from a zero state; a stretch has ``STRETCH``
+tokens at most and fits its lane, so that all lanes end together and windows stay full. Scoring reads every text from
+its start to its end. Memory is that of the tokens given and of one window, however long
 a single text is; where few texts are left, windows in scoring get longer instead of wider.
 """
 
@@ -28,6 +29,8 @@ import numpy as np
 EMBED, HIDDEN = 8, 12
 WINDOW = 16
 LANES = 2048
+LEARNED_LANES = 1536  # at most in learning: wider windows cost less a token, but make fewer steps
+STEPS = 64  # windows that learning makes of a few texts, at least
 STRETCH = 2048
 SCORED_AT_ONCE = 1 << 15  # tokens in a window of scoring
 SPELLING_TOGETHER = 32
@@ -172,31 +175,30 @@ def forward(p: dict, vectors: np.ndarray, inputs: np.ndarray, fresh: np.ndarray,
     (``keep``), the states before, the gates and the inner product of the candidate; each ``[steps, .., lanes]``."""
     steps, lanes = inputs.shape
     h = HIDDEN
+    # The update and reset gates are met with the opposite sign, as their exponentials need it.
+    sign = np.repeat(np.float32([-1, 1]), [2 * h, h])[:, None]
+    wh, bias = np.ascontiguousarray(p["wh"].T * sign), p["bias"][:, None] * sign
+    gates = np.matmul(p["wx"].T * sign, vectors[inputs].transpose(0, 2, 1))
+    gates += bias
     after = np.empty((steps, h, lanes), dtype=np.float32)
-    kept = [np.empty((steps, n * h, lanes), dtype=np.float32) for n in (1, 3, 1)] if keep else None
-    wh, wx, bias = np.ascontiguousarray(p["wh"].T), np.ascontiguousarray(p["wx"].T), p["bias"][:, None]
-    for t in range(steps):
-        start = state * (1 - fresh[t]) if fresh[t].any() else state
-        gh = wh @ start
-        gx = wx @ vectors[inputs[t]].T
-        gx += bias
-        zr = gx[: 2 * h]
+    before = np.empty((steps, h, lanes), dtype=np.float32) if keep else None
+    inner = np.empty((steps if keep else 1, 3 * h, lanes), dtype=np.float32)
+    for t, starting in enumerate(fresh.any(axis=1)):
+        start = state * (1 - fresh[t]) if starting else state
+        gh = np.matmul(wh, start, out=inner[t if keep else 0])
+        zr, c = gates[t, : 2 * h], gates[t, 2 * h :]
         zr += gh[: 2 * h]
-        np.negative(zr, out=zr)
         np.exp(zr, out=zr)
         zr += 1
         np.reciprocal(zr, out=zr)
-        z, c = zr[:h], gx[2 * h :]
         c += zr[h:] * gh[2 * h :]
         np.tanh(c, out=c)
-        state = c - start
-        state *= z
+        state = np.subtract(c, start, out=after[t])
+        state *= zr[:h]
         state += start
-        after[t] = state
-        if kept:
-            before, gates, inner = kept
-            before[t], gates[t], inner[t] = start, gx, gh[2 * h :]
-    return after, kept, state
+        if keep:
+            before[t] = start
+    return after, (before, gates, inner[:, 2 * h :]) if keep else None, state
 
 
 class Sorted:
@@ -214,7 +216,8 @@ class Sorted:
         self.states = np.concatenate([states, np.ones((1, len(self.order)), dtype=np.float32)])
 
     def runs(self, level: Level) -> Iterator[tuple]:
-        """``first row, end, low, high, place of each target's row`` for each part of a node of several rows."""
+        """``first row, end, low, high, places`` for each part of a node of several rows: those of the targets in an
+        array of a row for each of the node's and a column for each token."""
         rows = level.row_of[self.targets]
         sizes = np.bincount(level.node_of[rows], minlength=len(level.starts) - 1)
         ends = np.cumsum(sizes)
@@ -225,7 +228,7 @@ class Sorted:
             for low in range(0, len(at), PART):
                 part = at[low : low + PART]
                 begin = int(ends[node] - sizes[node]) + low
-                yield first, end, begin, begin + len(part), (part, _COUNT[: len(part)])
+                yield first, end, begin, begin + len(part), part * len(part) + _COUNT[: len(part)]
 
 
 def _wild(weights: np.ndarray, level: Level) -> np.ndarray:
@@ -270,14 +273,10 @@ def _learn_output(p: dict, memory: dict, after: np.ndarray, targets: np.ndarray,
         for first, end, low, high, wanted in tokens.runs(level):
             states = tokens.states[:, low:high]
             e = _scores(weights[first:end], states, first in wild)
-            sums = _exponentials(e)
-            # Times the scale below these are the probabilities, less 1 for the target.
-            e[wanted] -= sums
-            scale = share / sums
-            d = backward[:, first:end] @ e
-            d *= scale
-            d_sorted[:, low:high] += d
-            grad[first:end] += e @ (states * scale).T
+            e *= share / _exponentials(e)
+            e.reshape(-1)[wanted] -= share
+            d_sorted[:, low:high] += backward[:, first:end] @ e
+            grad[first:end] += e @ states.T
         _adapt(p, memory, name, grad, rate)
     steps, hidden, lanes = after.shape
     d_after = np.zeros((hidden, steps * lanes), dtype=np.float32)
@@ -302,29 +301,37 @@ def train_window(p: dict, memory: dict, window: Window, state: np.ndarray, rate:
     after, (before, gates, inner), last = forward(p, vectors, window.inputs, window.fresh, state)
     d_states = _learn_output(p, memory, after, window.targets.ravel(), window.real.ravel(), rate)
     carried = np.zeros((h, lanes), dtype=np.float32)
-    g = {name: np.zeros_like(p[name]) for name in _DENSE}
-    d_read = np.empty((EMBED, steps, lanes), dtype=np.float32)
-    d_inner = np.empty((3 * h, lanes), dtype=np.float32)
-    d_gates = np.empty((3 * h, lanes), dtype=np.float32)
+    d_gates = np.empty((steps, 3 * h, lanes), dtype=np.float32)
+    d_inner = np.empty((steps, 3 * h, lanes), dtype=np.float32)
+    starting = window.fresh.any(axis=1)
     for t in range(steps - 1, -1, -1):
         ds = carried
         ds += d_states[t]
         z, r, c, start = gates[t, :h], gates[t, h : 2 * h], gates[t, 2 * h :], before[t]
+        dz, dr, dc = d_gates[t, :h], d_gates[t, h : 2 * h], d_gates[t, 2 * h :]
         by_z = ds * z
-        d_gates[2 * h :] = dc = by_z * (1 - c * c)
-        d_inner[2 * h :] = dc * r
-        d_gates[:h] = by_z * (c - start) * (1 - z)
-        d_gates[h : 2 * h] = d_inner[2 * h :] * inner[t] * (1 - r)
-        d_inner[: 2 * h] = d_gates[: 2 * h]
-        carried = p["wh"] @ d_inner
+        np.multiply(c, c, out=dc)
+        np.subtract(1, dc, out=dc)
+        dc *= by_z
+        np.multiply(dc, r, out=d_inner[t, 2 * h :])
+        np.subtract(c, start, out=dz)
+        dz *= by_z
+        np.subtract(1, r, out=dr)
+        dr *= d_inner[t, 2 * h :]
+        dr *= inner[t]
+        dz *= 1 - z
+        d_inner[t, : 2 * h] = d_gates[t, : 2 * h]
+        carried = p["wh"] @ d_inner[t]
         carried += ds
         carried -= by_z
-        if window.fresh[t].any():
+        if starting[t]:
             carried *= 1 - window.fresh[t]
-        g["wh"] += start @ d_inner.T
-        g["wx"] += (d_gates @ vectors[window.inputs[t]]).T
-        g["bias"] += d_gates.sum(axis=1)
-        d_read[:, t] = p["wx"] @ d_gates
+    g = {
+        "wh": np.matmul(before, d_inner.transpose(0, 2, 1)).sum(axis=0),
+        "wx": np.matmul(d_gates, vectors[window.inputs]).sum(axis=0).T,
+        "bias": d_gates.sum(axis=2).sum(axis=0),
+    }
+    d_read = np.matmul(p["wx"], d_gates).transpose(1, 0, 2)
     _learn_inputs(p, memory, window.inputs.ravel(), d_read.reshape(EMBED, -1), rate)
     for name, grad in g.items():
         memory[name] = 0.99 * memory[name] + 0.01 * grad * grad
@@ -357,7 +364,7 @@ def windows(
     order = [k for members in filled for k in members]
     lengths = np.array([len(texts[k]) for k in order], dtype=np.int64)
     targets = np.concatenate([texts[k] for k in order]).astype(np.int32)
-    place = np.repeat(np.array(order, dtype=np.int64), lengths)
+    place = np.repeat(np.array(order, dtype=np.int32), lengths)
     starts = np.cumsum(lengths) - lengths
     inputs = np.empty_like(targets)
     inputs[1:] = targets[:-1]
@@ -383,13 +390,16 @@ def windows(
 
 def train(p: dict, memory: dict, texts: list[np.ndarray], rate: float) -> int:
     """All tokens of the texts once; the number of tokens learned from."""
-    parts = [(k, at) for k, text in enumerate(texts) for at in range(0, len(text), STRETCH)]
+    total = sum(map(len, texts))
+    # Few tokens: fewer lanes and so more steps. A window that only some lanes are left in steps less far.
+    lanes = min(LEARNED_LANES, max(16, total // (STEPS * WINDOW)))
+    stretch = min(STRETCH, max(STEPS * WINDOW, -(-total // lanes)))
+    parts = [(k, at) for k, text in enumerate(texts) for at in range(0, len(text), stretch)]
     if not parts:
         return 0
-    stretches = [texts[k][at : at + STRETCH] for k, at in parts]
+    stretches = [texts[k][at : at + stretch] for k, at in parts]
     heads = [int(texts[k][at - 1]) if at else 0 for k, at in parts]
-    # Few tokens: fewer lanes and so more steps. A window that only some lanes are left in steps less far.
-    lanes = min(LANES, max(16, sum(map(len, texts)) // (64 * WINDOW)), len(parts))
+    lanes = min(lanes, len(parts))
     state, n = np.zeros((HIDDEN, lanes), dtype=np.float32), 0
     for window in windows(stretches, lanes, heads=heads):
         share = float(window.real.sum()) / (lanes * WINDOW)
@@ -406,7 +416,7 @@ def log_probabilities(p: dict, after: np.ndarray, targets: np.ndarray, real: np.
         wild = set(_wild(p[name], level).tolist())
         for first, end, low, high, wanted in tokens.runs(level):
             scores = _scores(p[name][first:end], tokens.states[:, low:high], first in wild)
-            chosen = scores[wanted]
+            chosen = scores.reshape(-1)[wanted]
             picked[low:high] += chosen - np.log(_exponentials(scores))
     logs = np.zeros(len(targets), dtype=np.float64)
     logs[tokens.order] = picked

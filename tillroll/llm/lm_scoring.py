@@ -1,14 +1,16 @@
 """Log-likelihood of whole documents under a gated recurrent language model trained on the corpus.
 
 1. Words of the training documents are counted, all of them.
-2. The network is trained on all training documents, in rounds. In a round every task starts from the same
+2. Words are looked up once: each document is stored as the numbers of its symbols, with the words whose counts not
+   every task knows.
+3. The network is trained on all training documents, in rounds. In a round every task starts from the same
    parameters, learns from its texts by truncated backpropagation, and the parameters are averaged by the
    tokens behind them. The first rounds take small slices of the documents, so that tasks agree on a
    direction before they go further on their own. Slices are cut by a hash and cover everything once. A
-   larger corpus has a larger model, by the words of the head, and more rounds.
-3. Each document is scored as a whole, the state carried from window to window. Counts of frequent words are
-   known to every task; the others leave the scoring tasks as (document, word, times) and meet the counts in
-   a join.
+   larger corpus has a larger model, by the words of the head, and more rounds. A small slice is learned by few tasks,
+   so that none makes its steps with a handful of tokens.
+4. Each document is scored as a whole, the state carried from window to window. Counts of frequent words are
+   known to every task; the others are stored as (document, word, times) and meet the counts in a join.
 
 Only parameters (at most 2.1 million numbers, summed up over the tasks by Spark) and the bounded vocabulary head
 reach the driver.
@@ -37,32 +39,40 @@ from tillroll.llm.lm_data import (
     Vocabulary,
     count_words,
     is_held_out,
-    tokens,
     vocabulary,
+    words_of_batches,
 )
 from tillroll.llm.text import read
 from tillroll.scratch import pin
 
 RATES = (0.01, 0.005, 0.003)  # step sizes of the first rounds, the last one also of all after them
 ROUND_TOKENS = 64_000_000  # one round more for each fourfold of it
+TASK_TOKENS = 300_000  # a task of a round has as many at least, where there are so many
 CHUNK = 4096
-BATCH_TOKENS = 1_500_000
+BATCH_TOKENS = 4_000_000
 
 
-def _batches(batches: Iterator[pa.RecordBatch], prepare) -> Iterator[list]:
-    """``(symbol sequence, what else prepare returns)`` of many texts at a time. One long text then keeps its
-    lane busy while the others have theirs."""
-    held, size = [], 0
+def _batches(batches: Iterator[pa.RecordBatch], symbols: int) -> Iterator[tuple[list[np.ndarray], list[pa.RecordBatch]]]:
+    """The symbol sequences of many documents at a time, from the last column, and what else their rows say. One long
+    text then keeps its lane busy while the others have theirs."""
+    held, others, size = [], [], 0
     for batch in batches:
         for low in range(0, batch.num_rows, 128):
-            for row in zip(*(c.to_pylist() for c in batch.slice(low, 128).columns)):
-                held.append(prepare(*row))
-                size += len(held[-1][0])
+            rows = batch.slice(low, 128)
+            for value in rows.column(rows.num_columns - 1).to_pylist():
+                held.append(np.frombuffer(value, dtype=_stored(symbols)))
+                size += len(held[-1])
+            others.append(rows.select(rows.schema.names[:-1]))
             if size >= BATCH_TOKENS:
-                yield held
-                held, size = [], 0
+                yield held, others
+                held, others, size = [], [], 0
     if held:
-        yield held
+        yield held, others
+
+
+def _stored(symbols: int) -> str:
+    """The type of a stored symbol."""
+    return "<u2" if symbols <= 1 << 16 else "<u4"
 
 
 def rounds(tokens: int) -> list[tuple[int, int, float]]:
@@ -78,26 +88,68 @@ def _sum_of_parts(group: pa.Table) -> pa.Table:
     return pa.table({"chunk": group.column("chunk")[:1], "part": pa.array([total], pa.list_(pa.float64()))})
 
 
-def train_model(docs: DataFrame, text: str, words: Vocabulary) -> np.ndarray:
-    """The parameters, flat. ``docs`` are the training documents."""
-    context = docs.sparkSession.sparkContext
+def look_up(docs: DataFrame, text: str, id_column: str, words: Vocabulary) -> DataFrame:
+    """Per document: its own number, tokens, what the head knows of its words, the words that it does not know, the
+    slice it is learned in, and its symbols."""
+    shared = docs.sparkSession.sparkContext.broadcast(words)  # bounded, see Vocabulary
+    rows = docs.select(
+        F.col(id_column).alias("doc_id"),
+        is_held_out(F.col(id_column)).alias("held_out"),
+        F.pmod(F.xxhash64(text), F.lit(rounds(words.total)[-1][1])).alias("slice"),
+        F.col(text).alias("text"),
+    )
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    schema = (
+        f"doc_id {id_type}, held_out boolean, slice long, row long, n_tokens long, n_known long, head_log double, "
+        "words array<binary>, times array<int>, symbols binary"
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = shared.value
+        lookup, kind = Lookup(words), _stored(len(words.mass))
+        number = TaskContext.get().partitionId() << 40
+        for rows, found in words_of_batches(batches):
+            symbols, counts, begins, unknown, spelled = lookup.of_words(found)
+            known = counts >= 0
+            logs = np.log10(np.where(known, counts, 0) + SMOOTHING) * known
+            cuts = np.searchsorted(unknown, np.append(begins, len(symbols))).tolist()
+            rest = [Counter(spelled[a:b]) for a, b in zip(cuts, cuts[1:])]
+            offsets = pa.array(np.cumsum([0, *map(len, rest)]), pa.int32())
+            stored = np.split(symbols.astype(kind), begins[1:])
+            columns = [
+                *rows.columns[:-1],
+                pa.array(np.arange(number, number + len(begins)), pa.int64()),
+                pa.array(found.in_text + 1, pa.int64()),
+                pa.array(np.add.reduceat(counts > 0, begins, dtype=np.int64), pa.int64()),
+                pa.array(np.add.reduceat(logs, begins), pa.float64()),
+                pa.ListArray.from_arrays(offsets, pa.array([w for c in rest for w in c], pa.binary())),
+                pa.ListArray.from_arrays(offsets, pa.array([n for c in rest for n in c.values()], pa.int32())),
+                pa.array([part.tobytes() for part in stored], pa.binary()),
+            ]
+            number += len(begins)
+            yield pa.RecordBatch.from_arrays(columns, names=[d.split()[0] for d in schema.split(", ")])
+
+    return pin(rows.mapInArrow(run, schema), "symbols")
+
+
+def train_model(looked_up: DataFrame, words: Vocabulary) -> np.ndarray:
+    """The parameters, flat. ``looked_up`` are the training documents."""
+    context = looked_up.sparkSession.sparkContext
     spelling = words.spelling()
     of = network.layout(len(words.mass), spelling)
     flat = network.flatten(network.initial(words.mass, spelling=spelling))
-    shared = context.broadcast((words, of))  # bounded, see Vocabulary
+    shared = context.broadcast(of)
     plan = rounds(words.total)
     slices = plan[-1][1]
-    sliced = docs.select(F.col(text).alias("text"), F.pmod(F.xxhash64(text), F.lit(slices)).alias("slice"))
     for low, high, rate in plan:
         before = context.broadcast(flat)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            words, of = shared.value
+            of = shared.value
             params = network.unflatten(before.value, of)
-            memory, lookup, seen = network.new_memory(params), Lookup(words), 0
+            memory, seen = network.new_memory(params), 0
             times = np.zeros(of.symbols)
-            for rows in _batches(batches, lambda value: lookup(tokens(value))[:1]):
-                texts = [symbols for symbols, in rows]
+            for texts, _ in _batches(batches, of.symbols):
                 seen += network.train(params, memory, texts, rate)
                 times += np.bincount(np.concatenate(texts), minlength=of.symbols)
             if not seen:
@@ -113,8 +165,9 @@ def train_model(docs: DataFrame, text: str, words: Vocabulary) -> np.ndarray:
                     names=["chunk", "part"],
                 )
 
-        part = sliced.where((F.col("slice") >= low) & (F.col("slice") < high)).select("text")
-        moves = part.mapInArrow(run, "chunk int, part array<float>")
+        part = looked_up.where((F.col("slice") >= low) & (F.col("slice") < high)).select("symbols")
+        tasks = max(1, words.total * (high - low) // (slices * TASK_TOKENS))
+        moves = part.coalesce(tasks).mapInArrow(run, "chunk int, part array<float>")
         summed = moves.groupBy("chunk").applyInArrow(_sum_of_parts, "chunk int, part array<double>").toArrow()
         if summed.num_rows:
             summed = summed.sort_by("chunk").column("part").combine_chunks()
@@ -126,57 +179,26 @@ def train_model(docs: DataFrame, text: str, words: Vocabulary) -> np.ndarray:
     return flat
 
 
-def _scored(docs: DataFrame, text: str, id_column: str, words: Vocabulary, flat: np.ndarray) -> DataFrame:
-    """Per document: its own number, tokens, log-likelihood of its symbols, what the head knows of its words,
-    and the words that it does not know."""
+def _scored(looked_up: DataFrame, words: Vocabulary, flat: np.ndarray) -> DataFrame:
+    """Per document: its own number, tokens, what the head knows of its words, and the log-likelihood of its symbols."""
     of = network.layout(len(words.mass), words.spelling())
-    shared = docs.sparkSession.sparkContext.broadcast((words, of, flat))
-    rows = docs.select(F.col(id_column).alias("doc_id"), is_held_out(F.col(id_column)), F.col(text))
-    id_type = rows.schema["doc_id"].dataType.simpleString()
-    schema = (
-        f"row string, doc_id {id_type}, held_out boolean, n_tokens long, n_known long, head_log double, "
-        "symbol_log double, words array<binary>, times array<int>"
-    )
+    shared = looked_up.sparkSession.sparkContext.broadcast((of, flat, words.mass))
+    kept = looked_up.select("doc_id", "held_out", "row", "n_tokens", "n_known", "head_log")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept.schema) + ", symbol_log double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, of, flat = shared.value
-        params, lookup, log_mass = network.unflatten(flat, of), Lookup(words), np.log10(words.mass)
-        task, number = TaskContext.get().partitionId(), 0
+        of, flat, mass = shared.value
+        params, log_mass = network.unflatten(flat, of), np.log10(mass)
+        for texts, others in _batches(batches, of.symbols):
+            logs = network.score(params, texts) / math.log(10)
+            logs -= [log_mass[symbols].sum() for symbols in texts]
+            at = 0
+            for rows in others:
+                part = pa.array(logs[at : at + rows.num_rows], pa.float64())
+                at += rows.num_rows
+                yield pa.RecordBatch.from_arrays([*rows.columns, part], names=[*rows.schema.names, "symbol_log"])
 
-        def prepare(ident, is_out, value):
-            found = tokens(value)
-            symbols, counts = lookup(found)
-            known = counts >= 0
-            rest = Counter(found[k] for k in np.flatnonzero(~known))
-            head_log = float(np.log10(counts[known] + SMOOTHING).sum())
-            n_known = int((counts > 0).sum())
-            return symbols, (ident, is_out, len(found), n_known, head_log), rest
-
-        for held in _batches(batches, prepare):
-            logs = network.score(params, [symbols for symbols, *_ in held]) / math.log(10)
-            out: list[list] = [[] for _ in range(9)]
-            for (symbols, figures, rest), log in zip(held, logs):
-                symbol_log = float(log - log_mass[symbols].sum())
-                row = (f"{task}-{number}", *figures, symbol_log, list(rest.keys()), list(rest.values()))
-                for column, value in zip(out, row):
-                    column.append(value)
-                number += 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(out, types)], names=[d.split()[0] for d in schema.split(", ")]
-            )
-
-    types = [
-        pa.string(),
-        {"int": pa.int32(), "string": pa.string()}.get(id_type, pa.int64()),
-        pa.bool_(),
-        pa.int64(),
-        pa.int64(),
-        pa.float64(),
-        pa.float64(),
-        pa.list_(pa.binary()),
-        pa.list_(pa.int32()),
-    ]
-    return pin(rows.mapInArrow(run, schema), "scored")
+    return pin(looked_up.select(*kept.columns, "symbols").mapInArrow(run, schema), "scored")
 
 
 def score_documents(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
@@ -184,9 +206,10 @@ def score_documents(docs: DataFrame, text: str = "text", id_column: str = "doc_i
     training = docs.where(~is_held_out(F.col(id_column)))
     counts = count_words(training, text)
     words = vocabulary(counts)
-    scored = _scored(docs, text, id_column, words, train_model(training, text, words))
+    looked_up = look_up(docs, text, id_column, words)
+    scored = _scored(looked_up, words, train_model(looked_up.where(~F.col("held_out")), words))
     rest = (
-        scored.select("row", F.explode(F.arrays_zip("words", "times")).alias("w"))
+        looked_up.select("row", F.explode(F.arrays_zip("words", "times")).alias("w"))
         .select("row", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
         .join(counts, "word", "left")
         .groupBy("row")
@@ -197,7 +220,7 @@ def score_documents(docs: DataFrame, text: str = "text", id_column: str = "doc_i
     )
     word_log = F.col("head_log") + F.coalesce("rest_log", F.lit(0.0))
     norm = math.log10(words.total + SMOOTHING * (words.distinct + 1))
-    return scored.drop("words", "times").join(rest, "row", "left").select(
+    return scored.join(rest, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
